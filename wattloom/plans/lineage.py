@@ -1,0 +1,23 @@
+"""Cutting the lineage of a result that several outputs build on."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+CHECKPOINT_DIR = "spark.checkpoint.dir"
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """A copy of ``df`` in the shared folder the cluster names, safe against lost executors.
+
+    The folder is the session's ``spark.checkpoint.dir``. Without one the plan is returned
+    unchanged: it is deterministic, so computing it once per output gives the same rows.
+    """
+    spark = df.sparkSession
+    folder = spark.conf.get(CHECKPOINT_DIR, None)
+    if not folder:
+        return df
+    context = spark.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(folder)
+    return df.checkpoint(eager=True)
