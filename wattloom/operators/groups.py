@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
@@ -15,6 +17,9 @@ from wattloom.functions.timegrid import hour_index
 from wattloom.operators.profiles import GROUP, hour_curves, in_band
 from wattloom.settings import DEFAULTS, HOURS_PER_DAY, MeterSettings
 
+# The helpers below travel with the job, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _nearest(points: np.ndarray, centres: np.ndarray, alive: np.ndarray) -> np.ndarray:
     gaps = points[:, :, None, :] - centres[:, None, :, :]
