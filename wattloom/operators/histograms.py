@@ -13,11 +13,15 @@ from wattloom.settings import DEFAULTS, HOURS_PER_DAY, MeterSettings
 EDGE_COPIES = 32
 
 
-def _bin(value: Column, low: Column, high: Column, bins: int) -> Column:
-    """Equal-width bin of ``value``; the last bin is closed and a single value is bin 0."""
-    width = (high - low) / bins
-    place = F.floor((value - low) / width)
-    return F.when(high > low, F.least(place, F.lit(bins - 1))).otherwise(0)
+def _bin(value: str, low: str, high: str, bins: int) -> Column:
+    """Equal-width bin of ``value``: the number of inner edges at or below it.
+
+    Comparing with the edges keeps a value that sits on one in the upper bin, which dividing
+    by the width would not always do. The last bin is closed and a single value is bin 0.
+    """
+    edges = [f"CAST({value} >= {low} + {i} * ({high} - {low}) / {bins} AS BIGINT)" for i in range(1, bins)]
+    place = " + ".join(edges) or "0"
+    return F.expr(f"CASE WHEN {high} > {low} THEN {place} ELSE CAST(0 AS BIGINT) END")
 
 
 def hour_histograms(
@@ -54,8 +58,8 @@ def hour_histograms(
     binned = samples.join(copies, [*GROUP, "_salt"]).select(
         *GROUP,
         hour_index(F.col("dti")).alias("hourindex"),
-        _bin(F.col("power"), F.col("p_low"), F.col("p_high"), n_power).alias("p"),
-        _bin(F.col("volt_c"), F.col("v_low"), F.col("v_high"), n_volt).alias("v"),
+        _bin("power", "p_low", "p_high", n_power).alias("p"),
+        _bin("volt_c", "v_low", "v_high", n_volt).alias("v"),
     )
     hours = F.sequence(F.lit(0).cast("long"), F.lit(HOURS_PER_DAY - 1).cast("long"))
     nothing = F.lit(None).cast("long")

@@ -347,10 +347,8 @@ FROM cells JOIN complete USING (id, week) GROUP BY idx""",
 
 def _histograms(power_bins: int = 10, volt_bins: int = 3) -> str:
     def place(value: str, low: str, high: str, bins: int) -> str:
-        width = f"(({high} - {low}) / {bins})"
-        return (
-            f"CASE WHEN {high} > {low} THEN least(floor(({value} - {low}) / {width}), {bins - 1}) ELSE 0 END"
-        )
+        edges = [f"CAST({value} >= {low} + {i} * ({high} - {low}) / {bins} AS BIGINT)" for i in range(1, bins)]
+        return f"CASE WHEN {high} > {low} THEN {' + '.join(edges)} ELSE 0 END"
 
     counts = [f"count(*) FILTER (p = {n}) AS p{n}" for n in range(power_bins)]
     counts += [f"count(*) FILTER (v = {n}) AS v{n}" for n in range(volt_bins)]

@@ -51,7 +51,7 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_partkey AS partkey",
         "l_suppkey AS suppkey",
         "l_linenumber AS line",
-        "CAST(l_quantity AS DECIMAL(4,0)) AS q",
+        "CAST(l_quantity AS INT) AS q",
         "CAST(l_extendedprice AS DECIMAL(10,2)) AS price",
         "CAST(l_discount AS DECIMAL(4,2)) AS discount",
         "CAST(l_tax AS DECIMAL(4,2)) AS tax",
@@ -63,10 +63,10 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         "date_add(DATE '2013-01-01', CAST((dd div 7) * 91 + dd % 7 AS INT)) AS day",
         "CAST(line % 4 AS INT) AS phase_flag",
         "CAST(partkey % 8 + 1 AS INT) AS data_type",
-        "CAST(CASE WHEN q <= 12 THEN 0 WHEN q <= 16 THEN 60 + q WHEN q <= 20 THEN 120 + 2 * q"
-        " ELSE 180 + 1.4 * q END AS DECIMAL(8,4)) AS volt",
+        "CAST(0.1 * CASE WHEN q <= 12 THEN 0 WHEN q <= 16 THEN 600 + 10 * q"
+        " WHEN q <= 20 THEN 1200 + 20 * q ELSE 1800 + 14 * q END AS DECIMAL(8,4)) AS volt",
         "CAST(price * 0.0001 AS DECIMAL(8,6)) AS power",
-        "CAST(q * 0.1 AS DECIMAL(8,4)) AS cur",
+        "CAST(0.1 * q AS DECIMAL(8,4)) AS cur",
         "CAST(1 - discount AS DECIMAL(8,4)) AS pf",
         "CAST(price * (1 + tax) * 0.001 AS DECIMAL(12,7)) AS energy",
     )
