@@ -4,16 +4,18 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
-from pyspark import cloudpickle
+from pyspark import cloudpickle, inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.functions.timegrid import hour_index
+from wattloom.lineage import cut
 from wattloom.operators.profiles import GROUP, hour_curves, in_band
 from wattloom.settings import DEFAULTS, HOURS_PER_DAY, MeterSettings
 
@@ -91,7 +93,9 @@ def hour_groups(
         *GROUP,
         label(F.col("power"), F.col("volt"), _seed_hours(k or settings.hour_groups, seed)).alias("_labels"),
     )
-    return grouped.select(*GROUP, F.posexplode("_labels").alias("_hour", "hourgroup")).select(
+    # The outer form: a plain one brings a filter on the labels, and with it a second run of the
+    # clustering below the first.
+    return grouped.select(*GROUP, F.posexplode_outer("_labels").alias("_hour", "hourgroup")).select(
         *GROUP, "hourgroup", F.col("_hour").cast("long").alias("hourindex")
     )
 
@@ -129,22 +133,31 @@ def elbow_cost(
     *,
     iterations: int = DEFAULTS.elbow_iterations,
     seed: int = 1,
+    parallelism: int = 8,
 ) -> DataFrame:
     """Within-cluster sum of squares for each number of clusters: ``k, cost``.
 
     The points are aggregated features, one row per meter or hour, and are cached over the
-    runs; only the costs come back to the driver.
+    runs. Runs for different ``k`` overlap, as in Spark's own model tuning, since the jobs of
+    a single run leave most of a cluster idle. Only the costs come back to the driver.
     """
-    numeric = [F.col(c).cast("double").alias(c) for c in features]
-    vectors = VectorAssembler(inputCols=list(features), outputCol="features").transform(
-        points.select(*numeric)
-    )
-    vectors = vectors.select("features").persist()
+    # The written copy has as many partitions as its size asks for, which keeps the many short
+    # jobs small, and a lost executor does not recompute the features.
+    numeric = cut(points.select(*[F.col(c).cast("double").alias(c) for c in features]))
+    if numeric.distinct().limit(2).count() < 2:
+        # MLlib needs two different points; one alone is its own centre.
+        return points.sparkSession.createDataFrame([(int(k), 0.0) for k in ks], "k int, cost double")
+    assembler = VectorAssembler(inputCols=list(features), outputCol="features")
+    vectors = assembler.transform(numeric).select("features").persist()
+
+    def cost(k: int) -> tuple[int, float]:
+        model = KMeans(k=k, maxIter=iterations, seed=seed).fit(vectors)
+        return int(k), float(model.summary.trainingCost)
+
     try:
-        costs = []
-        for k in ks:
-            model = KMeans(k=k, maxIter=iterations, seed=seed).fit(vectors)
-            costs.append((int(k), float(model.summary.trainingCost)))
+        vectors.count()  # fills the cache once, before the runs share it
+        with ThreadPool(min(parallelism, len(ks))) as pool:
+            costs = pool.map(inheritable_thread_target(points.sparkSession)(cost), list(ks))
     finally:
         vectors.unpersist()
     return points.sparkSession.createDataFrame(costs, "k int, cost double")

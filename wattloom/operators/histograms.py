@@ -45,11 +45,17 @@ def hour_histograms(
     rows = in_band(curve, settings.band_low_single, settings.band_high).select(
         *GROUP, "dti", F.col("power").cast("double"), F.col("volt_c").cast("double")
     )
-    edges = rows.groupBy(*GROUP).agg(
-        F.min("power").alias("p_low"),
-        F.max("power").alias("p_high"),
-        F.min("volt_c").alias("v_low"),
-        F.max("volt_c").alias("v_high"),
+    # The filter holds for every group. It keeps all four edges alive in both uses of this
+    # aggregation, so that they share one pass over the readings.
+    edges = (
+        rows.groupBy(*GROUP)
+        .agg(
+            F.min("power").alias("p_low"),
+            F.max("power").alias("p_high"),
+            F.min("volt_c").alias("v_low"),
+            F.max("volt_c").alias("v_high"),
+        )
+        .filter("p_low <= p_high AND v_low <= v_high")
     )
     copies = edges.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(edge_copies - 1))))
     samples = rows.filter(is_hour_start(F.col("dti"))).withColumn(

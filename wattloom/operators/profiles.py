@@ -115,7 +115,7 @@ def hour_curves(profile: DataFrame, settings: MeterSettings = DEFAULTS) -> DataF
 
 def hour_features(profile: DataFrame, settings: MeterSettings = DEFAULTS) -> DataFrame:
     """Feature points of the regular groups: ``hourindex, power, volt`` for 24 hours each."""
-    zipped = F.posexplode(F.arrays_zip("power", "volt")).alias("_hour", "_point")
+    zipped = F.posexplode_outer(F.arrays_zip("power", "volt")).alias("_hour", "_point")
     return (
         hour_curves(profile, settings)
         .select(*GROUP, zipped)

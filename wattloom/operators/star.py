@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from wattloom.settings import BASEREADING_CHANNELS, DEFAULTS, FAMILY_COLUMNS
 
+_KEYS = (("meter", "long"), ("timeperiod", "long"), ("value", "double"))
+
 # Phase names are told apart by this pattern.
 _PHASE_PATTERNS = {"none": "%none%", "A": "%A", "B": "%B", "C": "%C"}
 
@@ -46,35 +48,45 @@ def reading_types(readingtype: DataFrame, phase: DataFrame, measurementkind: Dat
     )
 
 
-def to_basereading(long: DataFrame, family: str, types: DataFrame) -> DataFrame:
-    """Long readings of one family (V, A, PF, P, E) as rows of the fact table.
+def _channel_rows(long: DataFrame, family: str) -> DataFrame:
+    value, flag = FAMILY_COLUMNS[family]
+    return long.select(
+        F.lit(family).alias("family"),
+        F.col(flag).cast("int").alias("flag"),
+        F.col("id").cast("long").alias("meter"),
+        F.col("dti").cast("long").alias("timeperiod"),
+        F.col(value).cast("double").alias("value"),
+    ).na.drop("any")
+
 
-    The reading type comes from a join with ``types``, the at most 20 rows of
-    ``reading_types``. Null values and flags without a type give no row; neither does an
-    unknown family.
+def basereading(families: Mapping[str, DataFrame], types: DataFrame) -> DataFrame:
+    """Long readings by family (V, A, PF, P, E) as rows of the fact table.
+
+    The families are stacked and meet ``types``, the at most 20 rows of ``reading_types``,
+    in one broadcast join, so the facts are not shuffled. Null values and flags without a
+    type give no row; neither does an unknown family.
     """
-    value, flag = FAMILY_COLUMNS.get(family, (None, None))
-    if value is None:
-        rows = long.select("id", "dti").limit(0).select("*", F.lit(0.0).alias("value"), F.lit(0).alias("flag"))
-    else:
-        rows = long.select("id", "dti", F.col(value).alias("value"), F.col(flag).cast("int").alias("flag"))
-    lookup = types.filter(F.col("family") == family).select("flag", "readingtypeid")
-    joined = rows.na.drop("any", subset=["id", "dti", "value"]).join(F.broadcast(lookup), "flag")
+    known = [_channel_rows(long, family) for family, long in families.items() if family in FAMILY_COLUMNS]
+    if not known:
+        # No channel of the map matches, so nothing can come out of the join.
+        known = [types.select("family", "flag", *[F.lit(None).cast(t).alias(n) for n, t in _KEYS]).limit(0)]
+    joined = reduce(DataFrame.union, known).join(
+        F.broadcast(types.select("family", "flag", "readingtypeid")), ["family", "flag"]
+    )
     return joined.select(
-        F.col("id").cast("long").alias("meter"),
-        F.col("dti").cast("long").alias("timeperiod"),
+        "meter",
+        "timeperiod",
         F.col("readingtypeid").alias("readingtype"),
         F.lit(None).cast("long").alias("reason"),
         F.lit(None).cast("timestamp_ntz").alias("reporteddatatime"),
-        F.col("value").cast("double").alias("value"),
+        "value",
         F.lit(None).cast("string").alias("source"),
     )
 
 
-def basereading(families: dict[str, DataFrame], types: DataFrame) -> DataFrame:
-    """All given families in one fact table."""
-    parts = [to_basereading(long, family, types) for family, long in families.items()]
-    return reduce(DataFrame.unionByName, parts)
+def to_basereading(long: DataFrame, family: str, types: DataFrame) -> DataFrame:
+    """One family of ``basereading``."""
+    return basereading({family: long}, types)
 
 
 def meter_dims(readings: DataFrame) -> dict[str, DataFrame]:
@@ -149,7 +161,7 @@ def star_readings(
     with skewed meters split by AQE.
     """
     valid = meter.select("meterid").join(
-        identifiedobject.select(F.col("identifiedobjectid").alias("meterid")), "meterid", "left_semi"
+        identifiedobject.select(F.col("identifiedobjectid").alias("meterid")), "meterid"
     )
     kinds = readingtype.select(
         F.col("readingtypeid").alias("readingtype"), "phases", F.col("measurementkind").alias("_kind")
@@ -161,7 +173,7 @@ def star_readings(
     )
     readings = fact.select(F.col("meter").alias("meterid"), "timeperiod", "readingtype", "value")
     return (
-        readings.join(valid, "meterid", "left_semi")
+        readings.join(valid, "meterid")
         .join(kinds, "readingtype")
         .join(intervals, "timeperiod")
         .select(

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from wattloom.operators.groups import hour_group_curve, hour_groups, label_hour_groups
 from wattloom.operators.profiles import hourly_profile, irregular_groups, meter_ids
 from wattloom.operators.star import for_meters
-from wattloom.plans.lineage import cut
+from wattloom.lineage import cut
 from wattloom.settings import DEFAULTS, MeterSettings
 
 

@@ -332,8 +332,8 @@ def hour_group_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def elbow_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
-    profile = op.meter_profile(_long(spark, sf_dir, "power"))
-    return op.elbow_cost(profile, ["totp", "avgp", "maxp"])
+    """Cost of 2 to 20 clusters over the hour points of all meters."""
+    return op.elbow_cost(op.hour_features(_profile(spark, sf_dir)), ["power", "volt"])
 
 
 # --- fits ---------------------------------------------------------------------------------
