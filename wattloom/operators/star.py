@@ -30,10 +30,12 @@ def reading_types(readingtype: DataFrame, phase: DataFrame, measurementkind: Dat
     Only types without a time of use count. The smallest id wins when several match.
     """
     spark = readingtype.sparkSession
-    wanted = spark.createDataFrame(
-        [(*row, _PHASE_PATTERNS[row[3]]) for row in _channels()],
-        "family string, flag int, code string, phase string, pattern string",
+    # An inline table: Spark knows its size and needs no job to ship it.
+    rows = ", ".join(
+        f"('{family}', {flag}, '{code}', '{phase}', '{_PHASE_PATTERNS[phase]}')"
+        for family, flag, code, phase in _channels()
     )
+    wanted = spark.sql(f"SELECT * FROM VALUES {rows} AS t(family, flag, code, phase, pattern)")
     named = (
         readingtype.filter("tou IS NULL")
         .join(phase.select(F.col("phasecode").alias("phases"), F.col("code").alias("phasename")), "phases")
@@ -161,7 +163,7 @@ def star_readings(
     with skewed meters split by AQE.
     """
     valid = meter.select("meterid").join(
-        identifiedobject.select(F.col("identifiedobjectid").alias("meterid")), "meterid"
+        identifiedobject.select(F.col("identifiedobjectid").alias("meterid")), "meterid", "left_semi"
     )
     kinds = readingtype.select(
         F.col("readingtypeid").alias("readingtype"), "phases", F.col("measurementkind").alias("_kind")

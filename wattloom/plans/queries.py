@@ -151,15 +151,14 @@ def reading_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _types(spark, sf_dir)
 
 
-def _fact(spark: SparkSession, sf_dir: str, *families: str) -> DataFrame:
-    rows = sample.readings(spark, sf_dir)
+def _fact(spark: SparkSession, sf_dir: str, rows: DataFrame, *families: str) -> DataFrame:
     parts = {f: sample.family(rows, FAMILY_VALUES[f]) for f in families}
     return op.basereading(parts, _types(spark, sf_dir))
 
 
 def _basereading(family: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _fact(spark, sf_dir, family)
+        return _fact(spark, sf_dir, sample.readings(spark, sf_dir), family)
 
     return query
 
@@ -167,7 +166,7 @@ def _basereading(family: str) -> Query:
 def _star(spark: SparkSession, sf_dir: str, *families: str) -> DataFrame:
     rows = sample.readings(spark, sf_dir)
     return op.star_readings(
-        _fact(spark, sf_dir, *families),
+        _fact(spark, sf_dir, rows, *families),
         sample.meters(spark, sf_dir),
         op.meter_dims(rows)["identifiedobject"],
         sample.reading_type_table(spark, sf_dir),
@@ -266,7 +265,8 @@ def qv_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pqvcf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = [_long(spark, sf_dir, v) for v in ("volt", "power", "cur", "pf")]
+    rows = sample.readings(spark, sf_dir)
+    parts = [sample.family(rows, v) for v in ("volt", "power", "cur", "pf")]
     return _doubles(op.pqvcf(*parts))
 
 

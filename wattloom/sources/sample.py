@@ -149,12 +149,17 @@ def reading_type_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _inline(spark: SparkSession, values: dict[int, str], columns: str) -> DataFrame:
+    rows = ", ".join(f"({number}, '{text}')" for number, text in values.items())
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t({columns})")
+
+
 def measurement_kinds(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(MEASUREMENT_KINDS.items()), "measurementkindid int, code string")
+    return _inline(spark, MEASUREMENT_KINDS, "measurementkindid, code")
 
 
 def phases(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(PHASE_NAMES.items()), "phasecode int, code string")
+    return _inline(spark, PHASE_NAMES, "phasecode, code")
 
 
 def intervals(rows: DataFrame) -> DataFrame:
