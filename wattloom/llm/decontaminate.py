@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.llm.text import ITEM_WORDS, grams, lower_ascii, words
+from wattloom.llm.text import ITEM_WORDS, gram_hash, grams, lower_ascii, words
 
 WINDOW = 13
 #: Benchmark windows that may be broadcast, some 60 MB. Larger sets are joined by a shuffle.
@@ -32,7 +32,7 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
         length.alias("length"),
         F.explode(F.transform(starts, lambda i: F.slice("tokens", i, length))).alias("gram"),
     )
-    return pieces.groupBy(F.xxhash64("gram").alias("hash"), "length", "gram").agg(
+    return pieces.groupBy(gram_hash(F.col("gram"), 0, window).alias("hash"), "length", "gram").agg(
         F.collect_set("item").alias("items")
     )
 
