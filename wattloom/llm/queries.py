@@ -5,6 +5,7 @@ from __future__ import annotations
 from wattloom.llm.decontaminate import OP4_SQL, op4_decontamination
 from wattloom.llm.mixing import op8_mixing
 from wattloom.llm.sharding import op6_sharding
+from wattloom.llm.substrings import OP10_SQL, op10_substring_dedup
 from wattloom.llm.urls import OP5_SQL, op5_url_filter
 
 QUERIES = {
@@ -12,9 +13,11 @@ QUERIES = {
     "op5_url_filter": op5_url_filter,
     "op6_sharding": op6_sharding,
     "op8_mixing": op8_mixing,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 SQL = {
     "op4_decontamination": OP4_SQL,
     "op5_url_filter": OP5_SQL,
+    "op10_substring_dedup": OP10_SQL,
 }
