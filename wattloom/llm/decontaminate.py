@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.llm.text import ITEM_WORDS, gram_hash, grams, lower_ascii, words
+from wattloom.llm.store import keep
+from wattloom.llm.text import ITEM_WORDS, lower_ascii, words
 
 WINDOW = 13
-#: Benchmark windows that may be broadcast, some 60 MB. Larger sets are joined by a shuffle.
+#: Benchmark windows in one broadcast, some 60 MB.
 BROADCAST_WINDOWS = 300_000
 
 
@@ -17,23 +18,29 @@ def _words(text: Column) -> Column:
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Distinct windows ``hash, length, gram, items`` of a benchmark ``(item_id, text)``.
+    """Distinct windows ``gram, items`` of a benchmark ``(item_id, text)``, ``gram`` an array of words.
 
     An item shorter than the window is one window; items without words have none. A null
     ``item_id`` counts as the empty id, and rows with the same id are one item.
     """
     item = F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item")
     tokens = benchmark.select(item, F.explode(F.array(_words(F.col("text")))).alias("tokens"))
-    tokens = tokens.where("size(tokens) > 0")
     length = F.least(F.lit(window), F.size("tokens"))
     starts = F.sequence(F.lit(1), F.size("tokens") - length + 1)
-    pieces = tokens.select(
-        "item",
-        length.alias("length"),
-        F.explode(F.transform(starts, lambda i: F.slice("tokens", i, length))).alias("gram"),
+    pieces = tokens.where("size(tokens) > 0").select(
+        "item", F.explode(F.transform(starts, lambda i: F.slice("tokens", i, length))).alias("gram")
     )
-    return pieces.groupBy(gram_hash(F.col("gram"), 0, window).alias("hash"), "length", "gram").agg(
-        F.collect_set("item").alias("items")
+    return pieces.groupBy("gram").agg(F.collect_set("item").alias("items"))
+
+
+def _by_anchor(windows: DataFrame) -> DataFrame:
+    """Windows ``(offset, gram, items)`` gathered under their longest word, which is likely rare."""
+    longest = F.array_max(
+        F.transform("gram", lambda w, i: F.struct(F.length(w).alias("n"), w.alias("word"), i.alias("at")))
+    )
+    placed = windows.select(longest.alias("longest"), "gram", "items")
+    return placed.groupBy(F.col("longest.word").alias("word")).agg(
+        F.collect_list(F.struct(F.col("longest.at").alias("offset"), "gram", "items")).alias("windows")
     )
 
 
@@ -47,25 +54,22 @@ def _parts(docs: DataFrame) -> DataFrame:
 def benchmark_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """Every benchmark window in the documents: ``doc_id, part, start, length, items``.
 
-    ``start`` counts words from 0. Hits found by hash are verified word by word.
+    ``start`` counts words from 0. The set of windows is broadcast, keyed by one word of each;
+    at every document word that is such a key the windows around it are compared word by word.
+    A set over the bound is broadcast in blocks, with a scan of the documents for each.
     """
-    known = benchmark_windows(benchmark, window)
-    sizes = known.groupBy("length").count().collect()  # at most one row per length
-    if sum(r["count"] for r in sizes) <= BROADCAST_WINDOWS:
-        known = F.broadcast(known)
-    parts = _parts(docs)
+    known = keep(benchmark_windows(benchmark, window), "benchmark-windows")
+    blocks = max(1, -(-known.count() // BROADCAST_WINDOWS))
     found = None
-    for length in sorted(r["length"] for r in sizes):
-        hashed = parts.withColumn("grams", grams(F.col("tokens"), length))
-        spots = hashed.select("doc_id", "part", "tokens", F.posexplode("grams").alias("start", "hash"))
-        hits = spots.join(known.where(F.col("length") == length), "hash").where(
-            F.slice("tokens", F.col("start") + 1, length) == F.col("gram")
-        )
-        hits = hits.select("doc_id", "part", "start", "length", "items")
+    for block in range(blocks):
+        part = known.where(F.pmod(F.xxhash64("gram"), F.lit(blocks)) == block) if blocks > 1 else known
+        words_at = _parts(docs).select("doc_id", "part", "tokens", F.posexplode("tokens").alias("at", "word"))
+        near = words_at.join(F.broadcast(_by_anchor(part)), "word")
+        near = near.select("doc_id", "part", "tokens", "at", F.explode("windows").alias("w"))
+        start, length = F.col("at") - F.col("w.offset"), F.size("w.gram")
+        hits = near.where(start >= 0).where(F.slice("tokens", start + 1, length) == F.col("w.gram"))
+        hits = hits.select("doc_id", "part", start.alias("start"), length.alias("length"), F.col("w.items").alias("items"))
         found = hits if found is None else found.unionByName(hits)
-    if found is None:
-        schema = f"{docs.select('doc_id').schema.simpleString()[7:-1]},part:bigint,start:int,length:int,items:array<string>"
-        return docs.sparkSession.createDataFrame([], schema)
     return found
 
 

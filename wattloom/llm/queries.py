@@ -6,9 +6,11 @@ from wattloom.llm.decontaminate import OP4_SQL, op4_decontamination
 from wattloom.llm.mixing import op8_mixing
 from wattloom.llm.sharding import op6_sharding
 from wattloom.llm.substrings import OP10_SQL, op10_substring_dedup
+from wattloom.llm.triejoin import OP3_SQL, op3_ngram_jaccard
 from wattloom.llm.urls import OP5_SQL, op5_url_filter
 
 QUERIES = {
+    "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_decontamination": op4_decontamination,
     "op5_url_filter": op5_url_filter,
     "op6_sharding": op6_sharding,
@@ -17,6 +19,7 @@ QUERIES = {
 }
 
 SQL = {
+    "op3_ngram_jaccard": OP3_SQL,
     "op4_decontamination": OP4_SQL,
     "op5_url_filter": OP5_SQL,
     "op10_substring_dedup": OP10_SQL,

@@ -21,16 +21,3 @@ def words(text: Column, pattern: str = BLANK_WORDS) -> Column:
     """The words of a text in order; an empty array for null."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     return F.coalesce(found, F.array().cast("array<string>"))
-
-
-def gram_hash(tokens: Column, start: Column | int, n: int) -> Column:
-    """64-bit hash of the ``n`` tokens from ``start`` (0-based); those beyond the end do not count."""
-    # Single elements, since slice() copies the whole array each time.
-    return F.xxhash64(*[F.get(tokens, F.lit(start) + k) for k in range(n)])
-
-
-def grams(tokens: Column, n: int) -> Column:
-    """Hashes of all runs of ``n`` tokens, by start; empty if there are fewer."""
-    starts = F.sequence(F.lit(0), F.size(tokens) - n)
-    hashes = F.transform(starts, lambda i: gram_hash(tokens, i, n))
-    return F.when(F.size(tokens) >= n, hashes).otherwise(F.array().cast("array<bigint>"))
