@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from wattloom.llm.brown import op2_lm_score
 from wattloom.llm.decontaminate import OP4_SQL, op4_decontamination
 from wattloom.llm.mixing import op8_mixing
 from wattloom.llm.sharding import op6_sharding
@@ -10,6 +11,7 @@ from wattloom.llm.triejoin import OP3_SQL, op3_ngram_jaccard
 from wattloom.llm.urls import OP5_SQL, op5_url_filter
 
 QUERIES = {
+    "op2_lm_score": op2_lm_score,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_decontamination": op4_decontamination,
     "op5_url_filter": op5_url_filter,
