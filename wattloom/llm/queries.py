@@ -7,6 +7,7 @@ from wattloom.llm.decontaminate import OP4_SQL, op4_decontamination
 from wattloom.llm.mixing import op8_mixing
 from wattloom.llm.sharding import op6_sharding
 from wattloom.llm.substrings import OP10_SQL, op10_substring_dedup
+from wattloom.llm.toxicity import op9_toxicity
 from wattloom.llm.triejoin import OP3_SQL, op3_ngram_jaccard
 from wattloom.llm.urls import OP5_SQL, op5_url_filter
 
@@ -17,6 +18,7 @@ QUERIES = {
     "op5_url_filter": op5_url_filter,
     "op6_sharding": op6_sharding,
     "op8_mixing": op8_mixing,
+    "op9_toxicity": op9_toxicity,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
