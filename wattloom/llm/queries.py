@@ -5,6 +5,7 @@ from __future__ import annotations
 from wattloom.llm.brown import op2_lm_score
 from wattloom.llm.decontaminate import OP4_SQL, op4_decontamination
 from wattloom.llm.mixing import op8_mixing
+from wattloom.llm.quality import op7_quality_rules
 from wattloom.llm.sharding import op6_sharding
 from wattloom.llm.substrings import OP10_SQL, op10_substring_dedup
 from wattloom.llm.toxicity import op9_toxicity
@@ -17,6 +18,7 @@ QUERIES = {
     "op4_decontamination": op4_decontamination,
     "op5_url_filter": op5_url_filter,
     "op6_sharding": op6_sharding,
+    "op7_quality_rules": op7_quality_rules,
     "op8_mixing": op8_mixing,
     "op9_toxicity": op9_toxicity,
     "op10_substring_dedup": op10_substring_dedup,
