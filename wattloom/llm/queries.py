@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from wattloom.llm.brown import op2_lm_score
 from wattloom.llm.decontaminate import OP4_SQL, op4_decontamination
+from wattloom.llm.licenses import OP1_SQL, op1_license_scan
 from wattloom.llm.mixing import op8_mixing
 from wattloom.llm.quality import op7_quality_rules
 from wattloom.llm.sharding import op6_sharding
@@ -13,6 +15,7 @@ from wattloom.llm.triejoin import OP3_SQL, op3_ngram_jaccard
 from wattloom.llm.urls import OP5_SQL, op5_url_filter
 
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
     "op2_lm_score": op2_lm_score,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_decontamination": op4_decontamination,
@@ -22,9 +25,11 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_toxicity": op9_toxicity,
     "op10_substring_dedup": op10_substring_dedup,
+    "pipeline": corpus_pipeline.run,
 }
 
 SQL = {
+    "op1_license_scan": OP1_SQL,
     "op3_ngram_jaccard": OP3_SQL,
     "op4_decontamination": OP4_SQL,
     "op5_url_filter": OP5_SQL,
