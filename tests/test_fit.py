@@ -17,7 +17,7 @@ def test_fit_matches_numpy(spark, degree, origin):
     for g in ("a", "b", "c"):
         x = np.round(rng.uniform(-3, 3, 60), 2) + origin
         groups[g] = list(zip(x, rng.normal(0, 1, 60) + 0.3 * (x - origin) ** 2))
-    got = fit_curve(frame(spark, groups), ["g"], degree=degree, origin=origin).collect()
+    got = fit_curve(frame(spark, groups), ["g"], degree=degree).collect()
     assert len(got) == 3
     for r in got:
         x, y = map(np.array, zip(*groups[r.g]))
@@ -31,7 +31,7 @@ def test_fit_matches_numpy(spark, degree, origin):
 def test_too_few_distinct_x_give_nulls(spark, degree):
     exact = [(200 + 3 * i, 1.0 + i) for i in range(degree + 1)]
     groups = {"short": [exact[i % degree] for i in range(20)], "enough": exact * 3}
-    got = {r.g: r for r in fit_curve(frame(spark, groups), ["g"], degree=degree, origin=220.0).collect()}
+    got = {r.g: r for r in fit_curve(frame(spark, groups), ["g"], degree=degree).collect()}
     names = [f"c{n}" for n in range(degree + 1)]
     assert all(got["short"][c] is None for c in names)
     assert all(got["enough"][c] is not None for c in names)
@@ -45,3 +45,22 @@ def test_nulls_are_left_out(spark):
     )
     (r,) = fit_curve(df, ["g"]).collect()
     assert r.points == 2 and abs(r.c0) < 1e-12 and abs(r.c1 - 2) < 1e-12
+
+
+def test_close_points_are_still_distinct(spark):
+    points = [(220.0, 1.0)] * 240 + [(220.0004, 3.0), (300.0, 2.0)]
+    (r,) = fit_curve(frame(spark, {"a": points}), ["g"], degree=2).collect()
+    assert r.points == 242 and r.c2 is not None
+    fitted = [r.c0 + r.c1 * x + r.c2 * x * x for x in (220.0, 220.0004, 300.0)]
+    np.testing.assert_allclose(fitted, [1.0, 3.0, 2.0], atol=0.05)
+
+
+def test_null_group_and_narrow_band(spark):
+    rng = np.random.default_rng(3)
+    x = rng.uniform(229.5, 230.5, 500)
+    data = [(None, float(a), float(np.sin(3 * a))) for a in x]
+    df = spark.createDataFrame(data, "g string, volt_c double, power double")
+    (r,) = fit_curve(df, ["g"], degree=3).collect()
+    want = np.polynomial.Polynomial.fit(x, np.sin(3 * x), 3)(x)
+    fitted = r.c0 + x * (r.c1 + x * (r.c2 + x * r.c3))
+    np.testing.assert_allclose(fitted, want, atol=1e-6)

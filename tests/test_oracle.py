@@ -11,7 +11,7 @@ import __spark_entry__ as contract
 
 SF = "/root/testdata/sf0.001"
 QUERIES, SQL = contract.queries(), contract.oracle_sql()
-ROWS_ONLY = {"adaptive_histograms", "adaptive_vectors", "smallest_histograms", "elbow_cost"}
+ROWS_ONLY = {"adaptive_histograms", "adaptive_vectors"}
 
 
 @pytest.fixture(scope="module")

@@ -72,7 +72,7 @@ def test_series_files(spark, tmp_path):
 def test_publish_follows_the_run_mode(spark):
     tables = {name: spark.range(1) for name in OUTPUTS}
     for run_mode, expected in {
-        1: {"pvsd", "qvsd", "meterids", "hourgroup", "irregular", "pvsdhg2", "qvsdhg2"},
+        1: {"pvsd", "qvsd", "meterids", "hourgroup", "irregular"},
         2: {"datetimeinterval", "volt", "basereading", "identifiedobject", "enddevice", "meter",
             "voltoutsum", "pvcurve", "qvcurve"},
         3: {"voltagelow", "voltagehigh", "voltageout", "pvcurve", "qvcurve"},
@@ -80,7 +80,18 @@ def test_publish_follows_the_run_mode(spark):
     }.items():
         seen = {}
         done = publish(tables, run_mode, lambda name, df, rule: seen.update({name: rule.mode}))
-        assert set(done) == set(seen) == expected
+        assert set(done) == set(seen) == expected | {"hourgroup2", "pvsdhg2", "qvsdhg2"}
     assert seen["pqvcf"] == "errorifexists"
+    assert (OUTPUTS["pqvcf"].width, OUTPUTS["meter"].width) == (140, 70)
     with pytest.raises(KeyError):
         publish({"nothing": spark.range(1)}, 1, lambda *a: None)
+
+
+def test_width_does_not_narrow_the_stage_before(spark, tmp_path):
+    tasks = spark.range(0, 600, 1, 6).selectExpr("id", "spark_partition_id() AS task")
+    for name, sort_by in (("plain", ()), ("sorted", ("id",))):
+        path = str(tmp_path / name)
+        write_table(tasks, path, width=2, sort_by=sort_by)
+        back = read_table(spark, path)
+        assert back.select("task").distinct().count() == 6 and back.count() == 600
+        assert len([p for p in os.listdir(path) if p.startswith("part-")]) == 2

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -10,14 +12,13 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 def cut(df: DataFrame) -> DataFrame:
     """A copy of ``df`` in the shared folder the cluster names, safe against lost executors.
 
-    The folder is the session's ``spark.checkpoint.dir``. Without one the plan is returned
-    unchanged: it is deterministic, so computing it once per output gives the same rows.
+    The folder is the session's ``spark.checkpoint.dir``; only where that is unset, as in local
+    runs, a folder of its own. All outputs then see the same rows. Sums of doubles may differ
+    in the last bits from run to run; decimal readings do not.
     """
     spark = df.sparkSession
-    folder = spark.conf.get(CHECKPOINT_DIR, None)
-    if not folder:
-        return df
     context = spark.sparkContext
     if not context.getCheckpointDir():
+        folder = spark.conf.get(CHECKPOINT_DIR, None) or tempfile.mkdtemp(prefix="wattloom-")
         context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)

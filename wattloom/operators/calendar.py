@@ -29,18 +29,29 @@ def interval_calendar(
     return _intervals(ids, epoch)
 
 
-def interval_calendar_of(readings: DataFrame, epoch: dt.date = DEFAULTS.epoch) -> DataFrame:
+def interval_calendar_of(
+    readings: DataFrame,
+    epoch: dt.date = DEFAULTS.epoch,
+    *,
+    first: dt.date | None = None,
+    last: dt.date | None = None,
+) -> DataFrame:
     """Interval dimension for every whole day between the first and last reading.
 
-    The span is one aggregated row, exploded to days and then to slots, so nothing is
-    collected and the calendar always covers the fact table it is joined with.
+    The span is one aggregated row, exploded to days, dealt out and exploded to slots, so
+    nothing is collected and the calendar always covers the fact table it is joined with.
+    ``first`` and ``last`` bound the span, so that one bad timestamp cannot stretch it.
     """
-    span = readings.agg(
-        F.min(F.col("ts").cast("date")).alias("first"), F.max(F.col("ts").cast("date")).alias("last")
-    )
+    day = F.col("ts").cast("date")
+    if first is not None:
+        readings = readings.filter(day >= F.lit(first))
+    if last is not None:
+        readings = readings.filter(day <= F.lit(last))
+    span = readings.agg(F.min(day).alias("first"), F.max(day).alias("last"))
     days = span.filter("first IS NOT NULL").select(
         F.explode(F.sequence("first", "last")).alias("day")
     )
+    days = days.repartition("day")
     slots = days.select("day", F.explode(F.sequence(F.lit(1), F.lit(SLOTS_PER_DAY))).alias("idx"))
     ids = slots.select(slot_dti(F.col("day"), F.col("idx"), epoch).alias("datetimeintervalid"))
     return _intervals(ids, epoch)

@@ -4,79 +4,55 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Sequence
-from math import comb
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # The helpers below travel with the job, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Relative size below which a normal matrix counts as singular.
-SINGULAR = 1e-10
 
+def _solve(matrix: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Solutions of a stack of symmetric systems; least-norm ones where rounding makes one singular."""
+    try:
+        return np.linalg.solve(matrix, right[:, :, None])[:, :, 0]
+    except np.linalg.LinAlgError:
+        return np.einsum("gij,gj->gi", np.linalg.pinv(matrix, hermitian=True), right)
 
-def _standardised(sums: np.ndarray, about: np.ndarray, scale: np.ndarray) -> np.ndarray:
-    """Sums of powers of ``u`` turned into sums of powers of ``(u - about) / scale``."""
-    out = np.zeros_like(sums)
-    for m in range(sums.shape[1]):
-        for j in range(m + 1):
-            out[:, m] += comb(m, j) * sums[:, j] * (-about) ** (m - j)
-        out[:, m] /= scale**m
+
+def _in_x(unit: np.ndarray, middle: np.ndarray, spread: np.ndarray) -> np.ndarray:
+    """Coefficients in ``x`` of polynomials given in ``(x - middle) / spread``, by Horner's scheme."""
+    out = np.zeros_like(unit)
+    for n in range(unit.shape[1] - 1, -1, -1):
+        shifted = np.pad(out[:, :-1], ((0, 0), (1, 0)))
+        out = (shifted - middle[:, None] * out) / spread[:, None]
+        out[:, 0] += unit[:, n]
     return out
 
 
 def _solver(degree: int):
-    """Solves the normal equations of a batch of groups from their power sums."""
+    """Solves the normal equations of all groups of a batch at once."""
 
     @F.pandas_udf("array<double>")
-    def solve(x_sums: pd.Series, xy_sums: pd.Series) -> pd.Series:
-        if x_sums.empty:
+    def solve(z_sums: pd.Series, zy_sums: pd.Series, middle: pd.Series, spread: pd.Series) -> pd.Series:
+        if z_sums.empty:
             return pd.Series([], dtype=object)
-        sums, right = np.stack(x_sums.to_numpy()), np.stack(xy_sums.to_numpy())
-        centre = sums[:, 1] / sums[:, 0]
-        spread = np.sqrt(np.maximum(sums[:, 2] / sums[:, 0] - centre * centre, 0.0))
-        spread = np.where(spread > 0, spread, 1.0)
-        sums, right = _standardised(sums, centre, spread), _standardised(right, centre, spread)
+        sums, right = np.stack(z_sums.to_numpy()), np.stack(zy_sums.to_numpy())
         order = np.arange(degree + 1)
         matrix = sums[:, order[:, None] + order[None, :]]
-        size = np.sqrt(np.maximum(np.diagonal(matrix, axis1=1, axis2=2), np.finfo(float).tiny))
+        size = np.sqrt(np.diagonal(matrix, axis1=1, axis2=2))
         matrix = matrix / (size[:, :, None] * size[:, None, :])
-        solvable = np.linalg.det(matrix) > SINGULAR
-        found: list = [None] * len(sums)
-        for i in np.flatnonzero(solvable):
-            unit = np.linalg.solve(matrix[i], right[i] / size[i]) / size[i]
-            in_u = np.polynomial.Polynomial(unit)(np.polynomial.Polynomial([-centre[i], 1.0]) / spread[i])
-            found[i] = np.pad(in_u.coef, (0, degree + 1 - len(in_u.coef)))
-        return pd.Series(found)
+        unit = _solve(matrix, right / size) / size
+        return pd.Series(list(_in_x(unit, middle.to_numpy(float), spread.to_numpy(float))))
 
     return solve
 
 
-def _quadratic(u: Column, y: Column) -> tuple[list[Column], Column]:
-    """Power sums about an origin and the coefficients they give, ascending in ``u``."""
-    sums = [F.sum(F.pow(u, F.lit(float(n)))).alias(f"_s{n}") for n in range(1, 5)]
-    sums += [F.sum(y).alias("_t0"), F.sum(u * y).alias("_t1"), F.sum(u * u * y).alias("_t2")]
-    n, s1, s2, s3, s4 = F.col("points"), *[F.col(f"_s{i}") / F.col("points") for i in range(1, 5)]
-    t0, t1, t2 = [F.col(f"_t{i}") / n for i in range(3)]
-    # Moments about the mean of u.
-    c2 = s2 - s1 * s1
-    c3 = s3 - 3 * s1 * s2 + 2 * s1 * s1 * s1
-    c4 = s4 - 4 * s1 * s3 + 6 * s1 * s1 * s2 - 3 * s1 * s1 * s1 * s1
-    d1 = t1 - s1 * t0
-    d2 = t2 - 2 * s1 * t1 + s1 * s1 * t0 - c2 * t0
-    det = c2 * (c4 - c2 * c2) - c3 * c3
-    b2 = (c2 * d2 - c3 * d1) / det
-    b1 = ((c4 - c2 * c2) * d1 - c3 * d2) / det
-    b0 = t0 - b2 * c2
-    about_origin = F.array(b0 - b1 * s1 + b2 * s1 * s1, b1 - 2 * b2 * s1, b2)
-    # Two distinct points give kurtosis = skewness^2 + 1, so det is zero.
-    return sums, F.when(det > SINGULAR * c2 * c4, about_origin)
-
-
 def fit_curve(
     curve: DataFrame,
     by: Sequence[str],
@@ -84,49 +60,44 @@ def fit_curve(
     x: str = "volt_c",
     y: str = "power",
     degree: int = 1,
-    origin: float = 0.0,
 ) -> DataFrame:
     """Coefficients ``c0..cn`` of the least-squares polynomial of ``y`` on ``x`` per group.
 
-    One aggregation per fit: every task reduces its rows to a few sums per group, whatever
-    the size of the group. Sums are taken about ``origin``, a value near the data such as the
-    nominal voltage, to keep high powers well conditioned. Groups with too few distinct ``x``
-    get nulls. Degree 1 uses the built-in regression, degree 2 a closed form, and higher
-    degrees solve the small normal equations of the aggregated groups.
+    Two aggregations, whatever the size of a group: the first finds its mean, its spread and
+    the number of distinct ``x``, the second sums powers of the centred and scaled ``x``, so no
+    origin has to be known. Groups with ``degree`` distinct ``x`` or fewer get nulls. The group
+    statistics are joined back to the rows, a join that Spark splits for a large group.
     """
-    u = F.col(x).cast("double") - F.lit(origin)
-    v = F.col(y).cast("double")
-    rows = curve.select(*by, u.alias("_u"), v.alias("_v")).na.drop("any", subset=["_u", "_v"])
+    rows = curve.select(
+        *by, F.col(x).cast("double").alias("_u"), F.col(y).cast("double").alias("_v")
+    ).na.drop("any", subset=["_u", "_v"])
     u, v = F.col("_u"), F.col("_v")
-    points = F.count("*").alias("points")
-    if degree == 1:
-        slope = F.regr_slope(v, u)
-        spread = F.min(u) < F.max(u)
-        sums = rows.groupBy(*by).agg(
-            points, F.when(spread, F.array(F.regr_intercept(v, u), slope)).alias("_coef")
+    middle = F.avg(u)
+    stats = rows.groupBy(*by).agg(
+        F.count("*").alias("points"),
+        F.count_distinct(u).alias("_levels"),
+        middle.alias("_middle"),
+        F.greatest(F.max(u) - middle, middle - F.min(u)).alias("_spread"),
+    )
+    solvable = stats.filter(F.col("_levels") > degree).select(
+        *[F.col(c).alias(f"_of_{c}") for c in by], "_middle", "_spread"
+    )
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in by])
+    z = (u - F.col("_middle")) / F.col("_spread")
+    powers = [F.pow(F.col("_z"), F.lit(float(n))) for n in range(2 * degree + 1)]
+    sums = (
+        rows.join(solvable, same)
+        .select(*by, "_middle", "_spread", z.alias("_z"), v)
+        .groupBy(*[F.col(c).alias(f"_of_{c}") for c in by])
+        .agg(
+            F.array(*[F.sum(p) for p in powers]).alias("_sz"),
+            F.array(*[F.sum(p * v) for p in powers[: degree + 1]]).alias("_sv"),
+            F.min("_middle").alias("_m"),
+            F.min("_spread").alias("_s"),
         )
-    elif degree == 2:
-        wanted, coef = _quadratic(u, v)
-        sums = rows.groupBy(*by).agg(points, *wanted).withColumn("_coef", coef)
-    else:
-        x_sums = F.array(*[F.sum(F.pow(u, F.lit(float(n)))) for n in range(2 * degree + 1)])
-        xy_sums = F.array(*[F.sum(F.pow(u, F.lit(float(n))) * v) for n in range(degree + 1)])
-        sums = rows.groupBy(*by).agg(points, x_sums.alias("_sx"), xy_sums.alias("_sy"))
-        sums = sums.withColumn("_coef", _solver(degree)("_sx", "_sy"))
-    if origin:
-        sums = sums.withColumn("_coef", _moved("_coef", degree, origin))
-    return sums.select(
+        .withColumn("_coef", _solver(degree)("_sz", "_sv", "_m", "_s"))
+    )
+    found = stats.join(sums.select(*[f"_of_{c}" for c in by], "_coef"), same, "left")
+    return found.select(
         *by, "points", *[F.get("_coef", F.lit(n)).alias(f"c{n}") for n in range(degree + 1)]
     )
-
-
-def _moved(coef: str, degree: int, origin: float) -> Column:
-    """Coefficients in ``x`` of a polynomial given in ``x - origin``, by Horner's scheme."""
-    terms = [F.get(coef, F.lit(n)) for n in range(degree + 1)]
-    result: list[Column] = [terms[degree]]
-    for n in range(degree - 1, -1, -1):
-        shifted = [F.lit(0.0), *result]
-        scaled = [c * (-origin) for c in result] + [F.lit(0.0)]
-        result = [a + b for a, b in zip(shifted, scaled)]
-        result[0] = result[0] + terms[n]
-    return F.when(F.col(coef).isNotNull(), F.array(*result))

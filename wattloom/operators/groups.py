@@ -4,13 +4,11 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Sequence
-from multiprocessing.pool import ThreadPool
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark import cloudpickle, inheritable_thread_target
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -131,33 +129,58 @@ def elbow_cost(
     features: Sequence[str],
     ks: Sequence[int] = range(2, 21),
     *,
-    iterations: int = DEFAULTS.elbow_iterations,
-    seed: int = 1,
-    parallelism: int = 8,
+    rounds: int = DEFAULTS.elbow_rounds,
 ) -> DataFrame:
     """Within-cluster sum of squares for each number of clusters: ``k, cost``.
 
-    The points are aggregated features, one row per meter or hour, and are cached over the
-    runs. Runs for different ``k`` overlap, as in Spark's own model tuning, since the jobs of
-    a single run leave most of a cluster idle. Only the costs come back to the driver.
+    Lloyd's rounds for all ``k`` together, one aggregation each. The centres start evenly
+    spaced between the smallest and the largest value of every feature, empty clusters vanish
+    and ties go to the lowest centre. Sums are exact decimals, so neither partitioning nor a
+    task that runs again changes a bit. Only centres reach the driver, ``sum(ks)`` a round. One
+    distinct point gives cost 0, no point gives no rows.
     """
-    # The written copy has as many partitions as its size asks for, which keeps the many short
-    # jobs small, and a lost executor does not recompute the features.
-    numeric = cut(points.select(*[F.col(c).cast("double").alias(c) for c in features]))
-    if numeric.distinct().limit(2).count() < 2:
-        # MLlib needs two different points; one alone is its own centre.
-        return points.sparkSession.createDataFrame([(int(k), 0.0) for k in ks], "k int, cost double")
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features")
-    vectors = assembler.transform(numeric).select("features").persist()
-
-    def cost(k: int) -> tuple[int, float]:
-        model = KMeans(k=k, maxIter=iterations, seed=seed).fit(vectors)
-        return int(k), float(model.summary.trainingCost)
-
-    try:
-        vectors.count()  # fills the cache once, before the runs share it
-        with ThreadPool(min(parallelism, len(ks))) as pool:
-            costs = pool.map(inheritable_thread_target(points.sparkSession)(cost), list(ks))
-    finally:
-        vectors.unpersist()
-    return points.sparkSession.createDataFrame(costs, "k int, cost double")
+    spark = points.sparkSession
+    exact = [F.col(c).cast("decimal(20,12)").alias(c) for c in features]
+    numeric = cut(points.select(*exact).na.drop("any"))
+    low_high = [f(c).cast("double").alias(f"{n}_{c}") for c in features for n, f in (("low", F.min), ("high", F.max))]
+    span = numeric.agg(F.count("*").alias("n"), *low_high).first()
+    schema = "k int, cost double"
+    if not span.n:
+        return spark.createDataFrame([], schema)
+    centres = {
+        int(k): [
+            (i, *[span[f"low_{c}"] + (i + 0.5) * (span[f"high_{c}"] - span[f"low_{c}"]) / k for c in features])
+            for i in range(k)
+        ]
+        for k in ks
+    }
+    fields = ", ".join(f"_{c}: double" for c in features)
+
+    def assigned() -> DataFrame:
+        """Every point once for each ``k``, with its nearest centre and the squared distance."""
+        table = spark.createDataFrame(
+            list(centres.items()), f"k int, centres array<struct<i: int, {fields}>>"
+        )
+        each = numeric.select(*[F.col(c).cast("double").alias(c) for c in features], F.explode(
+            F.array(*[F.lit(k) for k in centres])
+        ).alias("k"))
+
+        def distance(m):
+            gaps = [(F.col(c) - m[f"_{c}"]) * (F.col(c) - m[f"_{c}"]) for c in features]
+            return F.struct(reduce(lambda a, b: a + b, gaps).alias("d"), m["i"].alias("i"))
+
+        nearest = F.array_min(F.transform("centres", distance))
+        # One row for each k.
+        return each.join(F.broadcast(table), "k").select("k", *features, nearest.alias("near"))
+
+    for _ in range(rounds):
+        sums = [F.sum(F.col(c).cast("decimal(20,12)")).cast("double").alias(c) for c in features]
+        found = assigned().groupBy("k", F.col("near.i").alias("i")).agg(F.count("*").alias("n"), *sums).collect()
+        moved: dict[int, list[tuple]] = {k: [] for k in centres}
+        for r in sorted(found, key=lambda r: (r.k, r.i)):
+            moved[r.k].append((r.i, *[r[c] / r.n for c in features]))
+        if moved == centres:
+            break
+        centres = moved
+    cost = F.sum(F.col("near.d").cast("decimal(30,15)")).cast("double").alias("cost")
+    return assigned().groupBy("k").agg(cost)

@@ -9,9 +9,6 @@ from wattloom.functions.timegrid import bucket, hour_index, is_hour_start
 from wattloom.operators.profiles import GROUP, in_band
 from wattloom.settings import DEFAULTS, HOURS_PER_DAY, MeterSettings
 
-# Copies of each edge row, so one large group is binned by this many tasks.
-EDGE_COPIES = 32
-
 
 def _bin(value: str, low: str, high: str, bins: int) -> Column:
     """Equal-width bin of ``value``: the number of inner edges at or below it.
@@ -30,14 +27,15 @@ def hour_histograms(
     *,
     power_bins: int | None = None,
     volt_bins: int | None = None,
-    edge_copies: int = EDGE_COPIES,
+    edge_copies: int | None = None,
 ) -> DataFrame:
     """Bin counts ``p0.., v0..`` of the hour-start readings, 24 rows per group.
 
     The edges span all readings of a group in the single-meter band. They are one row per
     group and are joined back to the readings under a salt that follows the input partition:
-    the readings of one large group meet a copy of their edges in ``edge_copies`` places, and
-    the counts are combined per task before they are shuffled. Hours without readings enter
+    the readings of one large group meet a copy of their edges in ``edge_copies`` places, as
+    many as there are shuffle partitions unless told otherwise, and the counts are combined per
+    task before they are shuffled. Hours without readings enter
     the same aggregation as zero rows.
     """
     n_power = power_bins or settings.power_bins
@@ -57,6 +55,7 @@ def hour_histograms(
         )
         .filter("p_low <= p_high AND v_low <= v_high")
     )
+    edge_copies = edge_copies or int(curve.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     copies = edges.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(edge_copies - 1))))
     samples = rows.filter(is_hour_start(F.col("dti"))).withColumn(
         "_salt", F.pmod(F.spark_partition_id(), F.lit(edge_copies))

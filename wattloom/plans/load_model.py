@@ -32,6 +32,7 @@ def load_model(
     return {
         "meterids": meter_ids(profile),
         "hourgroup": groups,
+        "hourgroup2": groups,
         "irregular": irregular_groups(profile, min_points=settings.min_points),
         "pvsdhg": label_hour_groups(pv, groups),
         "pvsdhg2": label_hour_groups(for_meters(pv, grouped_meters), groups),

@@ -2,20 +2,33 @@
 
 from __future__ import annotations
 
-from wattloom.settings import (
-    BASEREADING_CHANNELS,
-    CURRENT_PHASES,
-    DAY_CURVES,
-    DAYTYPES,
-    FACTOR_PHASES,
-    LOAD_TYPES,
-    POWER_TYPES,
-    SEASONS,
-    VOLT_PHASES,
-)
-from wattloom.sources.sample import MEASUREMENT_KINDS, PHASE_NAMES
-
-SLOTS = range(1, 97)
+# Fixed values, stated here anew so that a wrong entry on the other side shows.
+VOLT_PHASES = {1: "volt_a", 2: "volt_b", 3: "volt_c"}
+CURRENT_PHASES = {1: "cur_a", 2: "cur_b", 3: "cur_c"}
+FACTOR_PHASES = {0: "pfsum", 1: "pf_a", 2: "pf_b", 3: "pf_c"}
+POWER_TYPES = {1: "psum", 2: "pa", 3: "pb", 4: "pc", 5: "qsum", 6: "qa", 7: "qb", 8: "qc"}
+DAY_CURVES = {
+    "P": ("P", "data_type", 1),
+    "Q": ("P", "data_type", 5),
+    "V": ("U", "phase_flag", 0),
+    "A": ("I", "phase_flag", 0),
+    "PF": ("C", "phase_flag", 0),
+    "EP": ("R", "data_type", 1),
+    "EQ": ("R", "data_type", 2),
+}
+CHANNELS = [
+    ("V", 1, "V", "A"), ("V", 2, "V", "B"), ("V", 3, "V", "C"),
+    ("A", 1, "A", "A"), ("A", 2, "A", "B"), ("A", 3, "A", "C"),
+    ("PF", 0, "PF", "none"), ("PF", 1, "PF", "A"), ("PF", 2, "PF", "B"), ("PF", 3, "PF", "C"),
+    ("P", 1, "P", "none"), ("P", 2, "P", "A"), ("P", 3, "P", "B"), ("P", 4, "P", "C"),
+    ("P", 5, "Q", "none"), ("P", 6, "Q", "A"), ("P", 7, "Q", "B"), ("P", 8, "Q", "C"),
+    ("E", 1, "EP", "none"), ("E", 2, "EQ", "none"),
+]
+MEASUREMENT_KINDS = {1: "V", 2: "A", 3: "P", 4: "Q", 5: "PF", 6: "EP", 7: "EQ"}
+PHASE_NAMES = {0: "none", 1: "phaseA", 2: "phaseB", 3: "phaseC"}
+LOAD_TYPES = ("Industrial", "Commercial", "Residential")
+SEASONS = ("Spring", "Summer", "Fall", "Winter")
+DAYTYPES = ("Weekday", "Weekend", "Holiday")
 
 READINGS = """
 readings AS (
@@ -26,9 +39,9 @@ readings AS (
            CAST(CASE id % 3 WHEN 0 THEN h % 96 + 1 WHEN 2 THEN (h % 48) * 2 + 1
                 ELSE (h % 24) * 4 + 1 END AS INTEGER) AS idx,
            phase_flag, data_type,
-           CAST(CASE WHEN q <= 12 THEN 0 WHEN q <= 16 THEN 60 + q WHEN q <= 20 THEN 120 + 2 * q
+           CAST(CASE WHEN h % 97 = 0 THEN NULL WHEN q <= 12 THEN 0 WHEN q <= 16 THEN 60 + q WHEN q <= 20 THEN 120 + 2 * q
                 ELSE 180 + 1.4 * q END AS DECIMAL(8,4)) AS volt,
-           CAST(price * 0.0001 AS DECIMAL(8,6)) AS power,
+           CASE WHEN h % 89 <> 1 THEN CAST(price * 0.0001 AS DECIMAL(8,6)) END AS power,
            CAST(q * 0.1 AS DECIMAL(8,4)) AS cur,
            CAST(1 - discount AS DECIMAL(8,4)) AS pf,
            CAST(price * (1 + tax) * 0.001 AS DECIMAL(12,7)) AS energy
@@ -46,6 +59,13 @@ readings AS (
 """
 
 
+# The same with the days running on as the ship dates do.
+SPAN = READINGS.replace("CAST((dd // 7) * 91 + dd % 7 AS INTEGER)", "CAST(dd AS INTEGER)").replace(
+    "((date_diff('day', DATE '1995-01-01', CAST(l_shipdate AS DATE)) % 28) + 28) % 28",
+    "date_diff('day', DATE '1992-01-01', CAST(l_shipdate AS DATE))",
+)
+
+
 def season(ts: str) -> str:
     return (
         f"CASE WHEN month({ts}) BETWEEN 3 AND 5 THEN 1 WHEN month({ts}) BETWEEN 6 AND 9 THEN 2 "
@@ -73,7 +93,7 @@ profile AS (
   SELECT id, season, daytype, CAST(dti % 96 AS INTEGER) AS bucket,
          CAST(sum(power) AS DOUBLE) / count(power) AS avg_power,
          CAST(sum(volt_c) AS DOUBLE) / count(volt_c) AS avg_volt
-  FROM curve WHERE volt_c BETWEEN 88 AND 300
+  FROM curve WHERE volt_c BETWEEN 88 AND 300 AND power IS NOT NULL
   GROUP BY ALL)
 """
 
@@ -139,14 +159,6 @@ def _values(name: str, columns: str, rows) -> str:
     return f"{name}({columns}) AS (VALUES {body})"
 
 
-def _channels() -> list[tuple[str, int, str, str]]:
-    return [
-        (family, flag, code, phase)
-        for family, flags in BASEREADING_CHANNELS.items()
-        for flag, (code, phase) in flags.items()
-    ]
-
-
 TYPES = ",\n".join(
     [
         _values("kinds", "measurementkindid, code", MEASUREMENT_KINDS.items()),
@@ -154,7 +166,7 @@ TYPES = ",\n".join(
         _values(
             "wanted",
             "family, flag, code, phase, pattern",
-            [(*c, "%none%" if c[3] == "none" else f"%{c[3]}") for c in _channels()],
+            [(*c, "%none%" if c[3] == "none" else f"%{c[3]}") for c in CHANNELS],
         ),
         """
 readingtype AS (
@@ -189,7 +201,7 @@ def _fact(family: str) -> str:
         f"SELECT id AS meter, dti AS timeperiod, readingtypeid AS readingtype, "
         f"CAST(NULL AS BIGINT) AS reason, CAST(NULL AS TIMESTAMP) AS reporteddatatime, "
         f"CAST({value} AS DOUBLE) AS value, CAST(NULL AS VARCHAR) AS source "
-        f"FROM readings JOIN types ON types.flag = readings.{flag} AND types.family = '{family}'"
+        f"FROM readings JOIN types ON types.flag = readings.{flag} AND types.family = '{family}' WHERE {value} IS NOT NULL"
     )
 
 
@@ -204,7 +216,8 @@ star AS (
   FROM fact
   JOIN readingtype r ON r.readingtypeid = fact.readingtype
   JOIN kinds k ON k.measurementkindid = r.measurementkind
-  WHERE meter IN (SELECT CASE WHEN s_suppkey < 1 THEN 1 ELSE (s_suppkey - 1) // 10 + 1 END FROM supplier))
+  WHERE meter IN (SELECT CASE WHEN s_suppkey < 1 THEN 1 ELSE (s_suppkey - 1) // 10 + 1 END FROM supplier)
+    AND meter % 7 <> 3 AND timeperiod % 100 <> 50)
 """
 
 
@@ -260,9 +273,11 @@ def _volt(where: str) -> str:
 VOLTS = "volts AS (" + _pivot("volt", VOLT_PHASES, "phase_flag") + ")"
 DEAD = "points AS (SELECT id, ts, dti FROM volts WHERE volt_a = 0 AND volt_b = 0 AND volt_c = 0)"
 EVENTS = """
-SELECT id, min(ts) AS ts, min(dti) AS rangestart, max(dti) AS rangeend, max(dti) - min(dti) + 1 AS duration
-FROM (SELECT *, dti - dense_rank() OVER (PARTITION BY id ORDER BY dti) AS grp FROM points)
-GROUP BY id, grp
+SELECT id, min(ts) AS ts, min(dti) AS rangestart, max(dti) AS rangeend, count(*) AS duration
+FROM (SELECT *, sum(fresh) OVER (PARTITION BY id ORDER BY dti) AS run
+      FROM (SELECT *, CASE WHEN dti = 1 + lag(dti) OVER (PARTITION BY id ORDER BY dti) THEN 0 ELSE 1 END AS fresh
+            FROM (SELECT id, dti, min(ts) AS ts FROM points GROUP BY id, dti)))
+GROUP BY id, run
 """
 
 
@@ -278,6 +293,75 @@ WHERE p.data_type = {data_type} AND p.power IS NOT NULL""",
     )
 
 
+def _joined(name: str, data_type: int) -> str:
+    """The joined curve as a table of exact decimals."""
+    return f"""
+{name} AS (
+  SELECT v.id, v.ts, v.volt_c, p.power, v.dti, {sdti("v.ts")} AS sdti,
+         CAST({season("v.ts")} AS INTEGER) AS season, CAST({daytype("v.ts")} AS INTEGER) AS daytype
+  FROM (SELECT id, ts, dti, max(CASE WHEN phase_flag = 3 THEN volt END) AS volt_c
+        FROM readings GROUP BY id, ts, dti) v
+  JOIN readings p ON p.id = v.id AND p.dti = v.dti
+  WHERE p.data_type = {data_type} AND p.power IS NOT NULL)"""
+
+
+def _labelled(name: str) -> str:
+    return f"""
+SELECT c.id, ts, CAST(volt_c AS DOUBLE) AS volt_c, CAST(power AS DOUBLE) AS power, dti, sdti, c.season, c.daytype,
+       coalesce(hourgroup, -1) AS hourgroup
+FROM {name} c LEFT JOIN hourgroups g
+  ON g.id = c.id AND g.season = c.season AND g.daytype = c.daytype AND g.hourindex = (c.dti - 1) % 96 // 4"""
+
+
+def _bins(weekday: int = 10, weekend: int = 4, volt: int = 3) -> tuple[str, str]:
+    """Points of the adaptive histograms of a slot: one per distinct value up to the bins."""
+    power = f"least(CASE WHEN daytype = 1 THEN {weekday} ELSE {weekend} END, count(DISTINCT power))"
+    return power, f"least({volt}, count(DISTINCT volt_c))"
+
+
+def _slot_points() -> str:
+    power, volt = _bins()
+    return f"""
+slots AS (
+  SELECT id, season, daytype, CAST(dti % 96 AS INTEGER) AS bucket, count(*) AS n, {power} AS power_points,
+         {volt} AS volt_points, CAST(sum(power) AS DOUBLE) AS power_sum, CAST(sum(volt_c) AS DOUBLE) AS volt_sum
+  FROM curve WHERE volt_c BETWEEN 154 AND 300 AND power IS NOT NULL
+  GROUP BY id, season, daytype, dti % 96)"""
+
+
+def _elbow(last: int = 20, rounds: int = 20) -> str:
+    """Lloyd rounds for 2 to ``last`` clusters together, from centres evenly between the extremes."""
+
+    def assign(n: int) -> str:
+        return f"""
+a{n} AS MATERIALIZED (
+  SELECT k, p.power, p.volt, min({{'d': (p.x - c.x) * (p.x - c.x) + (p.y - c.y) * (p.y - c.y), 'i': c.i}}) AS near
+  FROM numbered p, c{n} c GROUP BY k, p.row, p.power, p.volt)"""
+
+    steps = [
+        """
+exact AS (SELECT CAST(power AS DECIMAL(20,12)) AS power, CAST(volt AS DECIMAL(20,12)) AS volt FROM features),
+numbered AS (SELECT *, CAST(power AS DOUBLE) AS x, CAST(volt AS DOUBLE) AS y, row_number() OVER () AS row FROM exact)""",
+        f"""
+c0 AS (
+  SELECT k, i, lx + (i + 0.5::DOUBLE) * (hx - lx) / k AS x, ly + (i + 0.5::DOUBLE) * (hy - ly) / k AS y
+  FROM (SELECT min(x) AS lx, max(x) AS hx, min(y) AS ly, max(y) AS hy FROM numbered),
+       (SELECT unnest(range(2, {last + 1})) AS k), (SELECT unnest(range(0, {last})) AS i)
+  WHERE i < k)""",
+    ]
+    for n in range(rounds):
+        steps.append(assign(n))
+        steps.append(f"""
+c{n + 1} AS MATERIALIZED (
+  SELECT k, near.i AS i, CAST(sum(power) AS DOUBLE) / count(*) AS x, CAST(sum(volt) AS DOUBLE) / count(*) AS y
+  FROM a{n} GROUP BY k, near.i)""")
+    steps.append(assign(rounds))
+    return _with(
+        READINGS, CURVE, PROFILE, FEATURES, *steps,
+        select=f"SELECT CAST(k AS INTEGER) AS k, round(sum(near.d), 6) AS cost FROM a{rounds} GROUP BY k",
+    )
+
+
 def _pqvcf() -> str:
     def names(columns: dict[int, str]) -> str:
         return ", ".join(columns.values())
@@ -357,7 +441,7 @@ def _histograms(power_bins: int = 10, volt_bins: int = 3) -> str:
         CURVE,
         f"""
 band AS (SELECT id, season, daytype, dti, CAST(power AS DOUBLE) AS power, CAST(volt_c AS DOUBLE) AS volt
-         FROM curve WHERE volt_c BETWEEN 154 AND 300),
+         FROM curve WHERE volt_c BETWEEN 154 AND 300 AND power IS NOT NULL),
 edges AS (SELECT id, season, daytype, min(power) AS pl, max(power) AS ph, min(volt) AS vl, max(volt) AS vh
           FROM band GROUP BY ALL),
 hours AS (SELECT *, unnest(range(0, 24)) AS hourindex FROM edges),
@@ -381,8 +465,15 @@ SELECT {keys}, count(*) AS points,
 FROM {rows} GROUP BY ALL"""
 
 
-def _polynomial(degree: int) -> str:
-    """Least squares by Gram-Schmidt: orthogonal columns from window means, one per power."""
+# Voltages within half a volt of the nominal one.
+NARROW = "(SELECT * REPLACE (CAST(219.5 + CAST(volt_c AS DOUBLE) / 300 AS DECIMAL(9,5)) AS volt_c) FROM curve)"
+
+
+def _polynomial(degree: int, source: str = "curve", at: float | None = None) -> str:
+    """Least squares by Gram-Schmidt: orthogonal columns from window means, one per power.
+
+    With ``at``, the fitted value there instead of the coefficients.
+    """
     part = "OVER (PARTITION BY id, season, daytype)"
     steps = [
         f"""
@@ -390,7 +481,7 @@ band AS (
   SELECT id, season, daytype, CAST(power AS DOUBLE) AS y, CAST(volt_c AS DOUBLE) AS x,
          count(*) {part} AS n, avg(CAST(volt_c AS DOUBLE)) {part} AS mx,
          count(DISTINCT volt_c) {part} AS levels
-  FROM curve WHERE volt_c BETWEEN 88 AND 300),
+  FROM {source} AS c WHERE volt_c BETWEEN 88 AND 300 AND power IS NOT NULL),
 w0 AS (SELECT *, x - mx AS u, 1.0::DOUBLE AS q0, 1.0::DOUBLE AS b0 FROM band)"""
     ]
     # q_k is u^k made orthogonal to q_0..q_(k-1).
@@ -427,6 +518,9 @@ w0 AS (SELECT *, x - mx AS u, 1.0::DOUBLE AS q0, 1.0::DOUBLE AS b0 FROM band)"""
     for j in range(degree + 1):
         parts = " + ".join(f"{choose[(m, j)]} * e{m} * pow(-mx, {m - j})" for m in range(j, degree + 1))
         out.append(f"CASE WHEN levels > {degree} THEN round({parts}, 6) END AS c{j}")
+    if at is not None:
+        terms_at = " + ".join(f"e{m} * pow({at} - mx, {m})" for m in range(degree + 1))
+        out = [f"CASE WHEN levels > {degree} THEN round({terms_at}, 4) END AS fitted"]
     return _with(
         READINGS, CURVE, *steps, select=f"SELECT id, season, daytype, points, {', '.join(out)} FROM inu"
     )
@@ -548,27 +642,55 @@ SELECT * FROM (
             VOLTS,
             DEAD,
             select="""
-SELECT id, ts, min(dti) AS rangestart, max(dti) AS rangeend, max(dti) - min(dti) + 1 AS duration
-FROM (SELECT *, dense_rank() OVER (ORDER BY dti) - dti AS grp FROM points) GROUP BY id, ts, grp""",
+SELECT DISTINCT id, ts, dti AS rangestart, dti AS rangeend, CAST(1 AS BIGINT) AS duration FROM points""",
         ),
         "outage_events": _with(READINGS, VOLTS, DEAD, select=EVENTS),
         "outage_events_any": _with(
             READINGS, "points AS (SELECT id, ts, dti FROM readings WHERE volt = 0)", select=EVENTS
         ),
+        "outage_events_daily_chunks": _with(
+            READINGS, "points AS (SELECT id, ts, dti FROM readings WHERE volt = 0)", select=EVENTS
+        ),
+        "outage_events_span": _with(
+            SPAN, "points AS (SELECT id, ts, dti FROM readings WHERE volt = 0 OR pf > 0.93)", select=EVENTS
+        ),
         "pv_curve": _curve_join(1),
         "qv_curve": _curve_join(5),
         "pqvcf": _pqvcf(),
+        "pv_hourly_profile": _with(READINGS, _joined("curve", 1), PROFILE, select="SELECT * FROM profile"),
+        "pv_hour_groups": _with(
+            READINGS, _joined("curve", 1), PROFILE, FEATURES, groups, select="SELECT * FROM hourgroups"
+        ),
+        "pv_labelled": _with(
+            READINGS, _joined("curve", 1), PROFILE, FEATURES, groups, select=_labelled("curve")
+        ),
+        "qv_labelled": _with(
+            READINGS, _joined("curve", 1), _joined("qv", 5), PROFILE, FEATURES, groups, select=_labelled("qv")
+        ),
+        "adaptive_totals": _with(
+            READINGS, CURVE, _slot_points(),
+            select="""
+SELECT id, season, daytype, bucket, n AS power_mass, n AS volt_mass, power_points, volt_points,
+       round(power_sum, 6) AS power_sum, round(volt_sum, 6) AS volt_sum FROM slots""",
+        ),
+        "smallest_histograms": _with(
+            READINGS, CURVE, _slot_points(),
+            select="""
+SELECT id, season, daytype, CAST(min(power_points) AS INTEGER) AS min_power_bins,
+       CAST(min(volt_points) AS INTEGER) AS min_volt_bins FROM slots GROUP BY ALL""",
+        ),
+        "elbow_cost": _elbow(),
         "meter_profile": _with(
             READINGS,
             select="""
 SELECT id, CAST(sum(power) AS DOUBLE) AS totp, CAST(sum(power) AS DOUBLE) / count(power) AS avgp,
        CAST(max(power) AS DOUBLE) AS maxp
-FROM readings WHERE data_type = 1 GROUP BY id""",
+FROM readings WHERE data_type = 1 AND power IS NOT NULL GROUP BY id""",
         ),
         "meter_ids": _with(*profile, select="SELECT DISTINCT id FROM profile"),
         "hour_start_power": _with(
             READINGS,
-            select="SELECT id, dti, CAST(power AS DOUBLE) AS power FROM readings WHERE data_type = 1 AND dti % 4 = 1",
+            select="SELECT id, dti, CAST(power AS DOUBLE) AS power FROM readings WHERE data_type = 1 AND power IS NOT NULL AND dti % 4 = 1",
         ),
         "load_category": _with(READINGS, CATEGORIES, select="SELECT * FROM coded"),
         "irregular_groups": _with(*profile, select=IRREGULAR),
@@ -586,25 +708,27 @@ FROM curve c LEFT JOIN hourgroups g ON {on_hour}""",
             *grouped,
             select=f"""
 SELECT c.id, ts, c.season, c.daytype, hourgroup, CAST(power AS DOUBLE) AS power, CAST(volt_c AS DOUBLE) AS volt_c
-FROM curve c JOIN hourgroups g ON {on_hour} WHERE volt_c BETWEEN 154 AND 300""",
+FROM curve c JOIN hourgroups g ON {on_hour} WHERE volt_c BETWEEN 154 AND 300 AND power IS NOT NULL""",
         ),
         "fit_curve_linear": _with(
             READINGS,
             CURVE,
-            select=_linear("(SELECT * FROM curve WHERE volt_c BETWEEN 88 AND 300)", "id, season, daytype"),
+            select=_linear("(SELECT * FROM curve WHERE volt_c BETWEEN 88 AND 300 AND power IS NOT NULL)", "id, season, daytype"),
         ),
         "fit_curve_quadratic": _polynomial(2),
         "fit_curve_cubic": _polynomial(3),
+        "fit_narrow_quadratic": _polynomial(2, NARROW, 220.0),
+        "fit_narrow_cubic": _polynomial(3, NARROW, 220.0),
         "fit_curve_hour_group": _with(
             *grouped,
             f"rows_hg AS (SELECT c.*, hourgroup FROM curve c JOIN hourgroups g ON {on_hour} "
-            "WHERE volt_c BETWEEN 154 AND 300)",
+            "WHERE volt_c BETWEEN 154 AND 300 AND power IS NOT NULL)",
             select=_linear("rows_hg", "id, season, daytype, hourgroup"),
         ),
         "csv_series": _with(
             READINGS,
             select="""
-SELECT id, CASE WHEN volt <> 0 AND power >= 1 THEN CAST(cur AS DOUBLE) END AS value FROM readings""",
+SELECT id, CASE WHEN volt = 0 THEN NULL WHEN power < 1 THEN NULL ELSE CAST(cur AS DOUBLE) END AS value FROM readings""",
         ),
     }
     for value, flag in (("volt", "phase_flag"), ("power", "data_type"), ("cur", "phase_flag"),

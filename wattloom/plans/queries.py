@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattloom import operators as op
@@ -165,13 +165,15 @@ def _basereading(family: str) -> Query:
 
 def _star(spark: SparkSession, sf_dir: str, *families: str) -> DataFrame:
     rows = sample.readings(spark, sf_dir)
+    # Every seventh meter and every hundredth interval is unknown, so the joins must drop rows.
+    known = sample.meters(spark, sf_dir).filter("meterid % 7 <> 3").withColumnRenamed("meterid", "id")
     return op.star_readings(
         _fact(spark, sf_dir, rows, *families),
         sample.meters(spark, sf_dir),
-        op.meter_dims(rows)["identifiedobject"],
+        op.meter_dims(known)["identifiedobject"],
         sample.reading_type_table(spark, sf_dir),
         sample.measurement_kinds(spark),
-        sample.intervals(rows),
+        sample.intervals(rows).filter("datetimeintervalid % 100 <> 50"),
     )
 
 
@@ -253,6 +255,18 @@ def outage_events_any(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.outage_events(_long(spark, sf_dir, "volt").filter("volt = 0").select("id", "ts", "dti"))
 
 
+def outage_events_daily_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in chunks of a day, so that many events cross a border."""
+    points = _long(spark, sf_dir, "volt").filter("volt = 0").select("id", "ts", "dti")
+    return op.outage_events(points, chunk_slots=96)
+
+
+def outage_events_span(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events over the whole span of the ship dates, of dead or almost idle readings."""
+    rows = sample.readings(spark, sf_dir, folded=False).filter("volt = 0 OR pf > 0.93")
+    return op.outage_events(rows.select("id", "ts", "dti"))
+
+
 # --- curves -------------------------------------------------------------------------------
 
 
@@ -270,6 +284,30 @@ def pqvcf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _doubles(op.pqvcf(*parts))
 
 
+def _joined(spark: SparkSession, sf_dir: str, curve: Callable) -> DataFrame:
+    return curve(_volts(spark, sf_dir), _long(spark, sf_dir, "power"))
+
+
+def pv_hourly_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profile of the joined curve, which is what hour groups are made from."""
+    return op.hourly_profile(_joined(spark, sf_dir, op.pv_curve))
+
+
+def pv_hour_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op.hour_groups(pv_hourly_profile(spark, sf_dir))
+
+
+def pv_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = pv_hour_groups(spark, sf_dir)
+    return _doubles(op.label_hour_groups(_joined(spark, sf_dir, op.pv_curve), groups))
+
+
+def qv_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reactive curve labelled with the groups of the active one."""
+    groups = pv_hour_groups(spark, sf_dir)
+    return _doubles(op.label_hour_groups(_joined(spark, sf_dir, op.qv_curve), groups))
+
+
 # --- profiles -----------------------------------------------------------------------------
 
 
@@ -310,6 +348,25 @@ def adaptive_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.hour_start_vectors(op.adaptive_histograms(_curve(spark, sf_dir)))
 
 
+def adaptive_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the adaptive histograms must keep exactly: mass, weighted sum, number of points."""
+    slots = op.adaptive_histograms(_curve(spark, sf_dir))
+
+    def total(points: str, term: Callable) -> Column:
+        return F.round(F.aggregate(points, F.lit(0.0), lambda a, h: a + term(h)), 6)
+
+    return slots.select(
+        *GROUP,
+        "bucket",
+        total("power", lambda h: h["y"] * 5.0).cast("long").alias("power_mass"),
+        total("volt", lambda h: h["y"] * 100.0).cast("long").alias("volt_mass"),
+        F.size("power").cast("long").alias("power_points"),
+        F.size("volt").cast("long").alias("volt_points"),
+        total("power", lambda h: h["x"] * h["y"] * 5.0).alias("power_sum"),
+        total("volt", lambda h: h["x"] * h["y"] * 100000.0).alias("volt_sum"),
+    )
+
+
 def smallest_histograms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.smallest_histograms(op.adaptive_histograms(_curve(spark, sf_dir)))
 
@@ -333,19 +390,28 @@ def hour_group_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def elbow_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cost of 2 to 20 clusters over the hour points of all meters."""
-    return op.elbow_cost(op.hour_features(_profile(spark, sf_dir)), ["power", "volt"])
+    return _rounded(op.elbow_cost(op.hour_features(_profile(spark, sf_dir)), ["power", "volt"]), "cost")
 
 
 # --- fits ---------------------------------------------------------------------------------
 
 
-def _fit(degree: int, *extra: str) -> Query:
+def _fit(degree: int, *extra: str, narrow: bool = False) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        curve = op.in_band(_curve(spark, sf_dir), 88.0, 300.0)
+        curve = _curve(spark, sf_dir)
+        if narrow:
+            # Voltages within half a volt of the nominal one.
+            near = F.expr("CAST(219.5D + CAST(volt_c AS DOUBLE) / 300 AS DECIMAL(9,5))")
+            curve = curve.withColumn("volt_c", near)
+        curve = op.in_band(curve, 88.0, 300.0)
         if extra:
             groups = op.hour_groups(_profile(spark, sf_dir))
             curve = op.hour_group_curve(_curve(spark, sf_dir), groups)
-        fitted = op.fit_curve(curve, [*GROUP, *extra], degree=degree, origin=220.0)
+        fitted = op.fit_curve(curve, [*GROUP, *extra], degree=degree)
+        if narrow:
+            # The coefficients are large and cancel, so the value at the nominal voltage is compared.
+            terms = sum((F.col(f"c{n}") * 220.0**n for n in range(1, degree + 1)), F.col("c0"))
+            return fitted.select(*GROUP, "points", F.round(terms, 4).alias("fitted"))
         return _rounded(fitted, *[f"c{n}" for n in range(degree + 1)])
 
     return query
@@ -399,9 +465,15 @@ QUERIES: dict[str, Query] = {
     "outage_points": outage_points,
     "outage_events": outage_events,
     "outage_events_any": outage_events_any,
+    "outage_events_daily_chunks": outage_events_daily_chunks,
+    "outage_events_span": outage_events_span,
     "pv_curve": pv_curve,
     "qv_curve": qv_curve,
     "pqvcf": pqvcf,
+    "pv_hourly_profile": pv_hourly_profile,
+    "pv_hour_groups": pv_hour_groups,
+    "pv_labelled": pv_labelled,
+    "qv_labelled": qv_labelled,
     "meter_profile": meter_profile,
     "meter_ids": meter_ids,
     "hour_start_power": hour_start_power,
@@ -411,6 +483,7 @@ QUERIES: dict[str, Query] = {
     "hour_histograms": hour_histograms,
     "adaptive_histograms": adaptive_histograms,
     "adaptive_vectors": adaptive_vectors,
+    "adaptive_totals": adaptive_totals,
     "smallest_histograms": smallest_histograms,
     "hour_groups": hour_groups,
     "label_hour_groups": label_hour_groups,
@@ -418,6 +491,8 @@ QUERIES: dict[str, Query] = {
     "elbow_cost": elbow_cost,
     "fit_curve_linear": _fit(1),
     "fit_curve_quadratic": _fit(2),
+    "fit_narrow_quadratic": _fit(2, narrow=True),
+    "fit_narrow_cubic": _fit(3, narrow=True),
     "fit_curve_cubic": _fit(3),
     "fit_curve_hour_group": _fit(1, "hourgroup"),
     "csv_series": csv_series,

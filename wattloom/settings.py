@@ -39,7 +39,7 @@ class MeterSettings:
     # Hour grouping and histograms.
     hour_groups: int = 6
     lloyd_rounds: int = 21
-    elbow_iterations: int = 300
+    elbow_rounds: int = 20
     min_points: int = 12
     power_bins: int = 10
     power_bins_weekend: int = 4

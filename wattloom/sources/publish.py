@@ -8,6 +8,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 
+# Parallel writers of ordinary and of large tables.
+WRITERS, WIDE_WRITERS = 70, 140
+
+
 @dataclass(frozen=True)
 class Output:
     """Run modes in which a table is written, and how."""
@@ -17,12 +21,18 @@ class Output:
     partition_by: tuple[str, ...] = ()
     wide: bool = False
 
+    @property
+    def width(self) -> int:
+        """Number of parallel writers into a database."""
+        return WIDE_WRITERS if self.wide else WRITERS
+
 
 def _output(modes: set[int], mode: str, partition_by: tuple[str, ...] = (), wide: bool = False) -> Output:
     return Output(frozenset(modes), mode, partition_by, wide)
 
 
 _SEASON = ("season", "daytype")
+_ALL = {1, 2, 3, 4}
 
 # Outputs by run mode. 1 computes and keeps curves and hour groups, 2 fills the
 # star schema, 3 fills the quality tables, 4 fills the modelling tables.
@@ -46,8 +56,9 @@ OUTPUTS: dict[str, Output] = {
     "hourgroup": _output({1}, "append"),
     "irregular": _output({1}, "append"),
     "pvsdhg": _output({4}, "append", wide=True),
-    "pvsdhg2": _output({1}, "overwrite", wide=True),
-    "qvsdhg2": _output({1}, "overwrite", wide=True),
+    "hourgroup2": _output(_ALL, "overwrite"),
+    "pvsdhg2": _output(_ALL, "overwrite", wide=True),
+    "qvsdhg2": _output(_ALL, "overwrite", wide=True),
     "pvhg": _output({4}, "append"),
 }
 
@@ -59,7 +70,7 @@ def publish(
 ) -> list[str]:
     """Hands every table due in ``run_mode`` to ``sink`` and returns their names.
 
-    The tables are lazy, so outputs that a mode does not write cost nothing.
+    The rule that comes with a table tells its write mode, layout and ``width``. The tables are lazy, so outputs that a mode does not write cost nothing.
     """
     unknown = set(tables) - set(OUTPUTS)
     if unknown:

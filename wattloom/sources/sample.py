@@ -32,20 +32,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _METER = "(suppkey - 1) div 10 + 1"
 
 
-def _never_null(rows: DataFrame) -> DataFrame:
-    """The same rows with columns declared non-nullable.
+def readings(spark: SparkSession, sf_dir: str, *, folded: bool = True) -> DataFrame:
+    """One row per line item: ``id, day, idx, ts, dti``, flags and all five quantities.
 
-    A line item has all its numbers, but the optimizer cannot know, and would push null tests
-    with all the arithmetic below into the scan filter.
+    Every 97th reading has no voltage and every 89th no power, as meter feeds have gaps.
+    ``folded`` puts the ship dates into one full week in each of four months; otherwise the
+    days run on as the ship dates do.
     """
-    zero = {"date": "DATE '2013-01-01'", "timestamp_ntz": "TIMESTAMP_NTZ '2013-01-01'"}
-    return rows.selectExpr(
-        *[f"coalesce({n}, {zero.get(kind, f'CAST(0 AS {kind})')}) AS {n}" for n, kind in rows.dtypes]
-    )
-
-
-def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per line item: ``id, day, idx, ts, dti``, flags and all five quantities."""
+    day = "(dd div 7) * 91 + dd % 7" if folded else "dd"
+    dd = "datediff(l_shipdate, DATE '1992-01-01')"
+    dd = "pmod(datediff(l_shipdate, DATE '1995-01-01'), 28)" if folded else dd
     full = _table(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey AS orderkey",
         "l_partkey AS partkey",
@@ -55,12 +51,12 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CAST(l_extendedprice AS DECIMAL(10,2)) AS price",
         "CAST(l_discount AS DECIMAL(4,2)) AS discount",
         "CAST(l_tax AS DECIMAL(4,2)) AS tax",
-        "pmod(datediff(l_shipdate, DATE '1995-01-01'), 28) AS dd",
+        f"{dd} AS dd",
     )
     flagged = full.selectExpr(
         f"{_METER} AS id",
         "7 * orderkey + 13 * line AS h",
-        "date_add(DATE '2013-01-01', CAST((dd div 7) * 91 + dd % 7 AS INT)) AS day",
+        f"date_add(DATE '2013-01-01', CAST({day} AS INT)) AS day",
         "CAST(line % 4 AS INT) AS phase_flag",
         "CAST(partkey % 8 + 1 AS INT) AS data_type",
         "CAST(0.1 * CASE WHEN q <= 12 THEN 0 WHEN q <= 16 THEN 600 + 10 * q"
@@ -77,16 +73,14 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         " ELSE (h % 24) * 4 + 1 END AS INT) AS idx",
         "phase_flag",
         "data_type",
-        "volt",
-        "power",
+        "CASE WHEN h % 97 <> 0 THEN volt END AS volt",
+        "CASE WHEN h % 89 <> 1 THEN power END AS power",
         "cur",
         "pf",
         "energy",
     )
     day, idx = F.col("day"), F.col("idx")
-    return _never_null(
-        placed.select("*", slot_timestamp(day, idx).alias("ts"), slot_dti(day, idx, EPOCH).alias("dti"))
-    )
+    return placed.select("*", slot_timestamp(day, idx).alias("ts"), slot_dti(day, idx, EPOCH).alias("dti"))
 
 
 def family(rows: DataFrame, value: str) -> DataFrame:
@@ -97,17 +91,15 @@ def family(rows: DataFrame, value: str) -> DataFrame:
 def direct_curve(rows: DataFrame) -> DataFrame:
     """Readings themselves as the analysis curve: ``volt_c`` is ``volt``."""
     day = F.col("day")
-    return _never_null(
-        rows.select(
-            "id",
-            "ts",
-            F.col("volt").alias("volt_c"),
-            "power",
-            "dti",
-            sdti(day).alias("sdti"),
-            season(day).alias("season"),
-            daytype(day).alias("daytype"),
-        )
+    return rows.select(
+        "id",
+        "ts",
+        F.col("volt").alias("volt_c"),
+        "power",
+        "dti",
+        sdti(day).alias("sdti"),
+        season(day).alias("season"),
+        daytype(day).alias("daytype"),
     )
 
 

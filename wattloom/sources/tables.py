@@ -79,18 +79,20 @@ def write_table(
 ) -> None:
     """Writes a DataFrame.
 
-    ``width`` caps the number of writers, which matters for a database with few connections;
-    files are best left to AQE. ``partition_by`` lays files out in directories and brings the
+    ``width`` is the number of writers, which matters for a database with few connections; the
+    stage before keeps its tasks, and files are best left to AQE. ``partition_by`` lays files out in directories and brings the
     rows of a directory together first, so that each task does not open every directory.
     ``sort_by`` gives a total order by range partitioning.
     """
     if partition_by and format != "jdbc":
         # The rebalance splits a large directory over several tasks.
         df = df.hint("rebalance", *partition_by)
-    if sort_by:
-        df = df.sortWithinPartitions(*sort_by) if partition_by else df.orderBy(*sort_by)
     if width is not None:
-        df = df.coalesce(width)
+        # A shuffle, since narrowing the last stage would also narrow the work before the sink.
+        df = df.repartitionByRange(width, *sort_by) if sort_by else df.repartition(width)
+        df = df.sortWithinPartitions(*sort_by) if sort_by else df
+    elif sort_by:
+        df = df.sortWithinPartitions(*sort_by) if partition_by else df.orderBy(*sort_by)
     writer = df.write.mode(mode).format(format).options(**(options or {}))
     if format != "jdbc":
         if partition_by:
