@@ -10,10 +10,14 @@ from wattloom.operators import (
     meter_dims,
     meter_range,
     reading_types,
+    stacked_basereading,
     star_readings,
     to_basereading,
 )
-from wattloom.settings import BASEREADING_CHANNELS
+from wattloom.settings import BASEREADING_CHANNELS, FAMILY_COLUMNS
+from wattloom.sources import sample
+
+FACTS = ("meter", "timeperiod", "readingtype", "value")
 
 
 def dims(spark):
@@ -82,3 +86,13 @@ def test_star_readings(spark):
         (1, 2, ts_of(2), 220.0, "V", 1),
         (1, 3, dt.datetime(2013, 1, 1, 0, 30), 0.5, "Q", 0),
     ]
+
+
+def test_stacked_families_give_the_same_facts(spark):
+    sf = "/root/testdata/sf0.001"
+    readings = sample.readings(spark, sf)
+    types = reading_types(sample.reading_type_table(spark, sf), sample.phases(spark), sample.measurement_kinds(spark))
+    parts = {f: sample.family(readings, value) for f, (value, _) in FAMILY_COLUMNS.items()}
+    assert rows(stacked_basereading(readings, types), *FACTS) == rows(basereading(parts, types), *FACTS)
+    some = stacked_basereading(readings, types, ["V", "unknown", "E"])
+    assert rows(some, *FACTS) == rows(basereading({f: parts[f] for f in ("V", "E")}, types), *FACTS)

@@ -57,6 +57,7 @@ from wattloom.operators.star import (
     meter_dims,
     meter_range,
     reading_types,
+    stacked_basereading,
     star_readings,
     to_basereading,
 )
@@ -103,6 +104,7 @@ __all__ = [
     "slot_columns",
     "slot_stats",
     "smallest_histograms",
+    "stacked_basereading",
     "star_readings",
     "to_basereading",
     "unpivot_curve",

@@ -61,6 +61,23 @@ def _channel_rows(long: DataFrame, family: str) -> DataFrame:
     ).na.drop("any")
 
 
+def stacked_basereading(
+    rows: DataFrame, types: DataFrame, families: Iterable[str] = tuple(FAMILY_COLUMNS)
+) -> DataFrame:
+    """The fact table of rows that carry several quantities at once, in one scan.
+
+    ``rows`` has ``id, dti``, the flags and the value columns of the families.
+    """
+    wanted = [f for f in families if f in FAMILY_COLUMNS]
+    cells = ", ".join(
+        f"'{f}', CAST({flag} AS INT), CAST({value} AS DOUBLE)" for f in wanted for value, flag in [FAMILY_COLUMNS[f]]
+    )
+    long = rows.selectExpr(
+        "CAST(id AS LONG) AS meter", "CAST(dti AS LONG) AS timeperiod", f"stack({len(wanted)}, {cells}) AS (family, flag, value)"
+    )
+    return _facts(long.na.drop("any"), types)
+
+
 def basereading(families: Mapping[str, DataFrame], types: DataFrame) -> DataFrame:
     """Long readings by family (V, A, PF, P, E) as rows of the fact table.
 
@@ -72,9 +89,12 @@ def basereading(families: Mapping[str, DataFrame], types: DataFrame) -> DataFram
     if not known:
         # No channel of the map matches, so nothing can come out of the join.
         known = [types.select("family", "flag", *[F.lit(None).cast(t).alias(n) for n, t in _KEYS]).limit(0)]
-    joined = reduce(DataFrame.union, known).join(
-        F.broadcast(types.select("family", "flag", "readingtypeid")), ["family", "flag"]
-    )
+    return _facts(reduce(DataFrame.union, known), types)
+
+
+def _facts(long: DataFrame, types: DataFrame) -> DataFrame:
+    """Channel rows with their reading type; there are at most 20 types."""
+    joined = long.join(F.broadcast(types.select("family", "flag", "readingtypeid")), ["family", "flag"])
     return joined.select(
         "meter",
         "timeperiod",
@@ -154,9 +174,15 @@ def star_readings(
     readingtype: DataFrame,
     measurementkind: DataFrame,
     datetimeinterval: DataFrame,
+    *,
+    types: DataFrame | None = None,
 ) -> DataFrame:
     """Reading summary: ``meterid, datetimeintervalid, mtime, value, code, phases``.
 
+    ``types``, the at most 20 rows of ``reading_types`` that the facts were built with, cuts the
+    reading types before they meet the facts, so that join is a broadcast at any size and the
+    facts are never dealt out by their few types.
+
     Valid meters are those known both as a meter and as an identified object. The small type
     dimensions are joined with each other first, so the fact table meets three inputs instead
     of five. Spark broadcasts each of them when its measured size allows and else shuffles,
@@ -170,6 +196,9 @@ def star_readings(
     ).join(
         measurementkind.select(F.col("measurementkindid").alias("_kind"), "code"), "_kind"
     )
+    if types is not None:
+        used = types.select(F.col("readingtypeid").alias("readingtype"))
+        kinds = F.broadcast(kinds.join(F.broadcast(used), "readingtype", "left_semi"))
     intervals = datetimeinterval.select(
         F.col("datetimeintervalid").alias("timeperiod"), F.col("end").alias("mtime")
     )

@@ -152,8 +152,7 @@ def reading_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _fact(spark: SparkSession, sf_dir: str, rows: DataFrame, *families: str) -> DataFrame:
-    parts = {f: sample.family(rows, FAMILY_VALUES[f]) for f in families}
-    return op.basereading(parts, _types(spark, sf_dir))
+    return op.stacked_basereading(rows, _types(spark, sf_dir), families)
 
 
 def _basereading(family: str) -> Query:
@@ -174,6 +173,7 @@ def _star(spark: SparkSession, sf_dir: str, *families: str) -> DataFrame:
         sample.reading_type_table(spark, sf_dir),
         sample.measurement_kinds(spark),
         sample.intervals(rows).filter("datetimeintervalid % 100 <> 50"),
+        types=_types(spark, sf_dir),
     )
 
 
