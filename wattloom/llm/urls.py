@@ -21,8 +21,8 @@ RULES = (
     ("block", "com/de/"),
 )
 BITS_PER_KEY, HASHES = 10, 4
-#: Listed keys whose filters go into the plan as constants, 125 KB a level at most.
-FILTER_KEYS = 100_000
+#: Listed keys in one slice of a cascade, some 125 KB of filter a level.
+SLICE_KEYS = 100_000
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -44,66 +44,87 @@ def matching_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]] =
     return rule, verdict
 
 
-def _positions(key: Column, level: int, bits: int) -> list[Column]:
-    return [F.pmod(F.xxhash64(key, F.lit(level), F.lit(j)), F.lit(bits)) for j in range(HASHES)]
+class Level:
+    """One Bloom filter of a cascade for each slice of the keys, as arrays of 64-bit words.
 
+    A single slice is a constant of the plan; several are a table ``slice, level_<n>``.
+    """
 
-class Level:
-    """One Bloom filter of a cascade, as 64-bit words in a constant of the plan."""
-
-    def __init__(self, members: DataFrame, level: int, count: int):
-        self.level = level
-        self.bits = 64 * max(1, -(-count * BITS_PER_KEY // 64))
-        spots = members.select(F.explode(F.array(*_positions(F.col("key"), level, self.bits))).alias("spot"))
-        bit = F.expr("shiftleft(1L, CAST(spot % 64 AS INT))")
-        found = spots.groupBy(F.expr("spot div 64").alias("word")).agg(F.bit_or(bit).alias("bits")).collect()
-        words = [0] * (self.bits // 64)
-        for r in found:
-            words[r.word] = r.bits
-        self.words = json.dumps(words)
+    def __init__(self, members: DataFrame, number: int, slices: int):
+        self.number, self.name = number, f"level_{number}"
+        most = members.groupBy("slice").count().agg(F.max("count")).first()[0]
+        n_words = max(1, -(-most * BITS_PER_KEY // 64))
+        self.bits = 64 * n_words
+        spots = members.select("slice", F.explode(F.array(*self._positions(F.col("key")))).alias("spot"))
+        set_bits = spots.select(
+            "slice", F.expr("spot div 64").alias("word"), F.expr("shiftleft(1L, CAST(spot % 64 AS INT))").alias("bits")
+        )
+        empty = members.sparkSession.range(slices * n_words).selectExpr(
+            f"id div {n_words} AS slice", f"id % {n_words} AS word", "0L AS bits"
+        )
+        by_word = set_bits.unionByName(empty).groupBy("slice", "word").agg(F.bit_or("bits").alias("bits"))
+        # The words of a slice are bounded by SLICE_KEYS.
+        filled = F.array_sort(F.collect_list(F.struct("word", "bits")))["bits"]
+        table = by_word.groupBy("slice").agg(filled.alias(self.name))
+        if slices == 1:
+            self.table, self.words = None, F.from_json(F.lit(json.dumps(table.first()[1])), "array<bigint>")
+        else:
+            self.table, self.words = keep(table, f"cascade-level-{number}"), F.col(self.name)
+
+    def _positions(self, key: Column) -> list[Column]:
+        return [F.pmod(F.xxhash64(key, F.lit(self.number), F.lit(j)), F.lit(self.bits)) for j in range(HASHES)]
+
+    def beside(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with the filter of their slice."""
+        return rows if self.table is None else rows.join(self.table, "slice")
 
     def has(self, key: Column) -> Column:
-        words = F.from_json(F.lit(self.words), "array<bigint>")  # folded to a constant
-
         def bit(spot: Column) -> Column:
-            word = F.get(words, F.floor(spot / 64).cast("int"))
+            word = F.get(self.words, F.floor(spot / 64).cast("int"))
             return F.getbit(word, F.pmod(spot, F.lit(64)).cast("int")) == 1
 
-        return reduce(Column.__and__, [bit(p) for p in _positions(key, self.level, self.bits)])
+        return reduce(Column.__and__, [bit(p) for p in self._positions(key)])
 
 
-def cascade(universe: DataFrame) -> list[Level]:
-    """Filters for ``universe`` of distinct keys ``(key, listed)``.
+def cascade(universe: DataFrame, slices: int) -> list[Level]:
+    """Filters for ``universe`` of distinct keys ``(key, listed, slice)``.
 
     Level 1 holds the listed keys, level 2 the unlisted ones that level 1 lets through, level 3
     the listed ones that level 2 lets through, and so on until none is left. Over the universe
     the answer is then exact.
     """
     members, others, levels = universe.where("listed"), universe.where("NOT listed"), []
-    while count := members.count():
-        level = Level(members, len(levels) + 1, count)
+    while not members.isEmpty():
+        level = Level(members, len(levels) + 1, slices)
         levels.append(level)
         if len(levels) > 40:
             raise ValueError("the cascade does not end: keys repeat with both marks")
-        members, others = keep(others.where(level.has(F.col("key"))), f"cascade-{len(levels)}"), members
+        passed = level.beside(others).where(level.has(F.col("key"))).select("key", "listed", "slice")
+        members, others = keep(passed, f"cascade-{len(levels)}"), members
     return levels
 
 
 def listed(levels: list[Level], key: Column) -> Column:
-    """Whether a key of the universe is listed."""
+    """Whether a key of the universe is listed; the filters of its slice are beside it."""
     answer = F.lit(False)
     for level in reversed(levels):
         answer = level.has(key) & ~answer
     return answer
 
 
+def _slice(key: Column, slices: int) -> Column:
+    return F.pmod(F.xxhash64(key, F.lit("slice")), F.lit(slices)).cast("long").alias("slice")
+
+
 def filter_urls(pages: DataFrame, blocklist: DataFrame, rules: Sequence[tuple[str, str]] = RULES) -> DataFrame:
     """``page_id, host, path, rule, verdict`` of every page.
 
     A fitting rule decides; otherwise the page is blocked if its ``host || path`` is among the
-    keys of ``blocklist`` (column ``key``; null keys and repeats are ignored). Beyond
-    ``FILTER_KEYS`` listed keys the filters would outgrow the plan, and a left join with the
-    list decides instead. Null urls have an empty host and path. Every row is judged by itself.
+    keys of ``blocklist`` (column ``key``; null keys and repeats are ignored). The keys of the
+    pages are the universe over which a cascade of filters is exact. Up to ``SLICE_KEYS`` listed
+    keys the filters are constants of the plan and the pages are only mapped; longer lists are
+    cut into slices by a hash of the key, and every page meets the filters of its slice. Null
+    urls have an empty host and path. Every row is judged by itself.
     """
     host, path = host_and_path(F.col("url"))
     parsed = pages.select("page_id", host.alias("host"), path.alias("path"))
@@ -114,11 +135,12 @@ def filter_urls(pages: DataFrame, blocklist: DataFrame, rules: Sequence[tuple[st
     marks = blocklist.select("key").where("key IS NOT NULL").distinct().withColumn("mark", F.lit(True))
     universe = keys.join(marks, "key", "left").select("key", F.expr("mark IS NOT NULL").alias("listed"))
     universe = keep(universe, "url-universe")
-    marked = universe.where("listed")
-    if marked.count() <= FILTER_KEYS:
-        judged = parsed.withColumn("listed", listed(cascade(universe), F.col("key")))
-    else:
-        judged = parsed.join(marked, "key", "left")
+    slices = max(1, -(-universe.where("listed").count() // SLICE_KEYS))
+    levels = cascade(universe.select("*", _slice(F.col("key"), slices)), slices)
+    beside = parsed.select("*", _slice(F.col("key"), slices))
+    for level in levels:
+        beside = level.beside(beside)
+    judged = beside.withColumn("listed", listed(levels, F.col("key")))
     verdict = F.when(F.col("said").isNotNull(), F.col("said")).when(F.col("listed"), "block").otherwise("allow")
     return judged.select("page_id", "host", "path", "rule", verdict.alias("verdict"))
 
