@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
+from wattloom.llm.store import keep
 from wattloom.llm.wordhash import Hasher, chunks
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -175,7 +176,10 @@ def _sources(docs: DataFrame) -> tuple[DataFrame, str]:
     kind = docs.select("doc_id").dtypes[0][1]
     if kind not in ("int", "bigint"):
         raise TypeError("doc_id must be an integer")
-    return docs.select("doc_id", F.crc32(F.col("text").cast("binary")).alias("part"), F.col("text").cast("binary").alias("data")), kind
+    data = F.coalesce("text", F.lit("")).cast("binary")
+    # Null ids are marked in the part, so that rows can be matched by plain equality.
+    part = F.crc32(data) + F.when(F.col("doc_id").isNull(), F.lit(1 << 33)).otherwise(F.lit(0))
+    return docs.select("doc_id", part.alias("part"), data.alias("data")), kind
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -191,21 +195,20 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     in_batch = rows.mapInArrow(_occurrences(window, True), f"{place}, size int")
 
     # Anchors that occur once cannot repeat.
-    shared = firsts.groupBy("anchor").agg(
-        F.count("*").alias("n"), (F.min("span") != F.max("span")).alias("differ")
-    )
-    shared = shared.where("n > 1").select("anchor", "differ")
+    shared = firsts.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
     found = firsts.join(shared, "anchor").repartition("anchor", "span")
     by_place = (F.asc_nulls_first("doc_id"), F.asc("part"), F.asc("start"))
     lead = F.struct("doc_id", "part", "start")
     # A key has one row per batch at most.
-    in_span = W.Window.partitionBy("anchor", "span").orderBy(*by_place)
-    ranked = found.select("*", (~lead.eqNullSafe(F.first(lead).over(in_span))).alias("later"))
+    same_span = W.Window.partitionBy("anchor", "span")
+    later = (~lead.eqNullSafe(F.first(lead).over(same_span.orderBy(*by_place)))).alias("later")
+    # Whether the anchor also has another span.
+    differ = (F.count("*").over(same_span) < F.col("n")).alias("differ")
+    # Written once, since both whole and extended spans come from it.
+    ranked = keep(found.select("doc_id", "part", "start", "size", differ, later), "spans")
     whole = ranked.where("later").select("doc_id", "part", "start", "size")
 
-    wanted = ranked.where("NOT later AND differ").groupBy(F.col("doc_id").alias("of"), F.col("part").alias("p"))
-    wanted = wanted.agg(F.collect_list(F.struct("start", "size")).alias("spans"))
-    texts = _by_row(rows).join(wanted, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("part") == F.col("p")))
+    texts = _by_row(rows).join(_spans_of(ranked.where("NOT later AND differ")), ["row", "part"])
     single = texts.select("doc_id", "part", "data", "spans").mapInArrow(
         _windows(window), f"{place}, one long, two long, later boolean"
     )
@@ -219,7 +222,13 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
 def _by_row(rows: DataFrame) -> DataFrame:
     """The texts dealt by row; both joins that need them share this shuffle."""
-    return rows.repartition("doc_id", "part")
+    return rows.withColumn("row", F.coalesce("doc_id", F.lit(0))).repartition("row", "part")
+
+
+def _spans_of(places: DataFrame) -> DataFrame:
+    """The distinct spans of each row, whose number the text bounds."""
+    by_row = places.groupBy(F.coalesce("doc_id", F.lit(0)).alias("row"), "part")
+    return by_row.agg(F.collect_set(F.struct("start", "size")).alias("spans"))
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -230,10 +239,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     have no words; texts shorter than the window stay. Repeated rows each give a row.
     """
     rows, kind = _sources(docs)
-    # Of a text's spans only the union counts, and it is bounded by the text.
-    cuts = repeated_spans(docs, window).groupBy(F.col("doc_id").alias("of"), F.col("part").alias("p"))
-    cuts = cuts.agg(F.collect_set(F.struct("start", "size")).alias("spans"))
-    texts = _by_row(rows).join(cuts, F.col("doc_id").eqNullSafe(F.col("of")) & F.col("part").eqNullSafe(F.col("p")), "left")
+    texts = _by_row(rows).join(_spans_of(repeated_spans(docs, window)), ["row", "part"], "left")
     return texts.select("doc_id", "data", "spans").mapInArrow(
         _cut(window), f"doc_id {kind}, n_words long, n_removed long, kept binary"
     )
@@ -250,19 +256,20 @@ OP10_SQL = r"""
 WITH d AS (
     SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
 ), t AS (
-    SELECT doc_id, unnest(generate_series(1, len(w) - 19)) AS s, w FROM d WHERE len(w) >= 20
+    SELECT doc_id, unnest(generate_series(1, len(w) - 19)) AS s,
+           unnest(list_transform(generate_series(1, len(w) - 19), lambda i: md5(array_to_string(w[i:i + 19], ' ')))) AS gram
+    FROM d WHERE len(w) >= 20
 ), g AS (
-    SELECT doc_id, s, row_number() OVER (PARTITION BY array_to_string(list_slice(w, s, s + 19), ' ')
-                                         ORDER BY doc_id, s) AS nth FROM t
+    SELECT doc_id, s, row_number() OVER (PARTITION BY gram ORDER BY doc_id, s) AS nth FROM t
 ), r AS (
-    SELECT doc_id, list(DISTINCT p) AS gone
-    FROM (SELECT doc_id, unnest(generate_series(s, s + 19)) AS p FROM g WHERE nth > 1) GROUP BY doc_id
+    SELECT DISTINCT doc_id, unnest(generate_series(s, s + 19)) AS p FROM g WHERE nth > 1
 ), k AS (
-    SELECT d.doc_id, len(w) AS n_words, coalesce(len(gone), 0) AS n_removed,
-           list_filter(w, lambda x, i: NOT list_contains(coalesce(gone, []), i)) AS kept
-    FROM d LEFT JOIN r USING (doc_id)
+    SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS kept
+    FROM (SELECT doc_id, unnest(w) AS word, unnest(generate_series(1, len(w))) AS p FROM d)
+    ANTI JOIN r USING (doc_id, p) GROUP BY doc_id
 )
-SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(n_removed AS BIGINT) AS n_removed,
-       sha256(array_to_string(kept, ' ')) AS kept_sha256
-FROM k
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+LEFT JOIN (SELECT doc_id, count(*) AS n FROM r GROUP BY doc_id) USING (doc_id)
 """
