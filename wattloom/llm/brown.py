@@ -29,6 +29,8 @@ ENDINGS = 512
 #: A word's count travels to all tasks if it is one in so many tokens or more.
 HEAD = 65536
 CLASSES, ROUNDS, SMOOTH = 64, 6, 20.0
+#: Words that a task combines at a time.
+GATHER = 1 << 20
 
 
 @dataclass
@@ -69,19 +71,31 @@ def _lower() -> np.ndarray:
     return codes
 
 
+def _gathered(parts: Iterator[tuple[np.ndarray, ...]]) -> Iterator[tuple[np.ndarray, ...]]:
+    """Arrays of a few chunks put together, up to about ``GATHER`` numbers at a time."""
+    found, size = [], 0
+    for part in parts:
+        found.append(part)
+        size += len(part[0])
+        if size >= GATHER:
+            yield tuple(np.concatenate(x) for x in zip(*found, strict=True))
+            found, size = [], 0
+    if found:
+        yield tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per batch: ``word, ending, train, held`` counts."""
+    """``word, ending, train, held`` counts, combined over ``GATHER`` words."""
     hasher, lower = Hasher(lower=True), _lower()
-    for batch in batches:
-        held = np.asarray(batch.column("held").fill_null(False).to_numpy(zero_copy_only=False))
-        found = []
-        for at, upto, data, offsets in chunks(batch.column("data")):
-            words = hasher.words(data, offsets)
-            marks = np.repeat(held[at:upto], np.diff(words.first))
-            found.append((words.hashes, _endings(words, lower), marks))
-        if not found:
-            continue
-        hashes, endings, marks = (np.concatenate(x) for x in zip(*found, strict=True))
+
+    def parts() -> Iterator[tuple[np.ndarray, ...]]:
+        for batch in batches:
+            held = np.asarray(batch.column("held").fill_null(False).to_numpy(zero_copy_only=False))
+            for at, upto, data, offsets in chunks(batch.column("data")):
+                words = hasher.words(data, offsets)
+                yield words.hashes, _endings(words, lower), np.repeat(held[at:upto], np.diff(words.first))
+
+    for hashes, endings, marks in _gathered(parts()):
         values, first, place = np.unique(hashes, return_index=True, return_inverse=True)
         every = np.bincount(place, minlength=len(values))
         later = np.bincount(place, weights=marks, minlength=len(values)).astype(np.int64)
@@ -111,14 +125,16 @@ def _bigrams(model: Model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, lower = Hasher(lower=True), _lower()
         width = 1 + ENDINGS + len(model.unit_hashes)
-        for batch in batches:
-            codes = []
-            for _, _, data, offsets in chunks(batch.column("data")):
-                units = _unit_run(hasher, lower, model, data, offsets)[3]
-                codes.append(np.append(0, units[:-1]) * width + units)
-            if codes:
-                pairs, counts = np.unique(np.concatenate(codes), return_counts=True)
-                yield pa.RecordBatch.from_pydict({"pair": pa.array(pairs), "n": pa.array(counts)})
+
+        def parts() -> Iterator[tuple[np.ndarray, ...]]:
+            for batch in batches:
+                for _, _, data, offsets in chunks(batch.column("data")):
+                    units = _unit_run(hasher, lower, model, data, offsets)[3]
+                    yield (np.append(0, units[:-1]) * width + units,)
+
+        for (codes,) in _gathered(parts()):
+            pairs, counts = np.unique(codes, return_counts=True)
+            yield pa.RecordBatch.from_pydict({"pair": pa.array(pairs), "n": pa.array(counts)})
 
     return run
 
