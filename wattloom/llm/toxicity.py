@@ -112,40 +112,48 @@ def _windows(text: bytes | None) -> list[bytes]:
 def _without_copies(texts: list[bytes]) -> list[list[bytes]]:
     """Words of the texts that share few runs of three words with those before."""
     seen: set[int] = set()
+    same: dict[bytes, bytes] = {}
     kept = []
     for text in texts:
-        words = _windows(text)
+        words = [same.setdefault(w, w) for w in _windows(text)]
         runs = {hash(tuple(words[i : i + 3])) for i in range(max(1, len(words) - 2))}
-        if words and 5 * len(runs & seen) <= len(runs):
+        some = {r for r in runs if r % 8 == 0} or runs
+        if words and 5 * len(some & seen) <= len(some):
             kept.append(words)
-        seen |= runs
+        seen |= some
     return kept
 
 
-def _beginnings(texts: list[list[bytes]]) -> Counter:
-    """In how many texts a word begins so; 4 to 12 bytes."""
+def _beginnings(texts: list[list[bytes]], n: int, wanted: set[bytes] | None = None) -> Counter:
+    """In how many texts a word begins so, over beginnings of ``n`` bytes."""
     counts: Counter = Counter()
     for words in texts:
-        counts.update({w[:n] for w in set(words) for n in range(4, min(len(w), 12) + 1)})
+        found = {w[:n] for w in words if len(w) >= n}
+        counts.update(found if wanted is None else found & wanted)
     return counts
 
 
-def _typical(mine: Counter, n: int, other: Counter, m: int) -> list[bytes]:
-    """Word beginnings more frequent in one class than chance allows, the most so first."""
+def _typical(mine: list[list[bytes]], other: list[list[bytes]]) -> list[bytes]:
+    """Word beginnings of 4 to 12 bytes more frequent in one class than chance allows, the most so first."""
+    n, m = len(mine), len(other)
 
     def z(a: int, b: int) -> float:
         p = (a + b) / (n + m)
         return (a / n - b / m) / math.sqrt(p * (1 - p) * (1 / n + 1 / m) + 1e-12)
 
-    least = max(3, n / 100)
-    ranked = sorted(((z(c, other[s]), len(s), s) for s, c in mine.items() if c >= least), reverse=True)
-    ranked = [r for r in ranked if r[0] >= 5]
+    least, often, ranked = max(3, n / 100), {}, []
+    for length in range(4, 13):
+        frequent = {s: c for s, c in _beginnings(mine, length).items() if c >= least}
+        against = _beginnings(other, length, set(frequent))
+        often |= frequent
+        ranked += [(z(c, against[s]), length, s) for s, c in frequent.items()]
+    ranked = sorted((r for r in ranked if r[0] >= 5), reverse=True)
     found: list[bytes] = []
     for _, _, s in ranked:
         if len(found) == TYPICAL:
             break
         if not any(s.startswith(f) or f.startswith(s) for f in found):
-            longer = [t for _, _, t in ranked if t.startswith(s) and mine[t] >= 0.9 * mine[s]]
+            longer = [t for _, _, t in ranked if t.startswith(s) and often[t] >= 0.9 * often[s]]
             found.append(max(longer, key=len))
     return found
 
@@ -168,8 +176,7 @@ def train(toxic: list[bytes], ordinary: list[bytes]) -> Dictionaries:
     bad, good = _without_copies(toxic), _without_copies(ordinary)
     if not bad or not good:
         return Dictionaries()
-    of_bad, of_good = _beginnings(bad), _beginnings(good)
-    typical = [_typical(of_bad, len(bad), of_good, len(good)), _typical(of_good, len(good), of_bad, len(bad))]
+    typical = [_typical(bad, good), _typical(good, bad)]
     words: Counter = Counter()
     for text in bad + good:
         words.update(set(text))
@@ -216,6 +223,16 @@ def _score(model: Dictionaries) -> Callable[[Iterator[pa.RecordBatch]], Iterator
     return run
 
 
+def _pass(model: Dictionaries, threshold: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(model)
+        for batch in batches:
+            texts = [t.as_py() for t in batch.column("text").cast(pa.binary())]
+            yield batch.filter(pa.array(scorer.scores(texts) < threshold))
+
+    return run
+
+
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id, score`` of every row: the probability that the text is toxic.
 
@@ -229,16 +246,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The documents scored below the threshold, with all their columns."""
-    model = fit(docs, labels)
-
-    @F.pandas_udf("double")
-    def score(texts):
-        import pandas as pd
-
-        return pd.Series(Scorer(model).scores([None if t is None else bytes(t) for t in texts]))
-
-    data = F.col("text").cast("binary")
-    return docs.where(score(data) < threshold)
+    return docs.mapInArrow(_pass(fit(docs, labels), threshold), docs.schema)
 
 
 def op9_toxicity(spark, sf_dir: str) -> DataFrame:
