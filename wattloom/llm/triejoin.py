@@ -232,19 +232,20 @@ def _blocks(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
         first = [i for i, r in enumerate(rows) if r[3] == one]
         second = first if one == two else [i for i, r in enumerate(rows) if r[3] == two]
         label, links = _join_block(sets, np.array([r[5] for r in rows]), first, second, percent)
-        ids = [r[4] for r in rows]
+        ids, whole = [r[4] for r in rows], rows[0][7] == 1
         return pa.RecordBatch.from_pydict(
             {
                 "a": pa.array(ids, pa.int64()),
                 "b": pa.array([ids[x] for x in label], pa.int64()),
                 "links": pa.array(links),
+                "whole": pa.array([whole] * len(ids), pa.bool_()),
             }
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, rows = None, []
         for batch in batches:
-            names = ("block", "one", "two", "piece", "set", "copies", "grams")
+            names = ("block", "one", "two", "piece", "set", "copies", "grams", "pieces")
             for row in zip(*(batch.column(n).to_pylist() for n in names), strict=True):
                 if row[:3] != key:
                     if rows:
@@ -306,7 +307,9 @@ def jaccard_components(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT
     sizes = placed.groupBy(F.col("block").alias("of")).agg(F.ceil(F.sum("n") / PIECE).cast("int").alias("pieces"))
     placed = placed.join(sizes, F.col("block") == F.col("of")).drop("of")
 
-    members = rows.join(placed, F.col("doc_id").eqNullSafe(F.col("id"))).mapInArrow(
+    # The number of classes grows with the documents, so this is never a broadcast.
+    texts = rows.join(placed.hint("merge"), F.col("doc_id").eqNullSafe(F.col("id")))
+    members = texts.mapInArrow(
         _members(gram), "block long, pieces int, set long, n int, copies long, grams binary"
     )
     members = members.where("grams IS NOT NULL")
@@ -315,11 +318,13 @@ def jaccard_components(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT
     paired = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
     paired = paired.select(
         "block", F.least("piece", "other").alias("one"), F.greatest("piece", "other").alias("two"),
-        "piece", "set", "copies", "grams",
+        "piece", "set", "copies", "grams", "pieces",
     )
     paired = paired.repartition("block", "one", "two").sortWithinPartitions("block", "one", "two")
-    joined = keep(paired.mapInArrow(_blocks(percent), "a long, b long, links long"), "set-links")
-    roots = components(joined.select("a", "b"))
+    joined = keep(paired.mapInArrow(_blocks(percent), "a long, b long, links long, whole boolean"), "set-links")
+    # A block joined as one has its components already; those in pieces are put together.
+    roots = joined.where("whole").select(F.col("a").alias("node"), F.col("b").alias("root"))
+    roots = roots.unionByName(components(joined.where("NOT whole").select("a", "b")))
     links = joined.groupBy(F.col("a").alias("linked")).agg(F.sum("links").alias("others"))
 
     whole = classes.select("set", "id", "copies")
