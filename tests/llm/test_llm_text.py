@@ -205,6 +205,34 @@ def test_exchange_separates_alternating_words(spark):
     assert matrix.sum() == sum(n for _, _, n in units)
 
 
+def test_every_repeated_word_is_clustered(spark, monkeypatch):
+    """3,000 words of the same ending, each rarer than 1 in 2,048 tokens, in two alternating kinds."""
+    rng = random.Random(4)
+    kinds = [[f"{c}{i}end" for i in range(1500)] for c in "ab"]
+    rows = [(i, " ".join(rng.choice(kinds[(i + j) % 2]) for j in range(120))) for i in range(500)]
+    from pyspark.sql import functions as F
+
+    models = []
+    score = brown._score
+    monkeypatch.setattr(brown, "_score", lambda model: (models.append(model), score(model))[1])
+    found = brown.score_documents(frame(spark, rows), F.col("doc_id") % 5 == 2).collect()
+    counts = Counter(w for i, t in rows if i % 5 != 2 for w in t.split())
+    model = models[0]
+    assert len(model.unit_hashes) == sum(n >= brown.LEAST for n in counts.values()) > 2500
+    hasher = Hasher(lower=True)
+    kind = [Counter(), Counter()]
+    for side, words in enumerate(kinds):
+        for w in words:
+            if counts[w] >= brown.LEAST:
+                data = np.frombuffer(w.encode(), np.uint8)
+                place = np.searchsorted(model.unit_hashes, hasher.words(data, np.array([0, len(data)])).hashes[0])
+                kind[side][int(model.classes[place + 2 + len(model.endings)])] += 1
+    assert (kind[0] & kind[1]).total() < 0.02 * (kind[0] + kind[1]).total()
+    held = [r for r in found if r.doc_id % 5 == 2]
+    # Knowing the kind of the next word halves its choices.
+    assert sum(r.score - r.base_score for r in held) > 0.6 * math.log10(2) * 120 * len(held)
+
+
 def rules_by_hand(text):
     t = text or ""
     w = blank_words(t)

@@ -1,8 +1,8 @@
 """LM scoring with a class-based bigram model: exchange clustering, transitions, emissions.
 
-Frequent words are clustered one by one; all other words are clustered by their last bytes, so
-every word has a class that its spelling and one bounded table tell. A word's probability is
-that of its class after the class before, times its share in the class.
+Every word seen often enough in training is clustered by itself; the rarer words are clustered
+by their last bytes. The table of these units grows with the vocabulary, not with the text. A
+word's probability is that of its class after the class before, times its share in the class.
 """
 
 from __future__ import annotations
@@ -22,11 +22,11 @@ from wattloom.llm.wordhash import Hasher, chunks, mix
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: A word is clustered by itself if it is one in so many tokens or more.
-UNITS = 2048
-#: Endings under which all other words are clustered.
-ENDINGS = 512
-#: A word's count travels to all tasks if it is one in so many tokens or more.
+#: A word is clustered by itself if the training texts have it so many times or more.
+LEAST = 10
+#: Units whose moves one task decides.
+PART = 2048
+#: A word's count travels to all tasks if the word is clustered by itself or is one in so many tokens or more.
 HEAD = 65536
 CLASSES, ROUNDS, SMOOTH = 64, 6, 20.0
 #: Words that a task combines at a time.
@@ -35,8 +35,13 @@ GATHER = 1 << 20
 
 @dataclass
 class Model:
-    """Tables of bounded size that all tasks get."""
+    """Tables that all tasks get. Those by unit grow with the vocabulary, all others are bounded.
 
+    Unit 0 is the end of a text. Then come the endings of the rarer training words, one unit for
+    all endings that they do not have, and the words that are clustered by themselves.
+    """
+
+    endings: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))  # ascending
     unit_hashes: np.ndarray = field(default_factory=lambda: np.empty(0, np.uint64))  # ascending
     head_hashes: np.ndarray = field(default_factory=lambda: np.empty(0, np.uint64))  # ascending
     head_counts: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
@@ -45,6 +50,10 @@ class Model:
     known: np.ndarray = field(default_factory=lambda: np.zeros(1))  # log10((1 - unseen) / size) by class
     unseen: np.ndarray = field(default_factory=lambda: np.zeros(1))  # log10 of the unseen mass by class
 
+    @property
+    def width(self) -> int:
+        return 2 + len(self.endings) + len(self.unit_hashes)
+
 
 def _find(sorted_hashes: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Index of each hash in an ascending table, -1 where it is missing."""
@@ -56,13 +65,13 @@ def _find(sorted_hashes: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 
 def _endings(words, lower: np.ndarray) -> np.ndarray:
-    """Number of the last three bytes of each word."""
+    """The last three bytes of each word as a number; shorter words have numbers of their own."""
     code = np.zeros(len(words.begin), np.uint64)
     for back in (1, 2, 3):
         at = words.end - back
         inside = at >= words.begin
         code = code * np.uint64(257) + np.where(inside, lower[words.data[np.where(inside, at, 0)]] + np.uint64(1), np.uint64(0))
-    return (mix(code) % np.uint64(ENDINGS)).astype(np.int64)
+    return code.astype(np.int64)
 
 
 def _lower() -> np.ndarray:
@@ -112,8 +121,9 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _unit_run(hasher: Hasher, lower: np.ndarray, model: Model, data: np.ndarray, offsets: np.ndarray):
     """Words, their units, and the units in one row with an end after each text."""
     words = hasher.words(data, offsets)
-    units = _find(model.unit_hashes, words.hashes)
-    units = np.where(units >= 0, units + 1 + ENDINGS, _endings(words, lower) + 1)
+    units, other = _find(model.unit_hashes, words.hashes), len(model.endings) + 1
+    endings = _find(model.endings, _endings(words, lower))
+    units = np.where(units >= 0, units + 1 + other, np.where(endings >= 0, endings + 1, other))
     texts = len(offsets) - 1
     text = np.repeat(np.arange(texts), np.diff(words.first))
     run = np.zeros(len(units) + texts, np.int64)
@@ -124,7 +134,7 @@ def _unit_run(hasher: Hasher, lower: np.ndarray, model: Model, data: np.ndarray,
 def _bigrams(model: Model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, lower = Hasher(lower=True), _lower()
-        width = 1 + ENDINGS + len(model.unit_hashes)
+        width = model.width
 
         def parts() -> Iterator[tuple[np.ndarray, ...]]:
             for batch in batches:
@@ -142,7 +152,7 @@ def _bigrams(model: Model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
 def exchange(
     matrix: np.ndarray, units: list[tuple[int, int, np.ndarray, np.ndarray, float]]
 ) -> list[tuple[int, int]]:
-    """One round of the exchange algorithm: each unit in turn moves to its best class.
+    """Each unit in turn moves to its best class, as the exchange algorithm has it.
 
     ``matrix`` counts class pairs. A unit is its id, its class, its counts before each class,
     after each class, and after itself. The goal is the likelihood of the class bigrams,
@@ -164,7 +174,9 @@ def exchange(
         rest_after, rest_before = after.copy(), before.copy()
         rest_after[now] -= own
         rest_before[now] -= own
-        gain = (f(n + rest_after) - f(n)).sum(axis=1) + (f(n.T + rest_before) - f(n.T)).sum(axis=1)
+        to, by = np.flatnonzero(rest_after), np.flatnonzero(rest_before)
+        row, column = n[:, to], n[by, :].T
+        gain = (f(row + rest_after[to]) - f(row)).sum(axis=1) + (f(column + rest_before[by]) - f(column)).sum(axis=1)
         corner = n[every, every]
         both = corner + rest_after + rest_before + own
         gain += f(both) + f(corner) - f(corner + rest_after) - f(corner + rest_before)
@@ -181,16 +193,22 @@ def exchange(
     return moved
 
 
-def _move(matrix: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _flat(lists: pa.Array) -> tuple[np.ndarray, ...]:
+    """Row number, side, class and count of all entries of a column of ``sides``."""
+    owner = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
+    return owner, *(c.to_numpy(zero_copy_only=False) for c in lists.flatten().flatten())
+
+
+def _move(matrix: np.ndarray, now: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         k = len(matrix)
         units = []
         for batch in batches:
-            for row in batch.to_pylist():
-                sides = np.zeros((2, k))
-                for s in row["sides"]:
-                    sides[s["side"], s["class"]] += s["n"]
-                units.append((row["unit"], row["now"], sides[0], sides[1], float(row["own"])))
+            owner, side, at, n = _flat(batch.column("sides"))
+            ids = batch.column("unit").to_numpy()
+            sides = np.zeros((len(ids), 3, k))
+            np.add.at(sides, (owner, side, at), n)
+            units += [(int(u), int(now[u]), x[0], x[1], x[2, 0]) for u, x in zip(ids, sides, strict=True)]
         units.sort(key=lambda u: (-u[2].sum(), u[0]))
         if units:
             ids, to = zip(*exchange(matrix, units), strict=True)
@@ -199,52 +217,102 @@ def _move(matrix: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
     return run
 
 
-def _class_pairs(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """``a, b, n, ca, cb``: pairs of units with their classes. ``classes`` is of bounded size."""
-    left = F.broadcast(classes.select(F.col("unit").alias("a"), F.col("now").alias("ca")))
-    right = F.broadcast(classes.select(F.col("unit").alias("b"), F.col("now").alias("cb")))
-    return pairs.join(left, "a").join(right, "b")
+def _by_class(now: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Counts of neighbours by their class; ``side`` 2 is the unit after itself."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        k = int(now.max()) + 1
+
+        def parts() -> Iterator[tuple[np.ndarray, ...]]:
+            for batch in batches:
+                unit, side, other, n = (c.to_numpy() for c in batch.columns)
+                own = (unit == other) & (side == 0)
+                code = (unit * 3 + side) * k + now[other]
+                yield np.append(code, (unit[own] * 3 + 2) * k), np.append(n, n[own])
+
+        for codes, counts in _gathered(parts()):
+            order = np.argsort(codes)
+            codes, counts = codes[order], counts[order]
+            first = np.flatnonzero(np.append(True, codes[1:] != codes[:-1])[: len(codes)])
+            sums, codes = np.add.reduceat(counts, first) if len(first) else counts, codes[first]
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "unit": pa.array(codes // (3 * k)),
+                    "side": pa.array((codes // k % 3).astype(np.int32)),
+                    "class": pa.array((codes % k).astype(np.int32)),
+                    "n": pa.array(sums),
+                }
+            )
+
+    return run
+
+
+def _neighbours(around: DataFrame, now: np.ndarray) -> tuple[DataFrame, np.ndarray]:
+    """``unit, sides`` with the class neighbours of each unit, and the class pair counts."""
+    counted = around.mapInArrow(_by_class(now.astype(np.int16)), "unit long, side int, class int, n long")
+    # At most 2 * classes + 1 numbers a unit, but for those a task counts in several pieces.
+    sides = counted.groupBy("unit").agg(F.collect_list(F.struct("side", "class", "n")).alias("sides"))
+    ready = keep(sides, "class-neighbours")
+    k = int(now.max()) + 1
 
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matrix = np.zeros((k, k), np.int64)
+        for batch in batches:
+            owner, side, at, n = _flat(batch.column("sides"))
+            after = side == 0
+            np.add.at(matrix, (now[batch.column("unit").to_numpy()][owner[after]], at[after]), n[after])
+        yield pa.RecordBatch.from_pydict({"data": pa.array([matrix.tobytes()], pa.binary())})
 
-def _matrix(classed: DataFrame, k: int) -> np.ndarray:
     matrix = np.zeros((k, k))
-    for r in classed.groupBy("ca", "cb").agg(F.sum("n").alias("n")).collect():  # k * k rows at most
-        matrix[r.ca, r.cb] = r.n
-    return matrix
+    for r in ready.mapInArrow(rows, "data binary").toLocalIterator():
+        matrix += np.frombuffer(bytes(r.data), np.int64).reshape(k, k)
+    return ready, matrix
 
 
-def cluster(pairs: DataFrame, classes: int = CLASSES, rounds: int = ROUNDS) -> tuple[dict[int, int], np.ndarray]:
+def _likelihood(matrix: np.ndarray) -> float:
+    def f(x: np.ndarray) -> float:
+        return float((x * np.log(np.maximum(x, 1.0))).sum())
+
+    return f(matrix) - f(matrix.sum(axis=0)) - f(matrix.sum(axis=1))
+
+
+def cluster(pairs: DataFrame, classes: int = CLASSES, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
     """Class of each unit of ``pairs(a, b, n)`` by exchange clustering, and the class pair counts.
 
-    The number of units is bounded, the number of pairs behind them is not: each round counts
-    class neighbours over all pairs in parallel, then moves the units, the most frequent first.
-    Units start dealt to the classes by frequency. Unit 0 is the end of a text, alone in class 0.
+    Each round counts class neighbours over all pairs in parallel. Tasks then move ``PART`` units
+    each, the most frequent first, and see the moves of their own units only; the classes of the
+    likeliest round are returned. The parts depend on the units alone. Units start dealt to the
+    classes by frequency. Unit 0 is the end of a text, alone in class 0. All tasks and the driver
+    hold a number per unit.
     """
-    spark = pairs.sparkSession
-    total = pairs.groupBy(F.col("b").alias("unit")).agg(F.sum("n").alias("n")).collect()
-    order = sorted((r for r in total if r.unit), key=lambda r: (-r.n, r.unit))
-    now = {0: 0} | {r.unit: 1 + i % classes for i, r in enumerate(order)}
-
-    def table() -> DataFrame:
-        return spark.createDataFrame(list(now.items()), "unit long, now long")
-
-    for _ in range(rounds):
-        classed = _class_pairs(pairs, table())
-        matrix = _matrix(classed, classes + 1)
-        after = classed.groupBy(F.col("a").alias("unit"), F.lit(0).alias("side"), F.col("cb").alias("class"))
-        before = classed.groupBy(F.col("b").alias("unit"), F.lit(1).alias("side"), F.col("ca").alias("class"))
-        sides = after.agg(F.sum("n").alias("n")).unionByName(before.agg(F.sum("n").alias("n")))
-        sides = sides.groupBy("unit").agg(F.collect_list(F.struct("side", "class", "n")).alias("sides"))
-        own = pairs.where("a = b").select(F.col("a").alias("unit"), F.col("n").alias("own"))
-        ready = sides.join(own, "unit", "left").join(F.broadcast(table()), "unit").where("unit != 0")
-        ready = ready.select("unit", "now", "sides", F.coalesce("own", F.lit(0)).alias("own"))
-        # At most UNITS + ENDINGS rows of 2 * classes numbers, moved one after the other.
-        moved = ready.repartition(1).mapInArrow(_move(matrix), "unit long, now long").collect()
-        new = {r.unit: r.now for r in moved}
-        if all(now[u] == c for u, c in new.items()):
+    around = F.array(
+        F.struct(F.col("a").alias("unit"), F.lit(0).alias("side"), F.col("b").alias("other"), "n"),
+        F.struct(F.col("b").alias("unit"), F.lit(1).alias("side"), F.col("a").alias("other"), "n"),
+    )
+    # The neighbours of a unit, at most twice as many as there are units, lie together.
+    around = keep(pairs.select(F.inline(around)).repartition("unit"), "unit-neighbours")
+    total = around.where("side = 1 AND unit != 0").groupBy("unit").agg(F.sum("n").alias("n")).toArrow()
+    units, n = (total.column(c).to_numpy() for c in ("unit", "n"))
+    now = np.zeros(max(units.max(initial=0) + 1, classes + 1), np.int64)
+    now[1:] = 1 + np.arange(len(now) - 1) % classes  # a unit without pairs
+    now[units[np.lexsort((units, -n))]] = 1 + np.arange(len(units)) % classes
+    parts = -(-len(units) // PART) or 1
+    best: tuple[float, np.ndarray, np.ndarray] | None = None
+    for left in range(rounds, -1, -1):
+        ready, matrix = _neighbours(around, now)
+        likelihood = _likelihood(matrix)
+        if best is None or likelihood > best[0]:
+            best = likelihood, now, matrix
+        if not left:
+            break
+        moving = ready.where("unit != 0").repartition(parts, "unit")
+        moved = moving.mapInArrow(_move(matrix, now), "unit long, now long").toArrow()
+        new = now.copy()
+        new[moved.column("unit").to_numpy()] = moved.column("now").to_numpy()
+        if (new == now).all():
             break
-        now |= new
-    return now, _matrix(_class_pairs(pairs, table()), classes + 1)
+        now = new
+    return best[1], best[2]
 
 
 def _score(model: Model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -325,28 +393,34 @@ def score_documents(docs: DataFrame, held_out: Column) -> DataFrame:
     ends = rows.where("NOT held").count()
     n_train, n_distinct = totals.train + ends, totals.distinct + (ends > 0)
     model = Model()
-    # Words over a share of all tokens: at most HEAD rows, of which at most UNITS are units.
-    head = counts.where((F.col("train") + F.col("held")) * HEAD >= totals.every).select("word", "train").collect()
-    head = sorted((r.word % (1 << 64), r.train) for r in head)
-    model.head_hashes = np.array([h for h, _ in head], np.uint64)
-    model.head_counts = np.array([c for _, c in head], np.int64)
-    model.unit_hashes = np.array([h for h, c in head if c and c * UNITS >= totals.train], np.uint64)
-    width = 1 + ENDINGS + len(model.unit_hashes)
+    # Words clustered by themselves, and at most HEAD rows over a share of all tokens.
+    in_head = (F.col("train") >= LEAST) | ((F.col("train") + F.col("held")) * HEAD >= totals.every)
+    head = counts.where(in_head).select("word", "train").toArrow()
+    hashes, seen = head.column("word").to_numpy().view(np.uint64), head.column("train").to_numpy()
+    order = np.argsort(hashes)
+    model.head_hashes, model.head_counts = hashes[order], seen[order]
+    model.unit_hashes = model.head_hashes[model.head_counts >= LEAST]
+    rarer = counts.where((F.col("train") > 0) & (F.col("train") < LEAST)).select("ending").distinct()
+    model.endings = np.sort(rarer.toArrow().column("ending").to_numpy().astype(np.int64))
+    width = model.width
 
     pairs = rows.where("NOT held").mapInArrow(_bigrams(model), "pair long, n long")
     pairs = pairs.groupBy("pair").agg(F.sum("n").alias("n"))
-    pairs = keep(pairs.select(F.expr(f"pair div {width}").alias("a"), F.expr(f"pair % {width}").alias("b"), "n"), "unit-pairs")
-    now, matrix = cluster(pairs)
+    now, matrix = cluster(pairs.select(F.expr(f"pair div {width}").alias("a"), F.expr(f"pair % {width}").alias("b"), "n"))
     k = len(matrix)
-    model.classes = np.array([now.get(u, 1 + u % (k - 1)) for u in range(width)])
+    model.classes = np.zeros(max(width, len(now)), np.int64)
+    model.classes[: len(now)] = now
 
     size = matrix.sum(axis=0)
     share = (size + 1) / (size.sum() + k)
     transition = (matrix + SMOOTH * share) / (matrix.sum(axis=1, keepdims=True) + SMOOTH)
     model.transition = np.log10(transition)
     single = np.zeros(k)
-    for r in counts.where("train = 1").groupBy("ending").count().collect():  # at most ENDINGS rows
-        single[model.classes[r.ending + 1]] += r["count"]
+    alone = counts.where("train = 1").groupBy("ending").count().toArrow()  # a row per ending
+    at = np.searchsorted(model.endings, alone.column("ending").to_numpy())
+    np.add.at(single, model.classes[at + 1], alone.column("count").to_numpy())
+    # Nothing is known of other endings; new words are likeliest where most words came once.
+    model.classes[len(model.endings) + 1] = 1 + single[1:].argmax()
     unseen = np.minimum((single + 0.5) / (size + 1), 0.5)
     model.known, model.unseen = np.log10((1 - unseen) / np.maximum(size, 1)), np.log10(unseen)
     if not n_train:
@@ -355,7 +429,7 @@ def score_documents(docs: DataFrame, held_out: Column) -> DataFrame:
     scored = rows.select("doc_id", "data").mapInArrow(
         _score(model), f"doc_id {kind}, word long, times long, class int, size long, known long, base double, score double"
     )
-    rare = counts.where((F.col("train") + F.col("held")) * HEAD < totals.every).where("train > 0")
+    rare = counts.where(~in_head).where("train > 0")
     scored = scored.join(rare.select("word", F.col("train").alias("c")), "word", "left")
     count = F.coalesce("c", F.lit(0))
     emitted = F.when(count > 0, F.log10(count) + _pick(model.known, F.col("class"))).otherwise(_pick(model.unseen, F.col("class")))
