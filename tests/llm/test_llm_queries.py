@@ -50,6 +50,15 @@ def test_pipeline_stages(spark):
     assert placed.count() == len(rows) and {r.doc_id for r in placed.collect()} == ids
 
 
+def test_near_copies_by_five_words(spark):
+    """One word of 49 changed leaves 40 of 50 runs of five words, and 42 of 50 of four (84 %)."""
+    words = [f"w{i}" for i in range(49)]
+    rows = [(1, " ".join(words)), (2, " ".join([*words[:24], "new", *words[25:]]))]
+    rows += [(3, " ".join([*words[:12], "x", *words[13:36], "y", *words[37:]]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.near_copies(spark, docs, SF).collect()) == [1, 3]
+
+
 def test_pipeline_on_nothing(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
