@@ -4,6 +4,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from fixtures import corpus, frame, got
 from wattloom.llm import mixing, sharding, urls
@@ -139,6 +140,30 @@ def test_sharding_balances_bytes_and_splits_hot_texts(spark):
     assert sorted(map(tuple, found)) == sorted(map(tuple, again))
 
 
+def test_equal_texts_share_a_shard(spark):
+    """Copies stay together in small tables, among many rows, and in the cell of a hot text."""
+    spread = lambda found: {c for c, s in found.items() if len(s) > 1}
+
+    def places(rows):
+        found = defaultdict(set)
+        for r in sharding.shard_documents(frame(spark, rows)).collect():
+            found[r.text_crc32].add(r["shard"])
+        return found
+
+    crc = lambda t: zlib.crc32(t.encode())
+    few = [(i, f"{i // 2} " + "z" * 40) for i in range(60)] + [(100 + i, "q" * 3000 + str(i)) for i in range(60)]
+    assert not spread(places(few))
+    short = [(i, "ab") for i in range(40)] + [(100 + i, "x" * 700 + str(i)) for i in range(600)]
+    assert not spread(places(short))
+    hot = "hot text " * 20
+    texts = spark.range(200_000).select(F.concat(F.lit("t"), "id").alias("t"))
+    cell = lambda c: F.pmod(F.xxhash64(F.encode(c, "UTF-8")), F.lit(sharding.CELLS))
+    near = [r.t for r in texts.where(cell(F.col("t")) == cell(F.lit(hot))).limit(5).collect()]
+    rows = [(i, hot) for i in range(1000)] + [(2000 + i, near[i % len(near)]) for i in range(40)]
+    rows += [(5000 + i, f"{i} " + "y" * 150) for i in range(2000)]
+    assert near and spread(places(rows)) == {crc(hot)}
+
+
 def sized(rows):
     tokens = Counter()
     for i, text, source in rows:

@@ -12,7 +12,8 @@ from wattloom.llm.store import keep
 
 #: Cells of the ring. Texts fall on cells, and cells are what is placed.
 CELLS = 2**14
-#: Parts into which a cell is split that holds more than 1/64 of a shard.
+#: Parts into which a text is split whose copies hold more than 1/64 of a shard, and a cell that
+#: holds so much is split by its other texts.
 SPLITS = 256
 
 
@@ -61,10 +62,11 @@ def shard_documents(docs: DataFrame, n_shards: int = 8, vnodes: int = 128, slack
     """``doc_id, size, text_crc32, shard, slot``: shards of nearly equal bytes.
 
     The place of a text on the ring is a hash of the text, so equal texts share a shard unless
-    they alone are over 1/64 of one; then they are split by a hash of doc_id. ``size`` is the
-    UTF-8 bytes plus 1, a null text counts as an empty one, and a null doc_id is an id like
-    others. Repeated rows each get a slot. The driver handles one total per cell, a number that
-    does not grow with the data.
+    they alone are over 1/64 of one; then they are split by a hash of doc_id. The other texts of
+    a cell over 1/64 of a shard are placed apart from each other, the copies of each together.
+    ``size`` is the UTF-8 bytes plus 1, a null text counts as an empty one, and a null doc_id is
+    an id like others. Repeated rows each get a slot. The driver handles one total per cell and
+    per part of a large one, a number that does not grow with the data.
     """
     data = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
     rows = docs.select(
@@ -76,21 +78,38 @@ def shard_documents(docs: DataFrame, n_shards: int = 8, vnodes: int = 128, slack
     )
     rows = keep(rows, "shard-rows")
     totals = (F.sum("size").alias("bytes"), F.count("*").alias("rows"))
-    cells = rows.groupBy("cell").agg(*totals).withColumn("split", F.lit(0)).collect()
+    cells = rows.groupBy("cell").agg(*totals).collect()
     share = 64 * n_shards
     most_bytes, most_rows = sum(c.bytes for c in cells) / share, sum(c.rows for c in cells) / share
-    heavy = [c.cell for c in cells if c.bytes > most_bytes or c.rows > max(most_rows, 1)]
-    split = F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(SPLITS)).cast("int")
-    rows = rows.withColumn("split", F.when(F.col("cell").isin(heavy), split).otherwise(0))
-    parts = rows.where(F.col("cell").isin(heavy)).groupBy("cell", "split").agg(*totals).collect() if heavy else []
-    units = [c for c in cells if c.cell not in set(heavy)] + parts
-    placed = docs.sparkSession.createDataFrame(
-        place(units, n_shards, vnodes, slack), "cell int, split int, shard int, first long"
-    )
-    in_unit = W.Window.partitionBy("cell", "split").orderBy("text_hash", "doc_id", "size")
-    numbered = rows.withColumn("nth", F.row_number().over(in_unit))
-    # At most CELLS + 64 * n_shards * SPLITS rows.
-    return numbered.join(F.broadcast(placed), ["cell", "split"]).select(
+    heavy = F.col("cell").isin([c.cell for c in cells if c.bytes > most_bytes])
+    by_text = rows.where(heavy).groupBy("cell", "text_hash").agg(F.sum("size").alias("bytes"))
+    hot = by_text.where(F.col("bytes") > most_bytes).select("cell", "text_hash").collect()  # fewer than share rows
+    hot = [(*r, i) for i, r in enumerate(sorted(hot), 1)]
+    hot = F.broadcast(docs.sparkSession.createDataFrame(hot, "cell int, text_hash long, hot int"))
+    by_doc = F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(SPLITS)).cast("int")
+    split = F.when(F.col("hot").isNotNull(), F.col("hot") * SPLITS + by_doc)
+    split = split.when(heavy, F.pmod("text_hash", F.lit(SPLITS)).cast("int")).otherwise(0)
+    rows = rows.join(hot, ["cell", "text_hash"], "left").withColumn("split", split)
+    # At most CELLS + 2 * share * SPLITS units.
+    units = rows.groupBy("cell", "split").agg(*totals).collect()
+
+    # Units of many rows are numbered in pieces; they are placed whole.
+    unit = F.col("split").cast("long") * CELLS + F.col("cell")
+    crowded = unit.isin([u.split * CELLS + u.cell for u in units if u.rows > max(most_rows, 1)])
+    rows = rows.withColumn("salt", F.when(crowded, by_doc).otherwise(0))
+    pieces: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    for r in rows.where(crowded).groupBy("cell", "split", "salt").agg(F.count("*").alias("rows")).collect():
+        pieces.setdefault((r.cell, r.split), []).append((r.salt, r.rows))
+    placed = []
+    for cell, at, shard, first in place(units, n_shards, vnodes, slack):
+        for salt, n in sorted(pieces.get((cell, at), [(0, 0)])):
+            placed.append((cell, at, salt, shard, first))
+            first += n
+    placed = docs.sparkSession.createDataFrame(placed, "cell int, split int, salt int, shard int, first long")
+    in_piece = W.Window.partitionBy("cell", "split", "salt").orderBy("text_hash", "doc_id", "size")
+    numbered = rows.withColumn("nth", F.row_number().over(in_piece))
+    # At most CELLS + 3 * share * SPLITS rows.
+    return numbered.join(F.broadcast(placed), ["cell", "split", "salt"]).select(
         "doc_id", "size", "text_crc32", "shard", (F.col("first") + F.col("nth") - 1).alias("slot")
     )
 
