@@ -261,11 +261,13 @@ def _neighbours(around: DataFrame, now: np.ndarray) -> tuple[DataFrame, np.ndarr
             owner, side, at, n = _flat(batch.column("sides"))
             after = side == 0
             np.add.at(matrix, (now[batch.column("unit").to_numpy()][owner[after]], at[after]), n[after])
-        yield pa.RecordBatch.from_pydict({"data": pa.array([matrix.tobytes()], pa.binary())})
+        ca, cb = np.nonzero(matrix)
+        yield pa.RecordBatch.from_pydict({"ca": pa.array(ca), "cb": pa.array(cb), "n": pa.array(matrix[ca, cb])})
 
     matrix = np.zeros((k, k))
-    for r in ready.mapInArrow(rows, "data binary").toLocalIterator():
-        matrix += np.frombuffer(bytes(r.data), np.int64).reshape(k, k)
+    counted = ready.mapInArrow(rows, "ca long, cb long, n long").groupBy("ca", "cb").agg(F.sum("n").alias("n"))
+    for r in counted.collect():  # k * k rows at most
+        matrix[r.ca, r.cb] = r.n
     return ready, matrix
 
 
