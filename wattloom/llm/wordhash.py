@@ -71,10 +71,10 @@ class Words:
 class Hasher:
     """Hashes words and word runs; equal words give equal numbers in every task."""
 
-    def __init__(self, lower: bool):
+    def __init__(self, lower: bool, blanks: bytes = BLANKS):
         self.values = _byte_values(lower)
         self.blank = np.zeros(256, bool)
-        self.blank[list(BLANKS)] = True
+        self.blank[list(blanks)] = True
         self.byte_powers = Powers(0x9E3779B97F4A7C15)
         self.run_powers = [Powers(0xD6E8FEB86659FD93), Powers(0xA0761D6478BD642F)]
 
@@ -114,7 +114,7 @@ class Hasher:
         return mix((sums[end] - sums[begin]) * down[begin])
 
 
-def chunks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def chunks(texts: pa.Array, size: int = CHUNK) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Runs of a binary column: first row, row after the last, bytes, offsets. Null counts as empty."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
@@ -129,7 +129,7 @@ def chunks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]
     data = np.frombuffer(buffers[2], np.uint8) if buffers[2] is not None else np.empty(0, np.uint8)
     at = 0
     while at < n:
-        upto = int(np.searchsorted(ends, ends[at] + CHUNK, side="right")) - 1
+        upto = int(np.searchsorted(ends, ends[at] + size, side="right")) - 1
         upto = min(n, max(upto, at + 1))
         yield at, upto, data[ends[at] : ends[upto]], ends[at : upto + 1] - ends[at]
         at = upto
