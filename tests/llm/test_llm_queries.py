@@ -21,7 +21,7 @@ def duck():
 
 def test_all_are_registered():
     assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
-    assert sorted(n.split("_")[0] for n in QUERIES) == sorted(["pipeline", *(f"op{i}" for i in range(1, 11))])
+    assert sorted(n.split("_")[0] for n in QUERIES) == sorted(["pipeline", *(f"op{i}" for i in range(1, 14))])
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

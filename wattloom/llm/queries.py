@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import corpus_pipeline
 from wattloom.llm.brown import op2_lm_score
+from wattloom.llm.chat import OP11_SQL, op11_chat_format
+from wattloom.llm.convtrie import OP12_SQL, op12_conversation_trie
 from wattloom.llm.decontaminate import OP4_SQL, op4_decontamination
 from wattloom.llm.licenses import OP1_SQL, op1_license_scan
 from wattloom.llm.mixing import op8_mixing
+from wattloom.llm.phrases import OP13_SQL, op13_phrases
 from wattloom.llm.quality import op7_quality_rules
 from wattloom.llm.sharding import op6_sharding
 from wattloom.llm.substrings import OP10_SQL, op10_substring_dedup
@@ -25,6 +28,9 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_toxicity": op9_toxicity,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_chat_format": op11_chat_format,
+    "op12_conversation_trie": op12_conversation_trie,
+    "op13_phrases": op13_phrases,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -34,4 +40,7 @@ SQL = {
     "op4_decontamination": OP4_SQL,
     "op5_url_filter": OP5_SQL,
     "op10_substring_dedup": OP10_SQL,
+    "op11_chat_format": OP11_SQL,
+    "op12_conversation_trie": OP12_SQL,
+    "op13_phrases": OP13_SQL,
 }
