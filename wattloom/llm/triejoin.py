@@ -24,8 +24,6 @@ from wattloom.llm.wordhash import Hasher, chunks
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 GRAM, PERCENT = 4, 85
-#: N-grams whose hash is below are ordered by frequency, a fifth of all.
-COUNTED = (1 << 64) // 5
 #: N-grams in one piece of a block; larger blocks are joined piece by piece.
 PIECE = 1_000_000
 #: Cells of the probe matrix in a trie.
@@ -53,11 +51,22 @@ def _set_id(grams: np.ndarray) -> int:
     return int(np.uint64(total.sum(dtype=np.uint64) ^ (np.uint64(len(grams)) << np.uint64(40))).view(np.int64))
 
 
+def _counted(percent: int) -> int:
+    """N-grams whose hash is below are ordered by frequency, five thirds of a set's prefix.
+
+    With as many as the prefix or fewer, a set whose share is small by chance fills its prefix
+    with n-grams that any document may have, and blocks grow together.
+    """
+    return min((1 << 64) * 5 * (100 - percent) // 300, (1 << 64) - 1)
+
+
 def _prefix(n: int, percent: int) -> int:
     return n - (percent * n + 99) // 100 + 1
 
 
-def _profiles(gram: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _profiles(gram: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    bound = np.uint64(_counted(percent))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(lower=True)
         for batch in batches:
@@ -66,7 +75,7 @@ def _profiles(gram: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
                 for grams in _sets(hasher, data, offsets, gram):
                     sizes.append(len(grams))
                     ids.append(_set_id(grams) if len(grams) else None)
-                    counted.append(int(np.searchsorted(grams, np.uint64(COUNTED))))
+                    counted.append(int(np.searchsorted(grams, bound)))
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": batch.column("doc_id"),
@@ -81,6 +90,7 @@ def _profiles(gram: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
 
 def _tokens(gram: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """The n-grams that may be in a set's prefix; a set appears once per batch."""
+    bound = np.uint64(_counted(percent))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(lower=True)
@@ -92,7 +102,7 @@ def _tokens(gram: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Ite
                     if not len(grams) or (owner := _set_id(grams)) in seen:
                         continue
                     seen.add(owner)
-                    upto = max(int(np.searchsorted(grams, np.uint64(COUNTED))), _prefix(len(grams), percent))
+                    upto = max(int(np.searchsorted(grams, bound)), _prefix(len(grams), percent))
                     tokens.append(grams[:upto])
                     owners.append(np.full(upto, owner, np.int64))
                 if tokens:
@@ -269,7 +279,11 @@ def _candidates(tokens: DataFrame, profiles: DataFrame, percent: int) -> DataFra
     )
     known = per_set.join(sizes, F.col("set") == F.col("id"))
     # Hashes are unsigned: negative longs are the upper half.
-    below = lambda t: (t["token"] >= 0) & (t["token"] < F.lit(COUNTED))
+    bound = _counted(percent)
+    if bound < 1 << 63:
+        below = lambda t: (t["token"] >= 0) & (t["token"] < F.lit(bound))
+    else:
+        below = lambda t: (t["token"] >= 0) | (t["token"] < F.lit(bound - (1 << 64)))
     prefix = F.col("n") - F.expr(f"({percent} * n + 99) div 100") + 1
     early = F.array_sort(F.filter("shared", below))
     unique = F.col("counted") - F.size(early)
@@ -296,7 +310,7 @@ def jaccard_components(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT
     """
     kind = docs.select("doc_id").dtypes[0][1]
     rows = docs.select("doc_id", F.col("text").cast("binary").alias("data"))
-    profiles = keep(rows.mapInArrow(_profiles(gram), f"doc_id {kind}, n int, set long, counted int"), "set-profiles")
+    profiles = keep(rows.mapInArrow(_profiles(gram, percent), f"doc_id {kind}, n int, set long, counted int"), "set-profiles")
     tokens = rows.mapInArrow(_tokens(gram, percent), "token long, set long")
     blocks = components(_candidates(tokens, profiles, percent))
     classes = profiles.where("n > 0").groupBy("set").agg(
