@@ -56,12 +56,14 @@ def season(ts: Column) -> Column:
     """1 March-May, 2 June-September, 3 October-November, 4 December-February."""
     # Season of the months January to December.
     months = F.array(*[F.lit(n) for n in (4, 4, 1, 1, 1, 2, 2, 2, 2, 3, 3, 4)])
-    return F.element_at(months, F.month(ts))
+    return F.get(months, F.month(ts) - 1)
 
 
 def daytype(ts: Column) -> Column:
     """1 Monday-Friday, 2 Saturday and Sunday."""
-    return (F.floor(F.weekday(ts) / 5) + 1).cast("int")
+    # Monday to Sunday.
+    days = F.array(*[F.lit(n) for n in (1, 1, 1, 1, 1, 2, 2)])
+    return F.get(days, F.weekday(ts))
 
 
 def sdti(ts: Column) -> Column:

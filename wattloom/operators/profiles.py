@@ -14,15 +14,21 @@ from wattloom.operators.curves import active_power
 from wattloom.settings import DEFAULTS, HOURS_PER_DAY, SLOTS_PER_DAY, MeterSettings
 
 GROUP = ["id", "season", "daytype"]
+#: Columns that ``with_season`` derives from the timestamp.
+SEASON_COLUMNS = ("sdti", "season", "daytype")
 
 
 def in_band(curve: DataFrame, low: float, high: float) -> DataFrame:
     """Complete curve rows whose voltage lies in ``low..high``, bounds included.
 
     One test per column instead of ``na.drop``, whose counting predicate stays above the scan.
+    The season columns follow from ``ts`` and are null only with it; a filter that named them
+    would be pushed below their derivation and carry it along in every row. The band drops a
+    null voltage by itself.
     """
-    complete = reduce(and_, [F.col(name).isNotNull() for name in curve.columns])
-    return curve.filter(complete & F.col("volt_c").between(low, high))
+    implied = {"volt_c", *(SEASON_COLUMNS if "ts" in curve.columns else ())}
+    tests = [F.col(name).isNotNull() for name in curve.columns if name not in implied]
+    return curve.filter(reduce(and_, tests, F.col("volt_c").between(low, high)))
 
 
 def meter_profile(power: DataFrame) -> DataFrame:

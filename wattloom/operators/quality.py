@@ -136,11 +136,12 @@ def slot_stats(wide: DataFrame, prefix: str = "U") -> DataFrame:
 
     The slots are stacked and grouped, so every task sends 96 partial rows and no more.
     """
-    cells = ", ".join(f"{n}, CAST({prefix}{n} AS DOUBLE)" for n in range(1, SLOTS_PER_DAY + 1))
+    cells = F.array(*[F.col(f"{prefix}{n}").cast("double") for n in range(1, SLOTS_PER_DAY + 1)])
     value = F.col("value")
     return (
         wide.na.drop("any")
-        .selectExpr(f"stack({SLOTS_PER_DAY}, {cells}) AS (idx, value)")
+        .select(F.posexplode(cells).alias("place", "value"))
+        .select((F.col("place") + 1).alias("idx"), "value")
         .groupBy("idx")
         .agg(
             F.count("*").alias("count"),

@@ -32,6 +32,21 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _METER = "(suppkey - 1) div 10 + 1"
 
 
+def _level(quantity: int) -> int:
+    """Tenths of a volt of a quantity of 0 to 50: dead, the 110 V system, low, or normal."""
+    if quantity <= 12:
+        return 0
+    if quantity <= 16:
+        return 600 + 10 * quantity
+    return 1200 + 20 * quantity if quantity <= 20 else 1800 + 14 * quantity
+
+
+# Both are constants of the plan. Operators filter on what follows from them, and a lookup stays
+# small however often a filter repeats it.
+_VOLTS = f"array({', '.join(f'CAST({_level(q) / 10} AS DECIMAL(8,4))' for q in range(51))})"
+_DAYS = f"array({', '.join(f'{n // 7 * 91 + n % 7}' for n in range(28))})"
+
+
 def readings(spark: SparkSession, sf_dir: str, *, folded: bool = True) -> DataFrame:
     """One row per line item: ``id, day, idx, ts, dti``, flags and all five quantities.
 
@@ -39,7 +54,7 @@ def readings(spark: SparkSession, sf_dir: str, *, folded: bool = True) -> DataFr
     ``folded`` puts the ship dates into one full week in each of four months; otherwise the
     days run on as the ship dates do.
     """
-    day = "(dd div 7) * 91 + dd % 7" if folded else "dd"
+    day = f"get({_DAYS}, dd)" if folded else "dd"
     dd = "datediff(l_shipdate, DATE '1992-01-01')"
     dd = "pmod(datediff(l_shipdate, DATE '1995-01-01'), 28)" if folded else dd
     full = _table(spark, sf_dir, "lineitem").selectExpr(
@@ -59,8 +74,7 @@ def readings(spark: SparkSession, sf_dir: str, *, folded: bool = True) -> DataFr
         f"date_add(DATE '2013-01-01', CAST({day} AS INT)) AS day",
         "CAST(line % 4 AS INT) AS phase_flag",
         "CAST(partkey % 8 + 1 AS INT) AS data_type",
-        "CAST(0.1 * CASE WHEN q <= 12 THEN 0 WHEN q <= 16 THEN 600 + 10 * q"
-        " WHEN q <= 20 THEN 1200 + 20 * q ELSE 1800 + 14 * q END AS DECIMAL(8,4)) AS volt",
+        f"get({_VOLTS}, q) AS volt",
         "CAST(price * 0.0001 AS DECIMAL(8,6)) AS power",
         "CAST(0.1 * q AS DECIMAL(8,4)) AS cur",
         "CAST(1 - discount AS DECIMAL(8,4)) AS pf",
@@ -69,8 +83,8 @@ def readings(spark: SparkSession, sf_dir: str, *, folded: bool = True) -> DataFr
     placed = flagged.selectExpr(
         "id",
         "day",
-        "CAST(CASE id % 3 WHEN 0 THEN h % 96 + 1 WHEN 2 THEN (h % 48) * 2 + 1"
-        " ELSE (h % 24) * 4 + 1 END AS INT) AS idx",
+        # A slot, every second or every fourth one, by meter.
+        "CAST(h * get(array(1, 4, 2), CAST(id % 3 AS INT)) % 96 + 1 AS INT) AS idx",
         "phase_flag",
         "data_type",
         "CASE WHEN h % 97 <> 0 THEN volt END AS volt",
