@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from wattloom.operators import fit_curve
+from wattloom.operators import fit, fit_curve
 
 
 def frame(spark, groups):
@@ -64,3 +64,32 @@ def test_null_group_and_narrow_band(spark):
     want = np.polynomial.Polynomial.fit(x, np.sin(3 * x), 3)(x)
     fitted = r.c0 + x * (r.c1 + x * (r.c2 + x * r.c3))
     np.testing.assert_allclose(fitted, want, atol=1e-6)
+
+
+def test_parts_put_together_in_any_order(spark, monkeypatch):
+    """Groups over many tasks and batches, and factors gathered a few at a time."""
+    monkeypatch.setattr(fit, "HELD", 10)
+    rng = np.random.default_rng(8)
+    groups = {g: [(x, np.cos(x)) for x in rng.normal(100 * i, 1 + i, 400)] for i, g in enumerate("abcdefgh")}
+    df = frame(spark, groups).repartition(6)
+    whole = {r.g: r for r in fit_curve(df, ["g"], degree=3).collect()}
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "13")
+    try:
+        parts = {r.g: r for r in fit_curve(df, ["g"], degree=3).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for i, g in enumerate("abcdefgh"):
+        x, y = map(np.array, zip(*groups[g]))
+        want = np.polynomial.Polynomial.fit(x, y, 3)(x)
+        for r in (whole[g], parts[g]):
+            assert r.points == 400
+            np.testing.assert_allclose(r.c0 + x * (r.c1 + x * (r.c2 + x * r.c3)), want, atol=1e-6 * 10**i)
+
+
+def test_origin_and_no_group(spark):
+    x = np.linspace(219.8, 220.3, 40)
+    y = 2 + 3 * (x - 220) - 5 * (x - 220) ** 2 + 7 * (x - 220) ** 3
+    df = frame(spark, {"a": zip(x, y)}).repartition(3)
+    (r,) = fit_curve(df, [], degree=3, origin=220.0).collect()
+    np.testing.assert_allclose([r.c0, r.c1, r.c2, r.c3], [2, 3, -5, 7], rtol=1e-8)
+    assert fit_curve(df.limit(0), ["g"], degree=2).count() == 0

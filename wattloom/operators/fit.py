@@ -1,14 +1,21 @@
-"""Polynomial least squares per group."""
+"""Polynomial least squares per group, by triangular factors that are put together in any order.
+
+The rows of a group, as powers of ``x`` with ``y`` beside them, have a triangular factor of their
+QR decomposition that says all a fit needs to know. Factors of parts of a group, stacked and
+decomposed again, give the factor of the whole. Each part counts ``x`` from its own middle and in
+its own spread, which a triangular change of basis brings to those of the whole.
+"""
 
 from __future__ import annotations
 
 import sys
-from collections.abc import Sequence
-from functools import reduce
-from operator import and_
+from collections.abc import Callable, Iterator, Sequence
+from math import comb
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,13 +23,165 @@ from pyspark.sql import functions as F
 # The helpers below travel with the job, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+#: Rows of one decomposition, and parts that a task holds before it puts them together.
+TILE = 64
+HELD = 20_000
+
+
+def _codes(columns: list[pa.Array]) -> np.ndarray:
+    """Numbers that are equal where the rows are, null being a value."""
+    code = np.zeros(len(columns[0]) if columns else 0, np.int64)
+    for c in columns:
+        if isinstance(c, pa.ChunkedArray):
+            c = c.combine_chunks()
+        index = pc.dictionary_encode(c, null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+        code = np.unique(code * (int(index.max(initial=0)) + 1) + index, return_inverse=True)[1]
+    return code
+
+
+def _factors(rows: np.ndarray, group: np.ndarray, groups: int) -> np.ndarray:
+    """Triangular factor of the rows of each group; ``group`` ascends from 0 to ``groups`` - 1.
+
+    Rows are decomposed in tiles and the factors are rows again, until each group has one.
+    """
+    width = rows.shape[1]
+    tile = max(TILE, 2 * width)
+    while True:
+        start = np.searchsorted(group, np.arange(groups))
+        place = np.arange(len(group)) - start[group]
+        first = np.concatenate([[0], np.cumsum(-(-np.bincount(group, minlength=groups) // tile))])
+        at = first[group] + place // tile
+        stacked = np.zeros((first[-1], tile, width))
+        stacked[at, place % tile] = rows
+        factor = np.linalg.qr(stacked, mode="r")
+        if first[-1] == groups:
+            return factor
+        rows = factor.reshape(-1, width)
+        group = np.repeat(np.repeat(np.arange(groups), np.diff(first)), width)
+
 
-def _solve(matrix: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Solutions of a stack of symmetric systems; least-norm ones where rounding makes one singular."""
-    try:
-        return np.linalg.solve(matrix, right[:, :, None])[:, :, 0]
-    except np.linalg.LinAlgError:
-        return np.einsum("gij,gj->gi", np.linalg.pinv(matrix, hermitian=True), right)
+def _levels(values: np.ndarray, group: np.ndarray, groups: int, most: int) -> list[list[float]]:
+    """The smallest distinct values of each group, ``most`` at most; rows may come in any order."""
+    order = np.lexsort((values, group))
+    values, group = values[order], group[order]
+    new = np.ones(len(values), bool)
+    new[1:] = (values[1:] != values[:-1]) | (group[1:] != group[:-1])
+    values, group = values[new], group[new]
+    start = np.searchsorted(group, np.arange(groups + 1))
+    return [values[a : min(b, a + most)].tolist() for a, b in zip(start[:-1], start[1:], strict=True)]
+
+
+def _scale(least: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    spread = (most - least) / 2
+    return (least + most) / 2, np.where(spread > 0, spread, 1.0)
+
+
+def _table(keys: list[pa.Array], names: list[str], n, least, most, levels, factor: np.ndarray) -> pa.Table:
+    flat = [f.tolist() for f in factor.reshape(len(factor), -1)]
+    arrays = [*keys, pa.array(n, pa.int64()), pa.array(least), pa.array(most)]
+    arrays += [pa.array(levels, pa.list_(pa.float64())), pa.array(flat, pa.list_(pa.float64()))]
+    return pa.Table.from_arrays(arrays, [*names, "_n", "_least", "_most", "_levels", "_factor"])
+
+
+def _part(batch: pa.RecordBatch, names: list[str], degree: int) -> pa.Table:
+    """One part per group from rows ``_u, _v``."""
+    u, v = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("_u", "_v"))
+    code = _codes([batch.column(c) for c in names]) if names else np.zeros(len(u), np.int64)
+    order = np.argsort(code, kind="stable")
+    u, v, group = u[order], v[order], code[order]
+    groups = int(group[-1]) + 1
+    start = np.searchsorted(group, np.arange(groups))
+    least, most = np.minimum.reduceat(u, start), np.maximum.reduceat(u, start)
+    middle, spread = _scale(least, most)
+    z = (u - middle[group]) / spread[group]
+    rows = np.column_stack([*(z**k for k in range(degree + 1)), v])
+    keys = [batch.column(c).take(pa.array(order[start])) for c in names]
+    count = np.bincount(group, minlength=groups)
+    return _table(keys, names, count, least, most, _levels(u, group, groups, degree + 1), _factors(rows, group, groups))
+
+
+def _together(parts: pa.Table, names: list[str], degree: int) -> pa.Table:
+    """The parts of each group as one."""
+    parts = parts.combine_chunks()
+    code = _codes([parts.column(c) for c in names]) if names else np.zeros(parts.num_rows, np.int64)
+    order = np.argsort(code, kind="stable")
+    group = code[order]
+    groups = int(group[-1]) + 1
+    start = np.searchsorted(group, np.arange(groups))
+    column = lambda c: parts.column(c).to_numpy()[order]
+    n, low, high = column("_n"), column("_least"), column("_most")
+    least, most = np.minimum.reduceat(low, start), np.maximum.reduceat(high, start)
+    width = degree + 2
+    flat = parts.column("_factor").combine_chunks().flatten().to_numpy().reshape(-1, width, width)[order]
+    # z of the whole is a * z of the part + b.
+    (m1, s1), (m2, s2) = _scale(low, high), _scale(least, most)
+    a, b = s1 / s2[group], (m1 - m2[group]) / s2[group]
+    basis = np.zeros((len(group), width, width))
+    for j in range(degree + 1):
+        for i in range(j + 1):
+            basis[:, i, j] = comb(j, i) * a**i * b ** (j - i)
+    basis[:, -1, -1] = 1.0
+    rows = (flat @ basis).reshape(-1, width)
+    levels = parts.column("_levels").combine_chunks().take(pa.array(order))
+    of = np.repeat(group, levels.value_lengths().to_numpy())
+    keys = [parts.column(c).combine_chunks().take(pa.array(order[start])) for c in names]
+    return _table(
+        keys, names, np.add.reduceat(n, start), least, most,
+        _levels(levels.flatten().to_numpy(), of, groups, degree + 1),
+        _factors(rows, np.repeat(group, width), groups),
+    )
+
+
+def _parts(names: list[str], degree: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Parts of a task: a group has one for each time that the task has gathered ``HELD`` of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            # A null and a value that is not a number are left out here: a filter in the plan would
+            # repeat the derivation of both columns.
+            u, v = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("_u", "_v"))
+            batch = batch.filter(pa.array(~(np.isnan(u) | np.isnan(v))))
+            if not batch.num_rows:
+                continue
+            held.append(_part(batch, names, degree))
+            size += held[-1].num_rows
+            if size > HELD:
+                merged = _together(pa.concat_tables(held), names, degree)
+                held, size = [merged], merged.num_rows
+                if size > HELD // 2:
+                    yield from merged.to_batches()
+                    held, size = [], 0
+        if held:
+            yield from _together(pa.concat_tables(held), names, degree).to_batches()
+
+    return run
+
+
+def _whole(names: list[str], degree: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """One part per group; those of a group come together."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: pa.Table | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            if rest is not None:
+                table = pa.concat_tables([rest, table])
+            last = table.slice(table.num_rows - 1).select(names)
+            merged = _together(table, names, degree)
+            # The group that the batch ends in may go on in the next.
+            code = _codes([pa.concat_arrays([merged.column(c).combine_chunks(), last.column(c).combine_chunks()]) for c in names])
+            open_group = code[:-1] == code[-1] if names else np.ones(merged.num_rows, bool)
+            rest = merged.filter(pa.array(open_group))
+            done = merged.filter(pa.array(~open_group))
+            if done.num_rows:
+                yield from done.combine_chunks().to_batches()
+        if rest is not None:
+            yield from rest.combine_chunks().to_batches()
+
+    return run
 
 
 def _in_x(unit: np.ndarray, middle: np.ndarray, spread: np.ndarray) -> np.ndarray:
@@ -35,20 +194,23 @@ def _in_x(unit: np.ndarray, middle: np.ndarray, spread: np.ndarray) -> np.ndarra
     return out
 
 
-def _solver(degree: int):
-    """Solves the normal equations of all groups of a batch at once."""
-
+def _solver(degree: int, origin: float):
     @F.pandas_udf("array<double>")
-    def solve(z_sums: pd.Series, zy_sums: pd.Series, middle: pd.Series, spread: pd.Series) -> pd.Series:
-        if z_sums.empty:
-            return pd.Series([], dtype=object)
-        sums, right = np.stack(z_sums.to_numpy()), np.stack(zy_sums.to_numpy())
-        order = np.arange(degree + 1)
-        matrix = sums[:, order[:, None] + order[None, :]]
-        size = np.sqrt(np.diagonal(matrix, axis1=1, axis2=2))
-        matrix = matrix / (size[:, :, None] * size[:, None, :])
-        unit = _solve(matrix, right / size) / size
-        return pd.Series(list(_in_x(unit, middle.to_numpy(float), spread.to_numpy(float))))
+    def solve(factor: pd.Series, least: pd.Series, most: pd.Series, solvable: pd.Series) -> pd.Series:
+        out: list = [None] * len(factor)
+        at = np.flatnonzero(solvable.to_numpy(bool))
+        if len(at):
+            width = degree + 2
+            r = np.stack(factor.to_numpy()[at]).reshape(-1, width, width)
+            matrix, right = r[:, :-1, :-1], r[:, :-1, -1]
+            try:
+                unit = np.linalg.solve(matrix, right[:, :, None])[:, :, 0]
+            except np.linalg.LinAlgError:  # rounding has made one singular: the least-norm solutions
+                unit = np.einsum("gij,gj->gi", np.linalg.pinv(matrix), right)
+            middle, spread = _scale(least.to_numpy()[at], most.to_numpy()[at])
+            for i, found in zip(at, _in_x(unit, middle - origin, spread), strict=True):
+                out[i] = found
+        return pd.Series(out, dtype=object)
 
     return solve
 
@@ -60,44 +222,28 @@ def fit_curve(
     x: str = "volt_c",
     y: str = "power",
     degree: int = 1,
+    origin: float = 0.0,
 ) -> DataFrame:
-    """Coefficients ``c0..cn`` of the least-squares polynomial of ``y`` on ``x`` per group.
+    """``points`` and coefficients ``c0..cn`` of the least-squares polynomial of ``y`` per group.
 
-    Two aggregations, whatever the size of a group: the first finds its mean, its spread and
-    the number of distinct ``x``, the second sums powers of the centred and scaled ``x``, so no
-    origin has to be known. Groups with ``degree`` distinct ``x`` or fewer get nulls. The group
-    statistics are joined back to the rows, a join that Spark splits for a large group.
+    The powers are those of ``x - origin``; an origin near the data keeps the coefficients small.
+    Groups with ``degree`` distinct ``x`` or fewer get nulls. Rows without ``x`` or ``y`` are left
+    out, a null key is a group.
+
+    One pass: a task reduces its rows to a triangular factor per group, ``degree + 2`` numbers
+    square, and only these are shuffled and put together, in batches, so neither a group nor its
+    factors are ever held whole.
     """
+    names = list(by)
     rows = curve.select(
-        *by, F.col(x).cast("double").alias("_u"), F.col(y).cast("double").alias("_v")
-    ).na.drop("any", subset=["_u", "_v"])
-    u, v = F.col("_u"), F.col("_v")
-    middle = F.avg(u)
-    stats = rows.groupBy(*by).agg(
-        F.count("*").alias("points"),
-        F.count_distinct(u).alias("_levels"),
-        middle.alias("_middle"),
-        F.greatest(F.max(u) - middle, middle - F.min(u)).alias("_spread"),
-    )
-    solvable = stats.filter(F.col("_levels") > degree).select(
-        *[F.col(c).alias(f"_of_{c}") for c in by], "_middle", "_spread"
-    )
-    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in by])
-    z = (u - F.col("_middle")) / F.col("_spread")
-    powers = [F.pow(F.col("_z"), F.lit(float(n))) for n in range(2 * degree + 1)]
-    sums = (
-        rows.join(solvable, same)
-        .select(*by, "_middle", "_spread", z.alias("_z"), v)
-        .groupBy(*[F.col(c).alias(f"_of_{c}") for c in by])
-        .agg(
-            F.array(*[F.sum(p) for p in powers]).alias("_sz"),
-            F.array(*[F.sum(p * v) for p in powers[: degree + 1]]).alias("_sv"),
-            F.min("_middle").alias("_m"),
-            F.min("_spread").alias("_s"),
-        )
-        .withColumn("_coef", _solver(degree)("_sz", "_sv", "_m", "_s"))
+        *names, F.col(x).cast("double").alias("_u"), F.col(y).cast("double").alias("_v")
     )
-    found = stats.join(sums.select(*[f"_of_{c}" for c in by], "_coef"), same, "left")
-    return found.select(
-        *by, "points", *[F.get("_coef", F.lit(n)).alias(f"c{n}") for n in range(degree + 1)]
+    kinds = dict(rows.dtypes)
+    schema = ", ".join(
+        [*(f"`{c}` {kinds[c]}" for c in names), "_n long, _least double, _most double, _levels array<double>, _factor array<double>"]
     )
+    parts = rows.mapInArrow(_parts(names, degree), schema)
+    ordered = parts.repartition(*names).sortWithinPartitions(*names) if names else parts.coalesce(1)
+    solved = _solver(degree, origin)("_factor", "_least", "_most", F.size("_levels") > degree)
+    found = ordered.mapInArrow(_whole(names, degree), schema).select(*names, F.col("_n").alias("points"), solved.alias("_coef"))
+    return found.select(*names, "points", *[F.get("_coef", F.lit(n)).alias(f"c{n}") for n in range(degree + 1)])
