@@ -1,7 +1,11 @@
+from decimal import Decimal
+
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from helpers import CURVE, curve_row, rows
+from wattloom import operators
 from wattloom.operators import (
     elbow_cost,
     hour_features,
@@ -98,3 +102,30 @@ def test_elbow_cost(spark):
     points = spark.createDataFrame(near + far, "x double, y double, z double")
     cost = {r.k: r.cost for r in elbow_cost(points, ["x", "y", "z"], ks=[2, 3, 4]).collect()}
     assert abs(cost[2] - 0.12) < 1e-9 and all(c >= 0 for c in cost.values())
+
+
+def brute_cost(points, k, rounds=20):
+    """Lloyd's rounds over every point and centre."""
+    x = np.array([[float(Decimal(v).quantize(Decimal("1e-12"))) for v in p] for p in points])
+    low, high = x.min(axis=0), x.max(axis=0)
+    centres = np.array([low + (i + 0.5) * (high - low) / k for i in range(k)])
+    for _ in range(rounds):
+        near = ((x[:, None] - centres) ** 2).sum(axis=2).argmin(axis=1)
+        centres = np.array([x[near == i].mean(axis=0) for i in range(len(centres)) if (near == i).any()])
+    return ((x[:, None] - centres) ** 2).sum(axis=2).min(axis=1).sum()
+
+
+@pytest.mark.parametrize("features", [1, 2, 3])
+def test_elbow_cost_matches_brute_force(spark, features, monkeypatch):
+    monkeypatch.setattr(operators.groups, "BLOCK_POINTS", 16)
+    rng = np.random.default_rng(features)
+    middles = rng.uniform(-50, 50, (4, features))
+    points = [tuple(float(v) for v in rng.normal(middles[i % 4], 3)) for i in range(900)] + [(7.5,) * features] * 40
+    names = [f"f{j}" for j in range(features)]
+    df = spark.createDataFrame([*points, (None,) * features, (float("nan"),) * features], ", ".join(f"{n} double" for n in names))
+    got = {r.k: r.cost for r in elbow_cost(df, names, ks=[1, 2, 4, 7]).collect()}
+    for k, cost in got.items():
+        assert cost == pytest.approx(brute_cost(points, k), rel=1e-9)
+    assert {r.k: r.cost for r in elbow_cost(df.repartition(7), names, ks=[1, 2, 4, 7]).collect()} == got
+    assert elbow_cost(df.limit(0), names).count() == 0
+    assert [r.cost for r in elbow_cost(df.limit(0).union(spark.createDataFrame([(3.0,) * features], df.schema)), names).collect()] == [0.0] * 19

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Sequence
-from functools import reduce
+from collections.abc import Iterator, Sequence
+from decimal import Decimal
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -124,6 +125,131 @@ def hour_group_curve(
     )
 
 
+#: Points of a block, and strips per feature in which points are brought together.
+BLOCK_POINTS = 256
+STRIPS = 64
+
+
+def _pack(d: int):
+    """Points in order as blocks: their box, count and exact sums, and the points themselves.
+
+    A decimal of twelve places is a whole number of units, here in two halves of 32 bits whose
+    sums cannot overflow.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            x = np.stack([batch.column(f"x{j}").to_numpy(zero_copy_only=False) for j in range(d)], axis=1)
+            high, low = np.empty((n, d), np.int64), np.empty((n, d), np.int64)
+            for j in range(d):
+                column = batch.column(f"e{j}")
+                units = np.frombuffer(column.buffers()[1], np.int64)[2 * column.offset : 2 * (column.offset + n)].reshape(-1, 2)
+                high[:, j] = (units[:, 1] << 32) | (units[:, 0] >> 32 & 0xFFFFFFFF)
+                low[:, j] = units[:, 0] & 0xFFFFFFFF
+            rows = []
+            for at in range(0, n, BLOCK_POINTS):
+                part = slice(at, min(at + BLOCK_POINTS, n))
+                rows.append(
+                    (
+                        part.stop - at, x[part].min(axis=0).tolist(), x[part].max(axis=0).tolist(),
+                        high[part].sum(axis=0).tolist(), low[part].sum(axis=0).tolist(),
+                        x[part].tobytes(), high[part].tobytes(), low[part].tobytes(),
+                    )
+                )
+            if rows:
+                yield pa.RecordBatch.from_pydict(dict(zip(_BLOCK, map(list, zip(*rows, strict=True)), strict=True)))
+
+    return run
+
+
+_BLOCK = ("n", "least", "most", "high_sum", "low_sum", "x", "high", "low")
+_BLOCK_SCHEMA = (
+    "n long, least array<double>, most array<double>, high_sum array<long>, low_sum array<long>, "
+    "x binary, high binary, low binary"
+)
+
+
+def _squares(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Squared distances, features added in their order."""
+    total = np.zeros((len(x), len(centres)))
+    for j in range(x.shape[1]):
+        gap = x[:, j, None] - centres[None, :, j]
+        total += gap * gap
+    return total
+
+
+def _undecided(least: np.ndarray, most: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """For each box, which centres may be nearest to a point in it.
+
+    A centre farther from the whole box than another is from its farthest corner never is.
+    """
+    outside = np.maximum(np.maximum(least[:, None] - centres, centres - most[:, None]), 0.0)
+    corner = np.maximum(np.abs(least[:, None] - centres), np.abs(most[:, None] - centres))
+    bound = (corner * corner).sum(axis=2).min(axis=1) * (1 + 1e-9)
+    return (outside * outside).sum(axis=2) <= bound[:, None]
+
+
+def _assign(centres: dict[int, list[tuple]], d: int, *, cost: bool):
+    """Counts and sums per centre of all ``k``, or the cost per ``k``: one short table a task."""
+    tables = {k: np.array([c[1:] for c in found]).reshape(-1, d) for k, found in centres.items()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = {k: np.zeros(len(t), np.int64) for k, t in tables.items()}
+        sums = {k: np.zeros((2, len(t), d), np.int64) for k, t in tables.items()}
+        costs = {k: [0, 0] for k in tables}
+        for batch in batches:
+            n = batch.column("n").to_numpy()
+            if not len(n):
+                continue
+
+            def numbers(name: str, kind: type) -> np.ndarray:
+                return np.frombuffer(b"".join(batch.column(name).to_pylist()), kind).reshape(-1, d)
+
+            def box(name: str) -> np.ndarray:
+                return batch.column(name).flatten().to_numpy().reshape(-1, d)
+
+            x, least, most = numbers("x", np.float64), box("least"), box("most")
+            exact = np.stack([numbers("high", np.int64), numbers("low", np.int64)])
+            whole = np.stack([box("high_sum"), box("low_sum")])
+            for k, table in tables.items():
+                if cost:
+                    near = _squares(x, table).min(axis=1)
+                    up = np.floor(near)
+                    costs[k][0] += int(up.astype(np.int64).sum())
+                    costs[k][1] += int(np.rint((near - up) * 2.0**40).astype(np.int64).sum())
+                    continue
+                may = _undecided(least, most, table)
+                one = may.sum(axis=1) == 1
+                to = may[one].argmax(axis=1)
+                np.add.at(counts[k], to, n[one])
+                for half in (0, 1):
+                    np.add.at(sums[k][half], to, whole[half][one])
+                if one.all():
+                    continue
+                left = ~np.repeat(one, n)
+                to = _squares(x[left], table).argmin(axis=1)
+                counts[k] += np.bincount(to, minlength=len(table))
+                for half in (0, 1):
+                    np.add.at(sums[k][half], to, exact[half][left])
+        if cost:
+            columns = {"k": list(costs), "high": [c[0] for c in costs.values()], "low": [c[1] for c in costs.values()]}
+            yield pa.RecordBatch.from_pydict(columns | {"k": pa.array(columns["k"], pa.int32())})
+            return
+        rows = [
+            (k, centres[k][i][0], int(counts[k][i]), sums[k][0, i].tolist(), sums[k][1, i].tolist())
+            for k in tables
+            for i in np.flatnonzero(counts[k])
+        ]
+        if rows:
+            found = dict(zip(("k", "i", "n", "high", "low"), map(list, zip(*rows, strict=True)), strict=True))
+            for name in ("k", "i"):
+                found[name] = pa.array(found[name], pa.int32())
+            yield pa.RecordBatch.from_pydict(found)
+
+    return run
+
+
 def elbow_cost(
     points: DataFrame,
     features: Sequence[str],
@@ -133,54 +259,52 @@ def elbow_cost(
 ) -> DataFrame:
     """Within-cluster sum of squares for each number of clusters: ``k, cost``.
 
-    Lloyd's rounds for all ``k`` together, one aggregation each. The centres start evenly
-    spaced between the smallest and the largest value of every feature, empty clusters vanish
-    and ties go to the lowest centre. Sums are exact decimals, so neither partitioning nor a
-    task that runs again changes a bit. Only centres reach the driver, ``sum(ks)`` a round. One
-    distinct point gives cost 0, no point gives no rows.
+    Lloyd's rounds for all ``k`` together, one pass each. The centres start evenly spaced
+    between the smallest and the largest value of every feature, empty clusters vanish and ties
+    go to the lowest centre. Values count to twelve decimal places and their sums are exact, so
+    neither partitioning nor a task that runs again changes a bit. One distinct point gives cost
+    0, no point gives no rows; rows with a null or a value that is not a number are left out.
+
+    Points are brought together in blocks of near ones, once. A round looks at a block's box
+    first: if only one centre can be nearest anywhere in it, the block's sums count as a whole
+    and its points are not visited. A task sends one row per centre, and only these sums reach
+    the driver, ``sum(ks)`` rows a round.
     """
-    spark = points.sparkSession
-    exact = [F.col(c).cast("decimal(20,12)").alias(c) for c in features]
-    numeric = cut(points.select(*exact).na.drop("any"))
-    low_high = [f(c).cast("double").alias(f"{n}_{c}") for c in features for n, f in (("low", F.min), ("high", F.max))]
-    span = numeric.agg(F.count("*").alias("n"), *low_high).first()
+    spark, d = points.sparkSession, len(features)
+    number = [F.when(~F.isnan(F.col(c).cast("double")), F.col(c)).cast("decimal(20,12)") for c in features]
+    numeric = points.select(*[c.alias(f"e{j}") for j, c in enumerate(number)]).na.drop("any")
+    numeric = cut(numeric.select("*", *[F.col(f"e{j}").cast("double").alias(f"x{j}") for j in range(d)]))
+    ends = [f(f"x{j}").alias(f"{n}{j}") for j in range(d) for n, f in (("low", F.min), ("high", F.max))]
+    span = numeric.agg(F.count("*").alias("n"), *ends).first()
     schema = "k int, cost double"
     if not span.n:
         return spark.createDataFrame([], schema)
+    wide = [max(span[f"high{j}"] - span[f"low{j}"], 1e-300) for j in range(d)]
+    strips = [F.floor((F.col(f"x{j}") - span[f"low{j}"]) / wide[j] * STRIPS).alias(f"s{j}") for j in range(d - 1)]
+    order = [*(f"s{j}" for j in range(d - 1)), f"x{d - 1}"]
+    near = numeric.select("*", *strips).repartitionByRange(*order).sortWithinPartitions(*order)
+    columns = [f"{p}{j}" for p in "ex" for j in range(d)]
+    blocks = cut(near.select(*columns).mapInArrow(_pack(d), _BLOCK_SCHEMA))
+
     centres = {
         int(k): [
-            (i, *[span[f"low_{c}"] + (i + 0.5) * (span[f"high_{c}"] - span[f"low_{c}"]) / k for c in features])
+            (i, *[span[f"low{j}"] + (i + 0.5) * (span[f"high{j}"] - span[f"low{j}"]) / k for j in range(d)])
             for i in range(k)
         ]
         for k in ks
     }
-    fields = ", ".join(f"_{c}: double" for c in features)
-
-    def assigned() -> DataFrame:
-        """Every point once for each ``k``, with its nearest centre and the squared distance."""
-        table = spark.createDataFrame(
-            list(centres.items()), f"k int, centres array<struct<i: int, {fields}>>"
-        )
-        each = numeric.select(*[F.col(c).cast("double").alias(c) for c in features], F.explode(
-            F.array(*[F.lit(k) for k in centres])
-        ).alias("k"))
-
-        def distance(m):
-            gaps = [(F.col(c) - m[f"_{c}"]) * (F.col(c) - m[f"_{c}"]) for c in features]
-            return F.struct(reduce(lambda a, b: a + b, gaps).alias("d"), m["i"].alias("i"))
-
-        nearest = F.array_min(F.transform("centres", distance))
-        # One row for each k.
-        return each.join(F.broadcast(table), "k").select("k", *features, nearest.alias("near"))
-
+    halves = [
+        F.sum(F.get(half, F.lit(j)).cast("decimal(38,0)")).alias(f"{half}{j}") for half in ("high", "low") for j in range(d)
+    ]
     for _ in range(rounds):
-        sums = [F.sum(F.col(c).cast("decimal(20,12)")).cast("double").alias(c) for c in features]
-        found = assigned().groupBy("k", F.col("near.i").alias("i")).agg(F.count("*").alias("n"), *sums).collect()
+        found = blocks.mapInArrow(_assign(centres, d, cost=False), "k int, i int, n long, high array<long>, low array<long>")
         moved: dict[int, list[tuple]] = {k: [] for k in centres}
-        for r in sorted(found, key=lambda r: (r.k, r.i)):
-            moved[r.k].append((r.i, *[r[c] / r.n for c in features]))
+        for r in sorted(found.groupBy("k", "i").agg(F.sum("n").alias("n"), *halves).collect(), key=lambda r: (r.k, r.i)):
+            units = [Decimal(int(r[f"high{j}"]) * 2**32 + int(r[f"low{j}"])) for j in range(d)]
+            moved[r.k].append((r.i, *[float(u.scaleb(-12)) / r.n for u in units]))
         if moved == centres:
             break
         centres = moved
-    cost = F.sum(F.col("near.d").cast("decimal(30,15)")).cast("double").alias("cost")
-    return assigned().groupBy("k").agg(cost)
+    found = blocks.mapInArrow(_assign(centres, d, cost=True), "k int, high long, low long")
+    whole, part = (F.sum(F.col(c).cast("decimal(38,0)")).cast("double") for c in ("high", "low"))
+    return found.groupBy("k").agg((whole + part / 2.0**40).alias("cost"))
