@@ -1,10 +1,13 @@
 import dataclasses
+import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from helpers import EPOCH
 from wattloom.operators import interval_calendar_of, meter_dims
 from wattloom.plans import cut, day_curves, ingest, load_model
+from wattloom.plans.queries import QUERIES
 from wattloom.settings import CURVE_FAMILIES, DAY_CURVES, MeterSettings
 from wattloom.sources import publish, read_table, sample, write_table
 
@@ -86,3 +89,16 @@ def test_cut_uses_the_named_folder(spark):
         assert "ExistingRDD" in copy._jdf.queryExecution().toString()
     else:
         assert copy is df
+
+
+# The JVM does not compile a method of over 8,000 bytes, and every row then runs interpreted.
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"elbow_cost"}))
+def test_generated_methods_can_be_compiled(spark, name):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = QUERIES[name](spark, SF)._jdf.queryExecution()
+        text = spark.sparkContext._jvm.PythonSQLUtils.explainString(plan, "codegen")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+    assert not sizes or max(sizes) < 8000

@@ -1,4 +1,4 @@
-import math
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -20,6 +20,7 @@ from wattloom.operators import (
     meter_profile,
     smallest_histograms,
 )
+from wattloom.operators.histograms import condense
 
 
 def curve(spark, records):
@@ -97,10 +98,10 @@ def brute_histogram(values, low, high, bins):
     return counts
 
 
-@pytest.mark.parametrize("copies", [1, 32])
-def test_hour_histograms_match_brute_force(spark, copies):
+@pytest.mark.parametrize("hot_share", [2, 1000])
+def test_hour_histograms_match_brute_force(spark, hot_share):
     data = random_curve(2) + [curve_row(9, 1, 200.0, 1.0, season=1)] * 5
-    got = {(r.id, r.hourindex): r for r in hour_histograms(curve(spark, data), edge_copies=copies).collect()}
+    got = {(r.id, r.hourindex): r for r in hour_histograms(curve(spark, data), hot_share=hot_share).collect()}
     assert len(got) == 3 * 24
     for meter in (1, 2, 9):
         band = [r for r in data if r[0] == meter and 154 <= r[2] <= 300]
@@ -114,26 +115,49 @@ def test_hour_histograms_match_brute_force(spark, copies):
                 [x[2] for x in here], min(volt), max(volt), 3)
 
 
+def brute_condense(values, points):
+    """Repeatedly merges the first nearest pair."""
+    slots = [[v, float(n)] for v, n in sorted(Counter(values).items())]
+    while len(slots) > points:
+        gaps = [b[0] - a[0] for a, b in zip(slots, slots[1:])]
+        i = gaps.index(min(gaps))
+        (x, m), (y, n) = slots[i], slots[i + 1]
+        slots[i : i + 2] = [[(x * m + y * n) / (m + n), m + n]]
+    return [tuple(s) for s in slots]
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_condense_merges_the_nearest_first(seed):
+    rng = np.random.default_rng(seed)
+    values = np.round(rng.uniform(0, 9, rng.integers(1, 60)), 1)  # many equal gaps
+    distinct, counts = np.unique(values, return_counts=True)
+    for points in (1, 3, 10):
+        assert condense(distinct, counts, points) == brute_condense(values.tolist(), points)
+
+
 def test_adaptive_histograms(spark):
     data = random_curve(4)
-    # The points depend on the order of the merges, so every check looks at one result.
-    histograms = adaptive_histograms(curve(spark, data)).persist()
+    df = curve(spark, [*data, curve_row(7, 5, 200.0, float("nan"), season=1, daytype=1)])
+    histograms = adaptive_histograms(df)
     got = {(r.id, r.bucket): r for r in histograms.collect()}
     for meter, limit in ((1, 10), (2, 4)):
         band = [r for r in data if r[0] == meter and 154 <= r[2] <= 300]
+        assert {b for m, b in got if m == meter} == {r[4] % 96 for r in band}
         for b in {r[4] % 96 for r in band}:
             here = [r for r in band if r[4] % 96 == b]
             r = got[(meter, b)]
-            assert len(r.power) <= limit and len(r.volt) <= 3
-            # Weights are scaled counts, and the weighted mean survives the merging of points.
-            assert math.isclose(sum(p.y for p in r.power) * 5, len(here))
-            assert math.isclose(sum(p.y for p in r.volt) * 100, len(here))
-            mean = sum(p.x * p.y for p in r.power) * 5 / len(here)
-            assert math.isclose(mean, np.mean([x[3] for x in here]), rel_tol=1e-9)
-    vectors = hour_start_vectors(histograms).collect()
-    for v in vectors:
+            assert [(p.x, p.y) for p in r.power] == [(x, y / 5) for x, y in brute_condense([x[3] for x in here], limit)]
+            assert [(p.x, p.y) for p in r.volt] == [(x / 1000, y / 100) for x, y in brute_condense([x[2] for x in here], 3)]
+    assert got[(7, 5)].power is None and len(got[(7, 5)].volt) == 1
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        assert rows(adaptive_histograms(df.repartition(5))) == rows(histograms)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for v in hour_start_vectors(histograms.filter("id < 7")).collect():
         r = got[(v.id, 4 * v.hourindex + 1)]
         assert v.features == [x for p in (*r.power, *r.volt) for x in (p.x, p.y)]
     small = {r.id: r for r in smallest_histograms(histograms).collect()}
     assert small[1].min_power_bins == min(len(r.power) for k, r in got.items() if k[0] == 1)
     assert small[2].min_volt_bins == min(len(r.volt) for k, r in got.items() if k[0] == 2)
+    assert adaptive_histograms(df.limit(0)).count() == 0

@@ -2,6 +2,14 @@
 
 from __future__ import annotations
 
+import heapq
+import sys
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +17,13 @@ from wattloom.functions.timegrid import bucket, hour_index, is_hour_start
 from wattloom.operators.profiles import GROUP, in_band
 from wattloom.settings import DEFAULTS, HOURS_PER_DAY, MeterSettings
 
+# The helpers below travel with the job, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+#: A group with more than one in so many readings is met by its edges in ``HOT_PARTS`` places.
+HOT_SHARE = 1000
+HOT_PARTS = 64
+
 
 def _bin(value: str, low: str, high: str, bins: int) -> Column:
     """Equal-width bin of ``value``: the number of inner edges at or below it.
@@ -27,23 +42,22 @@ def hour_histograms(
     *,
     power_bins: int | None = None,
     volt_bins: int | None = None,
-    edge_copies: int | None = None,
+    hot_share: int = HOT_SHARE,
 ) -> DataFrame:
     """Bin counts ``p0.., v0..`` of the hour-start readings, 24 rows per group.
 
-    The edges span all readings of a group in the single-meter band. They are one row per
-    group and are joined back to the readings under a salt that follows the input partition:
-    the readings of one large group meet a copy of their edges in ``edge_copies`` places, as
-    many as there are shuffle partitions unless told otherwise, and the counts are combined per
-    task before they are shuffled. Hours without readings enter
-    the same aggregation as zero rows.
+    The edges span all readings of a group in the single-meter band. They are one row per group
+    and are joined back to the readings, whose counts are combined per task before they are
+    shuffled. Only a group that holds more than one in ``hot_share`` readings, so at most that
+    many groups, meets copies of its edges under a salt. Hours without readings enter the same
+    aggregation as zero rows.
     """
     n_power = power_bins or settings.power_bins
     n_volt = volt_bins or settings.volt_bins
     rows = in_band(curve, settings.band_low_single, settings.band_high).select(
         *GROUP, "dti", F.col("power").cast("double"), F.col("volt_c").cast("double")
     )
-    # The filter holds for every group. It keeps all four edges alive in both uses of this
+    # The filter holds for every group. It keeps all columns alive in every use of this
     # aggregation, so that they share one pass over the readings.
     edges = (
         rows.groupBy(*GROUP)
@@ -52,13 +66,19 @@ def hour_histograms(
             F.max("power").alias("p_high"),
             F.min("volt_c").alias("v_low"),
             F.max("volt_c").alias("v_high"),
+            F.count("*").alias("_n"),
         )
-        .filter("p_low <= p_high AND v_low <= v_high")
+        .filter("p_low <= p_high AND v_low <= v_high AND _n > 0")
     )
-    edge_copies = edge_copies or int(curve.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    copies = edges.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(edge_copies - 1))))
-    samples = rows.filter(is_hour_start(F.col("dti"))).withColumn(
-        "_salt", F.pmod(F.spark_partition_id(), F.lit(edge_copies))
+    total = edges.agg(F.sum("_n")).scalar()
+    parted = edges.withColumn("_hot", F.col("_n") * hot_share > total)
+    hot = F.broadcast(parted.filter("_hot").select(*GROUP, F.lit(HOT_PARTS).alias("_parts")))
+    copies = parted.withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.when(F.col("_hot"), HOT_PARTS - 1).otherwise(0)))
+    ).drop("_hot", "_n")
+    samples = rows.filter(is_hour_start(F.col("dti"))).join(hot, GROUP, "left")
+    samples = samples.withColumn(
+        "_salt", F.coalesce(F.pmod(F.xxhash64("dti", "power"), F.col("_parts")).cast("int"), F.lit(0))
     )
     binned = samples.join(copies, [*GROUP, "_salt"]).select(
         *GROUP,
@@ -76,32 +96,129 @@ def hour_histograms(
     return binned.unionByName(every_hour).groupBy(*GROUP, "hourindex").agg(*counts)
 
 
+def condense(values: np.ndarray, counts: np.ndarray, points: int) -> list[tuple[float, float]]:
+    """At most ``points`` weighted points for distinct ascending values and their counts.
+
+    The two nearest neighbours become one at their weighted mean until few enough are left; of
+    equally near pairs the lower one does. The result depends on the values and counts alone.
+    """
+    n = len(values)
+    if n <= points:
+        return list(zip(values.tolist(), counts.astype(float).tolist(), strict=True))
+    x, y = values.tolist(), counts.astype(float).tolist()
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    alive, version = [True] * n, [0] * n
+    gaps = [(x[i + 1] - x[i], i, 0, 0) for i in range(n - 1)]
+    heapq.heapify(gaps)
+    left = n
+    while left > points:
+        _, i, seen, seen_after = heapq.heappop(gaps)
+        j = after[i] if alive[i] else n
+        if j >= n or version[i] != seen or version[j] != seen_after:
+            continue  # one of the two has changed since
+        x[i] = (x[i] * y[i] + x[j] * y[j]) / (y[i] + y[j])
+        y[i] += y[j]
+        alive[j] = False
+        version[i] += 1
+        after[i] = k = after[j]
+        if k < n:
+            before[k] = i
+            heapq.heappush(gaps, (x[k] - x[i], i, version[i], version[k]))
+        h = before[i]
+        if h >= 0:
+            heapq.heappush(gaps, (x[i] - x[h], h, version[h], version[i]))
+        left -= 1
+    return [(x[i], y[i]) for i in range(n) if alive[i]]
+
+
+def _condensed(keys: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Points of every run of rows that agree in ``keys``; rows come ordered by these and value."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, head, open_values, open_counts = [*keys, "_points"], None, [], []
+        point = pa.struct([("x", pa.float64()), ("y", pa.float64())])
+
+        def made(done: list[tuple], types: list[pa.DataType]) -> pa.RecordBatch:
+            columns = list(zip(*done, strict=True))
+            arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
+            return pa.RecordBatch.from_arrays(arrays, names)
+
+        def closed() -> tuple:
+            points = condense(np.concatenate(open_values), np.concatenate(open_counts), head[-1])
+            return (*head, [{"x": x, "y": y} for x, y in points])
+
+        types: list[pa.DataType] = []
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            columns = [batch.column(k) for k in keys]
+            types = [*(c.type for c in columns), pa.list_(point)]
+            new = np.zeros(n, bool)
+            for c in columns:
+                new[1:] |= pc.not_equal(c.slice(1), c.slice(0, n - 1)).to_numpy(zero_copy_only=False)
+            starts = np.append(np.flatnonzero(new), n)
+            values = batch.column("_value").to_numpy(zero_copy_only=False)
+            counts = batch.column("_count").to_numpy(zero_copy_only=False)
+            done, at = [], 0
+            first = tuple(c[0].as_py() for c in columns)
+            if head is not None and head != first:
+                done.append(closed())
+                head, open_values, open_counts = None, [], []
+            for upto in starts:
+                if head is None:
+                    head = tuple(c[at].as_py() for c in columns)
+                open_values.append(values[at:upto])
+                open_counts.append(counts[at:upto])
+                if upto < n:
+                    done.append(closed())
+                    head, open_values, open_counts = None, [], []
+                at = int(upto)
+            if done:
+                yield made(done, types)
+        if head is not None:
+            yield made([closed()], types)
+
+    return run
+
+
 def adaptive_histograms(curve: DataFrame, settings: MeterSettings = DEFAULTS) -> DataFrame:
     """Adaptive histograms per slot: arrays ``power`` and ``volt`` of (x, y) points.
 
     Weekdays get more power bins than weekends. The points are scaled to a common range:
     power (x, y / 5), voltage (x / 1000, y / 100). The arrays have as many points as the data
     supports and are keyed by bucket, so a missing slot shifts nothing.
+
+    Readings are reduced to distinct values with counts before they are shuffled, and the
+    nearest values of a slot are merged in a fixed order, see ``condense``: the points are the
+    same whatever the partitioning. A task reads its slots one after the other and holds the
+    distinct values of one. Values that are not numbers (NaN) are left out.
     """
     rows = in_band(curve, settings.band_low_single, settings.band_high).select(
         *GROUP,
         bucket(F.col("dti")).cast("int").alias("bucket"),
-        F.col("power").cast("double"),
-        F.col("volt_c").cast("double"),
+        F.col("power").cast("double").alias("power"),
+        F.col("volt_c").cast("double").alias("volt"),
     )
     weekday = F.col("daytype") == 1
-    grouped = rows.groupBy(*GROUP, "bucket").agg(
-        F.histogram_numeric(F.when(weekday, F.col("power")), F.lit(settings.power_bins)).alias("_wd"),
-        F.histogram_numeric(
-            F.when(~weekday, F.col("power")), F.lit(settings.power_bins_weekend)
-        ).alias("_we"),
-        F.histogram_numeric("volt_c", F.lit(settings.volt_bins)).alias("_volt"),
+    bins = F.when(F.col("_kind") == "volt", settings.volt_bins).otherwise(
+        F.when(weekday, settings.power_bins).otherwise(settings.power_bins_weekend)
     )
-    power = F.when(weekday, F.col("_wd")).otherwise(F.col("_we"))
-    return grouped.select(
-        *GROUP,
-        "bucket",
-        F.transform(power, lambda h: F.struct(h["x"].alias("x"), (h["y"] / 5.0).alias("y"))).alias("power"),
+    keys = [*GROUP, "bucket"]
+    values = rows.selectExpr(*keys, "stack(2, 'power', power, 'volt', volt) AS (_kind, _value)").filter(
+        ~F.isnan("_value")
+    )
+    counted = values.groupBy(*keys, "_kind", "_value").agg(F.count("*").alias("_count"))
+    order = [*keys, "_kind"]
+    ordered = counted.withColumn("_bins", bins).repartition(*keys).sortWithinPartitions(*order, "_value")
+    kinds = dict(ordered.dtypes)
+    schema = ", ".join(f"{k} {kinds[k]}" for k in [*order, "_bins"])
+    points = ordered.mapInArrow(_condensed([*order, "_bins"]), f"{schema}, _points array<struct<x: double, y: double>>")
+    power, volt = (F.max(F.when(F.col("_kind") == k, F.col("_points"))) for k in ("power", "volt"))
+    slots = points.groupBy(*keys).agg(power.alias("_power"), volt.alias("_volt"))
+    return slots.select(
+        *keys,
+        F.transform("_power", lambda h: F.struct(h["x"].alias("x"), (h["y"] / 5.0).alias("y"))).alias("power"),
         F.transform(
             "_volt", lambda h: F.struct((h["x"] / 1000.0).alias("x"), (h["y"] / 100.0).alias("y"))
         ).alias("volt"),

@@ -329,6 +329,41 @@ slots AS (
   GROUP BY id, season, daytype, dti % 96)"""
 
 
+def _adaptive(select: str) -> str:
+    """Distinct values of a slot with counts; the nearest two become one until few are left."""
+    steps = """
+counted AS (
+  SELECT id, season, daytype, CAST(dti % 96 AS INTEGER) AS bucket, kind, x, CAST(count(*) AS DOUBLE) AS y
+  FROM (
+    SELECT *, unnest([{'kind': 'power', 'x': CAST(power AS DOUBLE)}, {'kind': 'volt', 'x': CAST(volt_c AS DOUBLE)}], recursive := true)
+    FROM curve WHERE volt_c BETWEEN 154 AND 300 AND power IS NOT NULL)
+  GROUP BY ALL),
+merged AS (
+  SELECT id, season, daytype, bucket, kind, CASE WHEN kind = 'volt' THEN 3 WHEN daytype = 1 THEN 10 ELSE 4 END AS bins,
+         list({'x': x, 'y': y} ORDER BY x) AS h
+  FROM counted GROUP BY ALL
+  UNION ALL
+  SELECT id, season, daytype, bucket, kind, bins,
+         list_concat(h[:i - 1], [{'x': (h[i].x * h[i].y + h[i + 1].x * h[i + 1].y) / (h[i].y + h[i + 1].y),
+                                  'y': h[i].y + h[i + 1].y}], h[i + 2:]) AS h
+  FROM (SELECT *, list_position(gaps, list_min(gaps)) AS i
+        FROM (SELECT *, list_transform(range(1, len(h)), lambda p: h[p + 1].x - h[p].x) AS gaps
+              FROM merged WHERE len(h) > bins))),
+points AS (
+  SELECT id, season, daytype, bucket, kind, CAST(place - 1 AS INTEGER) AS place,
+         CASE kind WHEN 'volt' THEN h[place].x / 1000.0::DOUBLE ELSE h[place].x END AS x,
+         h[place].y / CASE kind WHEN 'volt' THEN 100.0::DOUBLE ELSE 5.0::DOUBLE END AS y
+  FROM (SELECT *, unnest(range(1, len(h) + 1)) AS place FROM merged WHERE len(h) <= bins))"""
+    return _with(READINGS, CURVE, steps, select=select).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+_VECTORS = """
+SELECT id, season, daytype, bucket // 4 AS hourindex,
+       CAST(row_number() OVER (PARTITION BY id, season, daytype, bucket ORDER BY kind, place, axis) - 1 AS INTEGER) AS place,
+       CASE axis WHEN 0 THEN x ELSE y END AS feature
+FROM points, (VALUES (0), (1)) a(axis) WHERE bucket % 4 = 1"""
+
+
 def _elbow(last: int = 20, rounds: int = 20) -> str:
     """Lloyd rounds for 2 to ``last`` clusters together, from centres evenly between the extremes."""
 
@@ -469,10 +504,10 @@ FROM {rows} GROUP BY ALL"""
 NARROW = "(SELECT * REPLACE (CAST(219.5 + CAST(volt_c AS DOUBLE) / 300 AS DECIMAL(9,5)) AS volt_c) FROM curve)"
 
 
-def _polynomial(degree: int, source: str = "curve", at: float | None = None) -> str:
+def _polynomial(degree: int, source: str = "curve", at: float = 0.0) -> str:
     """Least squares by Gram-Schmidt: orthogonal columns from window means, one per power.
 
-    With ``at``, the fitted value there instead of the coefficients.
+    The coefficients are those of powers of ``x - at``.
     """
     part = "OVER (PARTITION BY id, season, daytype)"
     steps = [
@@ -516,11 +551,8 @@ w0 AS (SELECT *, x - mx AS u, 1.0::DOUBLE AS q0, 1.0::DOUBLE AS b0 FROM band)"""
     choose = {(m, j): _binomial(m, j) for m in range(degree + 1) for j in range(m + 1)}
     out = []
     for j in range(degree + 1):
-        parts = " + ".join(f"{choose[(m, j)]} * e{m} * pow(-mx, {m - j})" for m in range(j, degree + 1))
+        parts = " + ".join(f"{choose[(m, j)]} * e{m} * pow({at}::DOUBLE - mx, {m - j})" for m in range(j, degree + 1))
         out.append(f"CASE WHEN levels > {degree} THEN round({parts}, 6) END AS c{j}")
-    if at is not None:
-        terms_at = " + ".join(f"e{m} * pow({at} - mx, {m})" for m in range(degree + 1))
-        out = [f"CASE WHEN levels > {degree} THEN round({terms_at}, 4) END AS fitted"]
     return _with(
         READINGS, CURVE, *steps, select=f"SELECT id, season, daytype, points, {', '.join(out)} FROM inu"
     )
@@ -679,6 +711,8 @@ SELECT id, season, daytype, bucket, n AS power_mass, n AS volt_mass, power_point
 SELECT id, season, daytype, CAST(min(power_points) AS INTEGER) AS min_power_bins,
        CAST(min(volt_points) AS INTEGER) AS min_volt_bins FROM slots GROUP BY ALL""",
         ),
+        "adaptive_histograms": _adaptive("SELECT * FROM points"),
+        "adaptive_vectors": _adaptive(_VECTORS),
         "elbow_cost": _elbow(),
         "meter_profile": _with(
             READINGS,

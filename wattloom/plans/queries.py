@@ -341,11 +341,20 @@ def hour_histograms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def adaptive_histograms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op.adaptive_histograms(_curve(spark, sf_dir))
+    """All points of the adaptive histograms, one row each."""
+    slots = op.adaptive_histograms(_curve(spark, sf_dir))
+    kinds = F.expr("stack(2, 'power', power, 'volt', volt) AS (kind, points)")
+    return (
+        slots.select(*GROUP, "bucket", kinds)
+        .select(*GROUP, "bucket", "kind", F.posexplode("points").alias("place", "point"))
+        .select(*GROUP, "bucket", "kind", "place", "point.x", "point.y")
+    )
 
 
 def adaptive_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op.hour_start_vectors(op.adaptive_histograms(_curve(spark, sf_dir)))
+    """The feature vectors of the hours, one row per number."""
+    vectors = op.hour_start_vectors(op.adaptive_histograms(_curve(spark, sf_dir)))
+    return vectors.select(*GROUP, "hourindex", F.posexplode("features").alias("place", "feature"))
 
 
 def adaptive_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -407,11 +416,8 @@ def _fit(degree: int, *extra: str, narrow: bool = False) -> Query:
         if extra:
             groups = op.hour_groups(_profile(spark, sf_dir))
             curve = op.hour_group_curve(_curve(spark, sf_dir), groups)
-        fitted = op.fit_curve(curve, [*GROUP, *extra], degree=degree)
-        if narrow:
-            # The coefficients are large and cancel, so the value at the nominal voltage is compared.
-            terms = sum((F.col(f"c{n}") * 220.0**n for n in range(1, degree + 1)), F.col("c0"))
-            return fitted.select(*GROUP, "points", F.round(terms, 4).alias("fitted"))
+        # Over a narrow band, coefficients in the voltage itself are large and cancel.
+        fitted = op.fit_curve(curve, [*GROUP, *extra], degree=degree, origin=220.0 if narrow else 0.0)
         return _rounded(fitted, *[f"c{n}" for n in range(degree + 1)])
 
     return query
