@@ -73,8 +73,8 @@ def test_collocations_cut_short_and_longer(spark):
 def test_full_filter_changes_nothing(spark):
     rows = texts()
     dictionary = phrases.parse(frame(spark, rows))
-    kept = [[sorted((r.lang, r.phrase, r.f) for r in t.collect()) for t in phrases.frequent_runs(dictionary, bits=b)] for b in (7, 26)]
-    assert kept[0] == kept[1] and all(kept[0])
+    kept = [sorted((r.lang, r.k, r.phrase, r.f) for r in phrases.frequent_runs(dictionary, bits=b).collect()) for b in (7, 26)]
+    assert kept[0] == kept[1] and {k for _, k, _, _ in kept[0]} == {1, 2, 3, 4}
 
 
 def test_dictionary_puts_the_texts_together(spark):

@@ -33,7 +33,7 @@ MODULUS = 32
 #: Bytes between the pieces of a text; blanks and tabs stand between words.
 MARKS = b".,;:!?\x0a\x0b\x0c\x0d"
 #: Bytes of text that a task combines at a time.
-GATHER = 8 << 20
+GATHER = 2 << 20
 #: Bits of the bitmap over frequent runs, as a power of two: 8 MB whatever the corpus.
 FILTER_BITS = 26
 #: Parts in which the phrases of a language are ranked before the last ranking.
@@ -146,48 +146,93 @@ def parse(texts: DataFrame, *, longest: int = LONGEST, modulus: int = MODULUS) -
     return found.groupBy("lang", "chunk", "final").agg(F.min("own").alias("own"), F.sum("n").alias("n"))
 
 
-def _counter(k: int, overlap: int, bitmap: np.ndarray | None, bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Runs of ``k`` words in dictionary rows whose two shorter runs are in the bitmap."""
+def _combined(keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys, where each stands, and the sum of its times."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    return keys[first], order[first], np.add.reduceat(times[order], first)
+
+
+def _marked(bitmap: np.ndarray, keys: np.ndarray, bits: int) -> np.ndarray:
+    cell = keys >> np.uint64(64 - bits)
+    return (bitmap[cell >> np.uint64(6)] >> (cell & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
+class _Rows:
+    """Words of some rows of the dictionary, and the keys of the runs that they own."""
+
+    def __init__(self, hasher: Hasher, data: np.ndarray, offsets: np.ndarray, final: np.ndarray, tongues: np.ndarray, overlap: int):
+        self.hasher, self.words = hasher, hasher.words(data, offsets)
+        words = self.words
+        self.row = np.repeat(np.arange(len(final)), np.diff(words.first))
+        self.bound = words.first[1:] - np.where(final, 0, overlap)
+        self.marks = np.zeros(len(words.begin) + 1, np.int64)
+        np.cumsum((words.end - words.begin == 1) & (data[words.begin] == 46), out=self.marks[1:])
+        self.tongue = tongues[self.row]
+
+    def keys(self, k: int) -> np.ndarray:
+        """A number for the run of ``k`` words from each word, by language."""
+        return mix(self.hasher.runs(self.words.hashes, k) + self.tongue[: len(self.tongue) - k + 1])
+
+    def whole(self, k: int) -> np.ndarray:
+        """Whether these runs lie in one piece and belong to their row."""
+        m = len(self.row) - k + 1
+        inside = (self.row[:m] == self.row[k - 1 :]) & (self.marks[k:] == self.marks[:m])
+        return inside & (np.arange(m) < self.bound[self.row[:m]])
+
+
+def _read(batches: Iterator[pa.RecordBatch], overlap: int) -> Iterator[tuple[_Rows, np.ndarray, list[str], np.ndarray]]:
+    """Rows, times by row, languages by row, and the bytes of runs of dictionary rows."""
+    hasher, known = Hasher(lower=False, blanks=b" "), {}
+    for batch in batches:
+        langs = batch.column("lang").to_pylist()
+        final = batch.column("final").to_numpy(zero_copy_only=False)
+        times = batch.column("n").to_numpy()
+        for at, upto, data, offsets in chunks(batch.column("data"), GATHER):
+            tongues = _lang_hashes(langs[at:upto], known)
+            yield _Rows(hasher, data, offsets, final[at:upto], tongues, overlap), times[at:upto], langs[at:upto], data
+
+
+def _key_counter(k: int, overlap: int, bitmap: np.ndarray | None, bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``key, f`` of the runs of ``k`` words whose two shorter runs are in the bitmap."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = Hasher(lower=False, blanks=b" ")
-        known: dict[str, np.uint64] = {}
-        for batch in batches:
-            langs = batch.column("lang").to_pylist()
-            final = batch.column("final").to_numpy(zero_copy_only=False)
-            times = batch.column("n").to_numpy()
-            for at, upto, data, offsets in chunks(batch.column("data"), GATHER):
-                words = hasher.words(data, offsets)
-                n = len(words.begin)
-                if n < k:
+        for rows, times, _, _ in _read(batches, overlap):
+            if len(rows.row) < k:
+                continue
+            fits = rows.whole(k)
+            if bitmap is not None:
+                frequent = _marked(bitmap, rows.keys(k - 1), bits)
+                fits &= frequent[:-1] & frequent[1:]
+            at = np.flatnonzero(fits)
+            if len(at):
+                keys, _, f = _combined(rows.keys(k)[at], times[rows.row[at]])
+                yield pa.RecordBatch.from_pydict({"key": pa.array(keys.view(np.int64)), "f": pa.array(f)})
+
+    return run
+
+
+def _speller(overlap: int, bitmaps: list[np.ndarray], bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``lang, k, phrase, f`` of the runs whose key is in the bitmap of their length."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, times, langs, data in _read(batches, overlap):
+            words = rows.words
+            for k, bitmap in enumerate(bitmaps, 1):
+                if len(rows.row) < k:
                     continue
-                rows = upto - at
-                row = np.repeat(np.arange(rows), np.diff(words.first))
-                bound = words.first[1:] - np.where(final[at:upto], 0, overlap)
-                dots = np.zeros(n + 1, np.int64)
-                np.cumsum((words.end - words.begin == 1) & (data[words.begin] == 46), out=dots[1:])
-                m = n - k + 1
-                fits = (row[:m] == row[k - 1 :]) & (np.arange(m) < bound[row[:m]]) & (dots[k:] == dots[:m])
-                tongue = _lang_hashes(langs[at:upto], known)[row]
-                if bitmap is not None:
-                    shorter = mix(hasher.runs(words.hashes, k - 1) + tongue[: n - k + 2])
-                    cell = shorter >> np.uint64(64 - bits)
-                    frequent = (bitmap[cell >> np.uint64(6)] >> (cell & np.uint64(63)) & np.uint64(1)).astype(bool)
-                    fits &= frequent[:m] & frequent[1 : m + 1]
-                at_word = np.flatnonzero(fits)
-                if not len(at_word):
+                keys = rows.keys(k)
+                at = np.flatnonzero(rows.whole(k) & _marked(bitmap, keys, bits))
+                if not len(at):
                     continue
-                key = mix(hasher.runs(words.hashes, k)[at_word] + tongue[at_word])
-                order = np.argsort(key, kind="stable")
-                key = key[order]
-                first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-                f = np.add.reduceat(times[at:upto][row[at_word[order]]], first)
-                one = at_word[order[first]]
+                _, one, f = _combined(keys[at], times[rows.row[at]])
+                one = at[one]
                 yield pa.RecordBatch.from_pydict(
                     {
-                        "lang": pa.array([langs[at + i] for i in row[one]], pa.string()),
+                        "lang": pa.array([langs[i] for i in rows.row[one]], pa.string()),
+                        "k": pa.array(np.full(len(one), k, np.int32)),
                         "phrase": _slices(data, words.begin[one], words.end[one + k - 1]),
-                        "key": pa.array(key[first].view(np.int64)),
                         "f": pa.array(f),
                     }
                 )
@@ -195,10 +240,10 @@ def _counter(k: int, overlap: int, bitmap: np.ndarray | None, bits: int) -> Call
     return run
 
 
-def _bitmap(frequent: DataFrame, bits: int) -> np.ndarray:
-    """A bit for every hash cell that a frequent run falls in; ``2**bits`` bits at any size."""
+def _bitmap(keys: DataFrame, bits: int) -> np.ndarray:
+    """A bit for every cell that a key falls in; ``2**bits`` bits at any size."""
     cell = F.shiftrightunsigned("key", 64 - bits)
-    words = frequent.groupBy(F.shiftright(cell, 6).alias("at")).agg(
+    words = keys.groupBy(F.shiftright(cell, 6).alias("at")).agg(
         F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), cell.bitwiseAND(63).cast("int"))).alias("bits")
     )
     found = words.toArrow()
@@ -209,19 +254,20 @@ def _bitmap(frequent: DataFrame, bits: int) -> np.ndarray:
 
 def frequent_runs(
     dictionary: DataFrame, *, longest: int = LONGEST, least: int = LEAST, bits: int = FILTER_BITS
-) -> list[DataFrame]:
-    """Tables ``lang, phrase, key, f`` of the runs of 1, 2 .. ``longest`` words seen ``least`` times or more."""
+) -> DataFrame:
+    """``lang, k, phrase, f`` of the runs of ``k`` = 1, 2 .. ``longest`` words seen ``least`` times or more.
+
+    Runs are counted by 64-bit keys, a pass for each length; one more pass spells those whose key
+    is in a cell of a frequent one, and their texts decide.
+    """
     rows = dictionary.select("lang", F.col("chunk").cast("binary").alias("data"), "final", "n")
-    found, bitmap = [], None
+    overlap, bitmaps = max(longest - 1, 1), []
     for k in range(1, longest + 1):
-        counted = rows.mapInArrow(
-            _counter(k, max(longest - 1, 1), bitmap, bits), "lang string, phrase string, key long, f long"
-        )
-        counted = counted.groupBy("lang", "phrase").agg(F.min("key").alias("key"), F.sum("f").alias("f"))
-        found.append(keep(counted.where(F.col("f") >= least), f"runs-{k}"))
-        if k < longest:
-            bitmap = _bitmap(found[-1], bits)
-    return found
+        counter = _key_counter(k, overlap, bitmaps[-1] if bitmaps else None, bits)
+        counted = rows.mapInArrow(counter, "key long, f long").groupBy("key").agg(F.sum("f").alias("f"))
+        bitmaps.append(_bitmap(counted.where(F.col("f") >= least), bits))
+    spelled = rows.mapInArrow(_speller(overlap, bitmaps, bits), "lang string, k int, phrase string, f long")
+    return spelled.groupBy("lang", "k", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
 
 
 def collocations(
@@ -242,13 +288,9 @@ def collocations(
     their text, and 64-bit hashes tell them apart inside one batch of a task.
     """
     dictionary = keep(parse(texts, longest=longest, modulus=modulus), "dictionary")
-    runs = frequent_runs(dictionary, longest=longest, least=least)
+    every = keep(frequent_runs(dictionary, longest=longest, least=least), "frequent-runs")
     words = dictionary.groupBy("lang").agg(F.sum(F.col("own") * F.col("n")).alias("n"))
 
-    phrases = [df.select("lang", "phrase", F.lit(k).alias("k"), "f") for k, df in enumerate(runs, 1)]
-    every = phrases[0]
-    for more in phrases[1:]:
-        every = every.unionByName(more)
     longer = every.where("k > 1").select("lang", "phrase", F.col("f").alias("a"), F.split("phrase", " ").alias("w"), "k")
 
     at = F.explode(F.sequence(F.lit(1), F.col("k") - 1)).alias("cut")
