@@ -22,7 +22,11 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     checkpoint folder and go when the cluster clears that.
     """
     spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = _own_folder()
     path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
