@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 from helpers import CURVE, curve_row, rows
 from wattloom import operators
 from wattloom.operators import (
+    draw_rows,
     elbow_cost,
     hour_features,
     hour_group_curve,
     hour_groups,
     hourly_profile,
     label_hour_groups,
+    store_curve,
 )
 
 
@@ -79,6 +81,64 @@ def test_seeded_start_is_repeatable(spark):
     assert {r[3] for r in hour_groups(profile, k=2).collect()} <= {0, 1}
 
 
+def test_more_runs_never_cost_more(spark):
+    _, profile = profile_of(spark)
+    features = {}
+    for r in hour_features(profile).collect():
+        features.setdefault((r.id, r.season, r.daytype), {})[r.hourindex] = (r.power, r.volt)
+
+    def cost(groups):
+        total = {}
+        for key, hours in groups.items():
+            for g in set(hours.values()):
+                points = np.array([features[key][h] for h in hours if hours[h] == g])
+                total[key] = total.get(key, 0.0) + ((points - points.mean(axis=0)) ** 2).sum()
+        return total
+
+    def run(runs):
+        found = {}
+        for r in hour_groups(profile, seed=5, runs=runs).collect():
+            found.setdefault((r.id, r.season, r.daytype), {})[r.hourindex] = r.hourgroup
+        return cost(found)
+
+    one, many = run(1), run(6)
+    assert set(one) == set(many) and all(many[k] <= one[k] + 1e-6 for k in one)
+    assert any(many[k] < one[k] - 1e-6 for k in one)
+
+
+def test_drawn_rows(spark):
+    df = spark.range(5000).selectExpr("CAST(id % 3 AS STRING) AS g", "id AS item").union(
+        spark.createDataFrame([("few", 1), ("few", 2)], "g string, item long")
+    )
+    drawn = draw_rows(df, ["g"], "item", 5, seed=1)
+    assert {r.g: r["count"] for r in drawn.groupBy("g").count().collect()} == {"0": 5, "1": 5, "2": 5, "few": 2}
+    assert rows(drawn) == rows(draw_rows(df.repartition(5), ["g"], "item", 5, seed=1))
+    assert rows(drawn) != rows(draw_rows(df, ["g"], "item", 5, seed=2))
+    assert "WindowGroupLimit" in drawn._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stored_curve_is_labelled_in_place(spark, tmp_path):
+    curve, profile = profile_of(spark, meters=3)
+    groups = hour_groups(profile).filter("id != 2")
+    stored = store_curve(curve, "stored_curve_test", str(tmp_path / "curve"), buckets=3)
+    try:
+        labelled = label_hour_groups(stored, groups)
+        assert rows(labelled.drop("hourindex")) == rows(label_hour_groups(curve, groups))
+        assert rows(hour_group_curve(stored, groups)) == rows(hour_group_curve(curve, groups))
+        settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        try:
+            plan = label_hour_groups(stored, groups)._jdf.queryExecution().executedPlan().toString()
+        finally:
+            for k in settings:
+                spark.conf.unset(k)
+        # The plan is printed from the top, the curve's scan first.
+        assert "Exchange" not in plan[: plan.index("stored_curve_test")] and "SortMergeJoin" in plan
+    finally:
+        spark.sql("DROP TABLE stored_curve_test")
+
+
 def test_labels_reach_every_curve_row(spark):
     curve, profile = profile_of(spark, meters=3)
     groups = hour_groups(profile).filter("id != 2")

@@ -77,12 +77,22 @@ def test_outage_events_match_brute_force(spark):
     # One run covers several whole chunks, one starts and one ends on a chunk border.
     points += [(4, d) for d in range(5, 60)] + [(5, 16), (5, 17), (5, 31), (5, 32)]
     expected = brute_events(points)
-    for chunk in (1, 2, 8, 16, 2688):
-        got = rows(outage_events(point_frame(spark, points), chunk_slots=chunk))
+    for chunk, fan in ((1, 2), (2, 3), (8, 256), (16, 2), (2688, 256)):
+        got = rows(outage_events(point_frame(spark, points), chunk_slots=chunk, fan=fan))
         assert got == expected, chunk
     assert sum(e[4] for e in expected) == len(set(points))
 
 
+def test_outage_in_every_chunk_of_one_meter(spark):
+    """Every run crosses a border; no window holds more than the runs of ``fan`` chunks."""
+    points = [(1, d) for d in range(4000) if d % 10 not in (4, 5)]
+    frame = point_frame(spark, points)
+    events = outage_events(frame, chunk_slots=10, fan=5)
+    assert rows(events) == brute_events(points)
+    plan = events._jdf.queryExecution().optimizedPlan().toString()
+    assert "windowspecdefinition(id" in plan and "windowspecdefinition(rangestart" not in plan
+
+
 def test_outage_events_of_one_dominant_meter(spark):
     # A third of all rows are copies of one point and another third belongs to one meter.
     n = 3000

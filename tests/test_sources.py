@@ -3,13 +3,16 @@ import os
 import pytest
 
 from helpers import rows
+from wattloom.lineage import scratch, shared_folder
 from wattloom.sources import (
     OUTPUTS,
     RangePartition,
+    file_sink,
     publish,
     read_series_csv,
     read_table,
     series_from_lines,
+    write_series_csv,
     write_table,
 )
 from wattloom.sources.tables import read_options
@@ -95,3 +98,42 @@ def test_width_does_not_narrow_the_stage_before(spark, tmp_path):
         back = read_table(spark, path)
         assert back.select("task").distinct().count() == 6 and back.count() == 600
         assert len([p for p in os.listdir(path) if p.startswith("part-")]) == 2
+
+
+def test_series_filter_reaches_the_files(spark, tmp_path):
+    path = str(tmp_path / "series")
+    data = [(i % 50, None if i % 7 == 0 else i / 4) for i in range(2000)]
+    write_series_csv(spark.createDataFrame(data, "id long, value double").repartition(4), path)
+    series = read_series_csv(spark, path)
+    assert sorted(map(tuple, series.collect()), key=str) == sorted(data, key=str)
+    assert sorted(map(tuple, series.filter("id = 3").collect()), key=str) == sorted((r for r in data if r[0] == 3), key=str)
+    plan = series.filter("id = 3")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(id), EqualTo(id,3)]" in plan
+    assert series.rdd.getNumPartitions() > 1
+
+
+def test_publishing_twice_leaves_the_same_rows(spark, tmp_path):
+    sink = file_sink(str(tmp_path), "monday")
+    df = spark.range(40).selectExpr("id", "int(id % 4 + 1) AS season", "int(id % 2 + 1) AS daytype")
+    read = lambda name: read_table(spark, str(tmp_path / name))
+    for _ in range(2):
+        # One table that is appended by season, one that is overwritten, one that must be new.
+        assert publish({"pvcurve": df, "meterids": df, "hourgroup2": df}, 2, sink) == {"pvcurve": 40, "hourgroup2": 40}
+        assert publish({"voltagelow": df.limit(0)}, 3, sink) == {"voltagelow": 0}
+        assert read("pvcurve").count() == read("hourgroup2").count() == 40
+    assert publish({"pvcurve": df.limit(7)}, 2, file_sink(str(tmp_path), "tuesday")) == {"pvcurve": 7}
+    assert {r.run: r["count"] for r in read("pvcurve").groupBy("run").count().collect()} == {"monday": 40, "tuesday": 7}
+    with pytest.raises(ValueError):
+        write_table(df, str(tmp_path / "x"), replace_partitions=True)
+
+
+def test_a_cluster_needs_a_shared_folder(spark):
+    class Context:
+        master = "spark://somewhere:7077"
+
+    class Session:
+        conf, sparkContext = {}, Context()
+
+    with pytest.raises(RuntimeError):
+        shared_folder(Session())
+    assert scratch(spark, "a") != scratch(spark, "a")

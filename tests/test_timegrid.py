@@ -1,5 +1,7 @@
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from helpers import EPOCH, rows
@@ -108,6 +110,10 @@ def test_calendars(spark):
     ids = rows(interval_calendar_of(readings, EPOCH), "datetimeintervalid")
     assert ids == [(i,) for i in range(193, 385)]
     assert interval_calendar_of(readings.limit(0), EPOCH).count() == 0
+    bad = readings.union(spark.createDataFrame([(dt.datetime(3013, 1, 3),)], readings.schema))
+    with pytest.raises(Exception, match="3013"):
+        interval_calendar_of(bad, EPOCH).count()
+    assert interval_calendar_of(bad, EPOCH, last=dt.date(2013, 1, 4)).count() == 192
 
 
 def test_labels(spark):

@@ -15,13 +15,21 @@ from wattloom.operators.curves import (
     with_season,
 )
 from wattloom.operators.fit import fit_curve
-from wattloom.operators.groups import elbow_cost, hour_group_curve, hour_groups, label_hour_groups
+from wattloom.operators.groups import (
+    draw_rows,
+    elbow_cost,
+    hour_group_curve,
+    hour_groups,
+    label_hour_groups,
+    store_curve,
+)
 from wattloom.operators.histograms import (
     adaptive_histograms,
     hour_histograms,
     hour_start_vectors,
     smallest_histograms,
 )
+from wattloom.operators.order import with_position
 from wattloom.operators.profiles import (
     hour_curves,
     hour_features,
@@ -69,6 +77,7 @@ __all__ = [
     "calendar_labels",
     "day_curve_pivot",
     "dead_points",
+    "draw_rows",
     "elbow_cost",
     "fit_curve",
     "for_meters",
@@ -106,11 +115,13 @@ __all__ = [
     "smallest_histograms",
     "stacked_basereading",
     "star_readings",
+    "store_curve",
     "to_basereading",
     "unpivot_curve",
     "volt_high",
     "volt_low",
     "volt_out",
     "volt_quality",
+    "with_position",
     "with_season",
 ]

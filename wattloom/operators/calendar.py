@@ -11,6 +11,10 @@ from wattloom.functions.timegrid import slot_dti, timestamp_of
 from wattloom.settings import DAYTYPES, DEFAULTS, LOAD_TYPES, SEASONS, SLOTS_PER_DAY
 
 
+#: A hundred years.
+MOST_DAYS = 36_525
+
+
 def _intervals(ids: DataFrame, epoch: dt.date) -> DataFrame:
     return ids.select(
         "datetimeintervalid",
@@ -35,12 +39,14 @@ def interval_calendar_of(
     *,
     first: dt.date | None = None,
     last: dt.date | None = None,
+    most_days: int = MOST_DAYS,
 ) -> DataFrame:
     """Interval dimension for every whole day between the first and last reading.
 
     The span is one aggregated row, exploded to days, dealt out and exploded to slots, so
     nothing is collected and the calendar always covers the fact table it is joined with.
-    ``first`` and ``last`` bound the span, so that one bad timestamp cannot stretch it.
+    ``first`` and ``last`` bound the span. Without them a span of more than ``most_days`` is an
+    error when the calendar is read, so one bad timestamp cannot stretch it unseen.
     """
     day = F.col("ts").cast("date")
     if first is not None:
@@ -48,9 +54,10 @@ def interval_calendar_of(
     if last is not None:
         readings = readings.filter(day <= F.lit(last))
     span = readings.agg(F.min(day).alias("first"), F.max(day).alias("last"))
-    days = span.filter("first IS NOT NULL").select(
-        F.explode(F.sequence("first", "last")).alias("day")
-    )
+    too_long = F.raise_error(F.concat_ws(" ", F.lit("the readings span"), "first", F.lit("to"), "last"))
+    dates = F.when(F.date_diff("last", "first") < most_days, F.sequence("first", "last"))
+    dates = dates.otherwise(too_long.cast("array<date>"))
+    days = span.filter("first IS NOT NULL").select(F.explode(dates).alias("day"))
     days = days.repartition("day")
     slots = days.select("day", F.explode(F.sequence(F.lit(1), F.lit(SLOTS_PER_DAY))).alias("idx"))
     ids = slots.select(slot_dti(F.col("day"), F.col("idx"), epoch).alias("datetimeintervalid"))

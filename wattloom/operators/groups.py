@@ -10,7 +10,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattloom.functions.timegrid import hour_index
@@ -28,11 +28,11 @@ def _nearest(points: np.ndarray, centres: np.ndarray, alive: np.ndarray) -> np.n
     return np.where(alive[:, None, :], distance, np.inf).argmin(axis=2)
 
 
-def _group_hours(points: np.ndarray, seeds: np.ndarray, rounds: int) -> np.ndarray:
+def _group_hours(points: np.ndarray, seeds: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
     """Lloyd's algorithm on a batch: ``points`` is (groups, 24, 2), ``seeds`` are hours.
 
-    Empty clusters vanish and ties go to the lowest centre. Labels are numbered by the first
-    hour that carries them.
+    Labels by hour, and the sum of squared distances of each group. Empty clusters vanish and
+    ties go to the lowest centre. Labels are numbered by the first hour that carries them.
     """
     k = seeds.shape[1]
     centres = np.take_along_axis(points, seeds[:, :, None], axis=1)
@@ -44,10 +44,12 @@ def _group_hours(points: np.ndarray, seeds: np.ndarray, rounds: int) -> np.ndarr
         total = np.einsum("ghk,ghd->gkd", member.astype(float), points)
         centres = total / np.maximum(count, 1)[:, :, None]
     label = _nearest(points, centres, alive)
+    gaps = points - np.take_along_axis(centres, label[:, :, None], axis=1)
+    cost = (gaps * gaps).sum(axis=(1, 2))
     member = label[:, :, None] == np.arange(k)
     first_hour = np.where(member.any(axis=1), member.argmax(axis=1), points.shape[1])
     rank = first_hour.argsort(axis=1, kind="stable").argsort(axis=1, kind="stable")
-    return np.take_along_axis(rank, label, axis=1)
+    return np.take_along_axis(rank, label, axis=1), cost
 
 
 def _hour_labels(rounds: int):
@@ -56,21 +58,44 @@ def _hour_labels(rounds: int):
         if power.empty:
             return pd.Series([], dtype=object)
         points = np.stack([np.stack(power.to_numpy()), np.stack(volt.to_numpy())], axis=2)
-        found = _group_hours(points, np.stack(seeds.to_numpy()), rounds)
-        return pd.Series(list(found.astype("int32")))
+        starts = np.stack([np.stack(s) for s in seeds])
+        runs = starts.shape[1]
+        found, cost = _group_hours(np.repeat(points, runs, axis=0), starts.reshape(-1, starts.shape[2]), rounds)
+        # Runs that end in the same groups differ in the last bits of their cost.
+        best = np.round(cost, 9).reshape(-1, runs).argmin(axis=1)
+        return pd.Series(list(found.reshape(len(points), runs, -1)[np.arange(len(points)), best].astype("int32")))
 
     return labels
 
 
-def _seed_hours(k: int, seed: int | None) -> Column:
-    """Hours that start the clusters: evenly spaced, or drawn per group by a seeded hash."""
+def _draw(by: Sequence[Column], item: Column, seed: int, run: int) -> Column:
+    """What decides whether an item is drawn: the smallest come first."""
+    return F.md5(F.concat_ws("|", *by, item, F.lit(seed), F.lit(run)))
+
+
+def _seed_hours(k: int, seed: int | None, runs: int) -> Column:
+    """Hours that start the clusters of each run: evenly spaced, or drawn per group by a seeded hash."""
     if seed is None:
-        return F.array(*[F.lit(n * HOURS_PER_DAY // k) for n in range(k)])
-    hours = F.sequence(F.lit(0), F.lit(HOURS_PER_DAY - 1))
-    drawn = F.transform(
-        hours, lambda h: F.struct(F.xxhash64(*GROUP, h, F.lit(seed)).alias("draw"), h.alias("hour"))
-    )
-    return F.slice(F.array_sort(drawn), 1, k)["hour"]
+        return F.array(F.array(*[F.lit(n * HOURS_PER_DAY // k) for n in range(k)]))
+    hours, by = F.sequence(F.lit(0), F.lit(HOURS_PER_DAY - 1)), [F.col(c) for c in GROUP]
+
+    def drawn(run: int) -> Column:
+        draws = F.transform(hours, lambda h: F.struct(_draw(by, h, seed, run).alias("draw"), h.alias("hour")))
+        return F.slice(F.array_sort(draws), 1, k)["hour"]
+
+    return F.array(*[drawn(run) for run in range(runs)])
+
+
+def draw_rows(df: DataFrame, by: Sequence[str], item: str, k: int, *, seed: int) -> DataFrame:
+    """``k`` rows of each group, drawn by a seeded hash of the group and ``item``, with their ``place``.
+
+    The same rows whatever the partitioning, as long as ``item`` tells the rows of a group apart.
+    Every task keeps the ``k`` smallest of a group before it sends them on, so a large group is
+    no large partition. A smaller group is drawn whole.
+    """
+    draw = _draw([F.col(c) for c in by], F.col(item), seed, 0)
+    place = F.row_number().over(Window.partitionBy(*by).orderBy("_draw", item))
+    return df.withColumn("_draw", draw).withColumn("place", place).filter(F.col("place") <= k).drop("_draw")
 
 
 def hour_groups(
@@ -80,9 +105,13 @@ def hour_groups(
     k: int | None = None,
     rounds: int | None = None,
     seed: int | None = None,
+    runs: int = 1,
 ) -> DataFrame:
     """Hour groups of all meters in one job: ``id, season, daytype, hourgroup, hourindex``.
 
+    The clusters start from evenly spaced hours or, with ``seed``, from hours drawn for each of
+    ``runs`` runs, of which the one with the smallest cost counts, the first of equal ones.
+
     A group is 24 points, so it is one row with two arrays. Spark spreads the rows and each
     Arrow batch of them is clustered at once; there is no job per meter or per round. Only
     regular groups take part, see ``irregular_groups``.
@@ -90,7 +119,7 @@ def hour_groups(
     label = _hour_labels(rounds or settings.lloyd_rounds)
     grouped = hour_curves(profile, settings).select(
         *GROUP,
-        label(F.col("power"), F.col("volt"), _seed_hours(k or settings.hour_groups, seed)).alias("_labels"),
+        label(F.col("power"), F.col("volt"), _seed_hours(k or settings.hour_groups, seed, runs)).alias("_labels"),
     )
     # The outer form: a plain one brings a filter on the labels, and with it a second run of the
     # clustering below the first.
@@ -100,9 +129,25 @@ def hour_groups(
 
 
 def _with_hour(curve: DataFrame) -> DataFrame:
+    if "hourindex" in curve.columns:  # a stored curve
+        return curve
     return curve.withColumn("hourindex", hour_index(F.col("dti")))
 
 
+def store_curve(curve: DataFrame, table: str, path: str, *, buckets: int) -> DataFrame:
+    """A copy of ``curve`` with its ``hourindex``, laid out by meter, season, day type and hour.
+
+    The table is written under ``path`` in ``buckets`` files by a hash of these four, each sorted
+    by them. Hour groups are keyed alike, so labels and extracts of a stored curve, now and
+    later, join in place: only the groups move. A large meter falls into 192 keys.
+    """
+    keys = [*GROUP, "hourindex"]
+    dealt = _with_hour(curve).repartition(buckets, *keys)
+    writer = dealt.write.format("parquet").mode("errorifexists").option("path", path)
+    writer.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+    return curve.sparkSession.table(table)
+
+
 def label_hour_groups(curve: DataFrame, groups: DataFrame) -> DataFrame:
     """Curve rows with the ``hourgroup`` of their hour, -1 where the hour has none.
 

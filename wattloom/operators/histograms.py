@@ -25,15 +25,24 @@ HOT_SHARE = 1000
 HOT_PARTS = 64
 
 
-def _bin(value: str, low: str, high: str, bins: int) -> Column:
+def _edges(name: str, bins: int) -> list[Column]:
+    """Inner edges ``<name>_1, ..`` between the smallest and the largest value.
+
+    There are none where both are the same: a value equals none of them and is in bin 0.
+    """
+    low, high = f"{name}_low", f"{name}_high"
+    edge = "CASE WHEN {h} > {l} THEN {l} + {i} * ({h} - {l}) / {n} END AS {c}_{i}"
+    return [F.expr(edge.format(h=high, l=low, i=i, n=bins, c=name)) for i in range(1, bins)]
+
+
+def _bin(value: str, name: str, bins: int) -> Column:
     """Equal-width bin of ``value``: the number of inner edges at or below it.
 
     Comparing with the edges keeps a value that sits on one in the upper bin, which dividing
-    by the width would not always do. The last bin is closed and a single value is bin 0.
+    by the width would not always do. The last bin is closed.
     """
-    edges = [f"CAST({value} >= {low} + {i} * ({high} - {low}) / {bins} AS BIGINT)" for i in range(1, bins)]
-    place = " + ".join(edges) or "0"
-    return F.expr(f"CASE WHEN {high} > {low} THEN {place} ELSE CAST(0 AS BIGINT) END")
+    reached = [f"CAST({value} >= {name}_{i} AS BIGINT)" for i in range(1, bins)]
+    return F.expr(f"coalesce({' + '.join(reached) or '0L'}, 0L)")
 
 
 def hour_histograms(
@@ -73,9 +82,12 @@ def hour_histograms(
     total = edges.agg(F.sum("_n")).scalar()
     parted = edges.withColumn("_hot", F.col("_n") * hot_share > total)
     hot = F.broadcast(parted.filter("_hot").select(*GROUP, F.lit(HOT_PARTS).alias("_parts")))
-    copies = parted.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.when(F.col("_hot"), HOT_PARTS - 1).otherwise(0)))
-    ).drop("_hot", "_n")
+    copies = parted.select(
+        *GROUP,
+        *_edges("p", n_power),
+        *_edges("v", n_volt),
+        F.explode(F.sequence(F.lit(0), F.when(F.col("_hot"), HOT_PARTS - 1).otherwise(0))).alias("_salt"),
+    )
     samples = rows.filter(is_hour_start(F.col("dti"))).join(hot, GROUP, "left")
     samples = samples.withColumn(
         "_salt", F.coalesce(F.pmod(F.xxhash64("dti", "power"), F.col("_parts")).cast("int"), F.lit(0))
@@ -83,8 +95,8 @@ def hour_histograms(
     binned = samples.join(copies, [*GROUP, "_salt"]).select(
         *GROUP,
         hour_index(F.col("dti")).alias("hourindex"),
-        _bin("power", "p_low", "p_high", n_power).alias("p"),
-        _bin("volt_c", "v_low", "v_high", n_volt).alias("v"),
+        _bin("power", "p", n_power).alias("p"),
+        _bin("volt_c", "v", n_volt).alias("v"),
     )
     hours = F.sequence(F.lit(0).cast("long"), F.lit(HOURS_PER_DAY - 1).cast("long"))
     nothing = F.lit(None).cast("long")

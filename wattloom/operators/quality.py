@@ -9,6 +9,8 @@ from wattloom.settings import DEFAULTS, SLOTS_PER_DAY, MeterSettings
 
 # Slots per chunk of the outage search: four weeks.
 CHUNK_SLOTS = 28 * SLOTS_PER_DAY
+# Chunks, or spans of them, that are looked at together.
+FAN = 256
 
 
 def is_low(volt: Column, settings: MeterSettings = DEFAULTS) -> Column:
@@ -83,16 +85,46 @@ def outage_points(points: DataFrame) -> DataFrame:
     )
 
 
-def outage_events(points: DataFrame, *, chunk_slots: int = CHUNK_SLOTS) -> DataFrame:
+def _stitched(runs: DataFrame, slots: int | None) -> DataFrame:
+    """Runs that follow each other inside a span of ``slots`` intervals, or anywhere, as one.
+
+    Only runs that touch a border of the span before are ordered per meter; every other run is
+    final and alone in its group.
+    """
+    span = F.lit(0).cast("long") if slots is None else F.floor(F.col("rangestart") / slots)
+    runs = runs.withColumn("_span", span).withColumn("_alone", F.when(~F.col("_open"), F.col("rangestart")))
+    along = Window.partitionBy("id", "_span", "_alone").orderBy("rangestart")
+    follows = F.col("rangestart") == F.lag("rangeend").over(along) + 1
+    joined = (
+        runs.withColumn("_starts", F.when(follows, 0).otherwise(1))
+        .withColumn("_event", F.sum("_starts").over(along))
+        .groupBy("id", "_span", "_alone", "_event")
+        .agg(
+            F.min("ts").alias("ts"),
+            F.min("rangestart").alias("rangestart"),
+            F.max("rangeend").alias("rangeend"),
+        )
+    )
+    if slots is None:
+        return joined
+    first = F.col("_span") * slots
+    at_border = (F.col("rangestart") == first) | (F.col("rangeend") == first + slots - 1)
+    return joined.select("id", "ts", "rangestart", "rangeend", at_border.alias("_open"))
+
+
+def outage_events(points: DataFrame, *, chunk_slots: int = CHUNK_SLOTS, fan: int = FAN) -> DataFrame:
     """Runs of consecutive intervals per meter: ``id, ts, rangestart, rangeend, duration``.
 
     A window over a whole meter would put every point of a large meter in one task. Runs are
-    therefore found inside chunks of ``chunk_slots`` intervals, where a window holds at most
-    that many rows, and only runs that touch a chunk border are ordered per meter to be
-    joined up. All other runs are final and stay spread over the cluster.
+    therefore found inside chunks of ``chunk_slots`` intervals, and those that touch a border are
+    put together up a tree: inside spans of ``fan`` chunks, then of ``fan`` such spans, then per
+    meter. A span holds at most two open runs of each part, so no window holds more than
+    ``2 * fan`` rows, and at the top few are left. Repeated points count once.
     """
     chunk = F.floor(F.col("dti") / chunk_slots)
     in_chunk = Window.partitionBy("id", "_chunk").orderBy("dti")
+    first = F.col("_chunk") * chunk_slots
+    at_border = (F.col("rangestart") == first) | (F.col("rangeend") == first + chunk_slots - 1)
     runs = (
         points.groupBy("id", "dti")
         .agg(F.min("ts").alias("ts"))
@@ -104,31 +136,12 @@ def outage_events(points: DataFrame, *, chunk_slots: int = CHUNK_SLOTS) -> DataF
             F.max("dti").alias("rangeend"),
             F.min("ts").alias("ts"),
         )
+        .select("id", "ts", "rangestart", "rangeend", at_border.alias("_open"))
     )
-
-    first = F.col("_chunk") * chunk_slots
-    at_border = (F.col("rangestart") == first) | (F.col("rangeend") == first + chunk_slots - 1)
-    # Border runs of a meter share the null partition; every other run is alone in its own.
-    runs = runs.withColumn("_alone", F.when(~at_border, F.col("rangestart")))
-    along = Window.partitionBy("id", "_alone").orderBy("rangestart")
-    follows = F.col("rangestart") == F.lag("rangeend").over(along) + 1
-    return (
-        runs.withColumn("_starts", F.when(follows, 0).otherwise(1))
-        .withColumn("_event", F.sum("_starts").over(along))
-        .groupBy("id", "_alone", "_event")
-        .agg(
-            F.min("ts").alias("ts"),
-            F.min("rangestart").alias("rangestart"),
-            F.max("rangeend").alias("rangeend"),
-        )
-        .select(
-            "id",
-            "ts",
-            "rangestart",
-            "rangeend",
-            (F.col("rangeend") - F.col("rangestart") + 1).alias("duration"),
-        )
-    )
+    for slots in (chunk_slots * fan, chunk_slots * fan * fan, None):
+        runs = _stitched(runs, slots)
+    duration = F.col("rangeend") - F.col("rangestart") + 1
+    return runs.select("id", "ts", "rangestart", "rangeend", duration.alias("duration"))
 
 
 def slot_stats(wide: DataFrame, prefix: str = "U") -> DataFrame:

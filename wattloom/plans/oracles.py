@@ -151,6 +151,45 @@ hourgroups AS (
     return ",".join(steps)
 
 
+def seeded_group_ctes(seed: int, runs: int, k: int = 6, rounds: int = 21) -> str:
+    """Lloyd rounds of several runs from drawn hours, and the groups of the cheapest run."""
+    keys = "id, season, daytype, run"
+    steps = [
+        f"""
+drawn AS (
+  SELECT f.*, run, row_number() OVER (PARTITION BY {keys}
+    ORDER BY md5(concat_ws('|', id, season, daytype, hourindex, {seed}, run))) - 1 AS place
+  FROM features f, range({runs}) r(run)),
+means0 AS (SELECT {keys}, place AS c, power, volt FROM drawn WHERE place < {k})"""
+    ]
+    for n in range(rounds + 1):
+        steps.append(f"""
+assign{n} AS MATERIALIZED (
+  SELECT {keys}, f.hourindex, f.power, f.volt,
+         min({{'d': (f.power - m.power) * (f.power - m.power) + (f.volt - m.volt) * (f.volt - m.volt), 'c': m.c}}) AS near
+  FROM drawn f JOIN means{n} m USING ({keys}) GROUP BY ALL),
+means{n + 1} AS MATERIALIZED (
+  SELECT {keys}, near.c AS c, sum(power) / count(*) AS power, sum(volt) / count(*) AS volt
+  FROM assign{n} GROUP BY ALL)""")
+    steps.append(f"""
+costs AS (SELECT {keys}, round(sum(near.d), 9) AS cost FROM assign{rounds} GROUP BY ALL),
+cheapest AS (
+  SELECT id, season, daytype, min({{'cost': cost, 'run': run}}).run AS run FROM costs GROUP BY ALL),
+chosen AS (
+  SELECT id, season, daytype, hourindex, near.c AS c FROM assign{rounds} JOIN cheapest USING ({keys})),
+firsts AS (
+  SELECT id, season, daytype, c,
+         CAST(row_number() OVER (PARTITION BY id, season, daytype ORDER BY min(hourindex)) - 1 AS INTEGER) AS hourgroup
+  FROM chosen GROUP BY id, season, daytype, c)""")
+    return ",".join(steps)
+
+
+def _drawn(keys: str, item: str, source: str, k: int, seed: int) -> str:
+    return f"""
+SELECT *, CAST(row_number() OVER (PARTITION BY {keys} ORDER BY md5(concat_ws('|', {keys}, {item}, {seed}, 0))) AS INTEGER) AS place
+FROM {source} QUALIFY place <= {k}"""
+
+
 def _values(name: str, columns: str, rows) -> str:
     def text(v) -> str:
         return "NULL" if v is None else f"'{v}'" if isinstance(v, str) else str(v)
@@ -208,7 +247,12 @@ def _fact(family: str) -> str:
 def _star(*families: str) -> str:
     facts = " UNION ALL ".join(_fact(f) for f in families)
     return f"""{TYPES},
-fact AS ({facts}),
+known AS ({facts}),
+fact AS (
+  SELECT * FROM known
+  UNION ALL SELECT * REPLACE (meter + 1000000000 AS meter) FROM known WHERE timeperiod % 50 = 7
+  UNION ALL SELECT * REPLACE (timeperiod + 100000000 AS timeperiod) FROM known WHERE timeperiod % 50 = 8),
+span AS (SELECT min(dti - idx + 1) AS lowest, max(dti - idx + 96) AS highest FROM readings),
 star AS (
   SELECT meter AS meterid, timeperiod AS datetimeintervalid,
          TIMESTAMP '2013-01-01' + to_minutes(CAST(15 * (timeperiod - 1) AS BIGINT)) AS mtime,
@@ -217,7 +261,7 @@ star AS (
   JOIN readingtype r ON r.readingtypeid = fact.readingtype
   JOIN kinds k ON k.measurementkindid = r.measurementkind
   WHERE meter IN (SELECT CASE WHEN s_suppkey < 1 THEN 1 ELSE (s_suppkey - 1) // 10 + 1 END FROM supplier)
-    AND meter % 7 <> 3 AND timeperiod % 100 <> 50)
+    AND timeperiod BETWEEN (SELECT lowest FROM span) AND (SELECT highest FROM span))
 """
 
 
@@ -448,6 +492,20 @@ def _labels() -> str:
     )
 
 
+def _season_labels() -> str:
+    rows = [
+        (se * 3 + dy + 1, se + 1, dy + 1, f"{sea}-{day}")
+        for se, sea in enumerate(SEASONS)
+        for dy, day in enumerate(DAYTYPES)
+    ]
+    return _with(
+        READINGS,
+        _values("labels", "sdti, season, daytype, label", rows),
+        f"covered AS (SELECT {sdti('ts')} AS sdti, count(*) AS readings FROM readings GROUP BY ALL)",
+        select="SELECT labels.*, coalesce(readings, 0) AS readings FROM labels LEFT JOIN covered USING (sdti)",
+    )
+
+
 def _slot_stats() -> str:
     return _with(
         READINGS,
@@ -585,6 +643,7 @@ FROM (SELECT unnest(range(date_diff('day', DATE '2013-01-01', a) * 96 + 1,
                           date_diff('day', DATE '2013-01-01', b) * 96 + 97)) AS i FROM span)""",
         ),
         "calendar_labels": _labels(),
+        "season_labels": _season_labels(),
         "season_columns": _with(
             READINGS,
             select=f"""
@@ -610,6 +669,12 @@ FROM readings""",
         "power_pivot": _with(READINGS, select=_pivot("power", POWER_TYPES, "data_type")),
         "reading_types": _with(TYPES, select="SELECT * FROM types"),
         "star_readings": _with(READINGS, _star(*_FAMILY), select="SELECT * FROM star"),
+        "star_readings_sorted": _with(
+            READINGS, _star(*_FAMILY),
+            select="""
+SELECT *, row_number() OVER (ORDER BY meterid NULLS FIRST, datetimeintervalid NULLS FIRST, mtime NULLS FIRST,
+                             value NULLS FIRST, code NULLS FIRST, phases NULLS FIRST) - 1 AS position FROM star""",
+        ),
         "day_curve_p": _day_curve("P", "P"),
         "day_curve_q": _day_curve("Q", "P"),
         "day_curve_v": _day_curve("V", "V"),
@@ -680,6 +745,13 @@ SELECT DISTINCT id, ts, dti AS rangestart, dti AS rangeend, CAST(1 AS BIGINT) AS
         "outage_events_any": _with(
             READINGS, "points AS (SELECT id, ts, dti FROM readings WHERE volt = 0)", select=EVENTS
         ),
+        "outage_events_sorted": _with(
+            READINGS, "points AS (SELECT id, ts, dti FROM readings WHERE volt = 0)",
+            select=f"SELECT *, row_number() OVER (ORDER BY id, rangestart) - 1 AS position FROM ({EVENTS})",
+        ),
+        "outage_events_tree": _with(
+            SPAN, "points AS (SELECT id, ts, dti FROM readings WHERE volt < 190 OR pf > 0.9)", select=EVENTS
+        ),
         "outage_events_daily_chunks": _with(
             READINGS, "points AS (SELECT id, ts, dti FROM readings WHERE volt = 0)", select=EVENTS
         ),
@@ -731,6 +803,14 @@ FROM readings WHERE data_type = 1 AND power IS NOT NULL GROUP BY id""",
         "hour_features": _with(*profile, FEATURES, select="SELECT * FROM features"),
         "hour_histograms": _histograms(),
         "hour_groups": _with(*grouped, select="SELECT * FROM hourgroups"),
+        "hour_groups_seeded": _with(
+            *profile, FEATURES, seeded_group_ctes(7, 3),
+            select="SELECT id, season, daytype, hourgroup, hourindex FROM chosen JOIN firsts USING (id, season, daytype, c)",
+        ),
+        "seed_points": _with(*profile, FEATURES, select=_drawn("id, season, daytype", "hourindex", "features", 6, 11)),
+        "seed_readings": _with(
+            READINGS, CURVE, select=_drawn("season", "dti", "(SELECT DISTINCT season, dti FROM curve)", 20, 3)
+        ),
         "label_hour_groups": _with(
             *grouped,
             select=f"""
@@ -765,6 +845,11 @@ FROM curve c JOIN hourgroups g ON {on_hour} WHERE volt_c BETWEEN 154 AND 300 AND
 SELECT id, CASE WHEN volt = 0 THEN NULL WHEN power < 1 THEN NULL ELSE CAST(cur AS DOUBLE) END AS value FROM readings""",
         ),
     }
+    found["stored_labels"] = found["label_hour_groups"]
+    found["series_files"] = _with(READINGS, select="SELECT id, CAST(power AS DOUBLE) AS value FROM readings")
+    found["published_curve"] = f"""
+SELECT *, CAST(count(*) OVER () AS INTEGER) AS said, CAST(count(*) OVER () AS INTEGER) AS said_again
+FROM ({found["pv_curve"]})"""
     for value, flag in (("volt", "phase_flag"), ("power", "data_type"), ("cur", "phase_flag"),
                         ("pf", "phase_flag"), ("energy", "data_type")):
         found[f"unpivot_{value}"] = _unpivot(value, flag)

@@ -9,10 +9,19 @@ from pyspark.sql import functions as F
 
 from wattloom import operators as op
 from wattloom.functions import codes, timegrid
+from wattloom.lineage import scratch
 from wattloom.operators.profiles import GROUP
 from wattloom.operators.quality import is_high, is_low
 from wattloom.settings import CURRENT_PHASES, FACTOR_PHASES, VOLT_PHASES
-from wattloom.sources import sample, series_from_lines
+from wattloom.sources import (
+    file_sink,
+    publish,
+    read_series_csv,
+    read_table,
+    sample,
+    series_from_lines,
+    write_series_csv,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -85,6 +94,16 @@ def calendar_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def season_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of season and day type, with the readings each one covers."""
+    covered = sample.readings(spark, sf_dir).groupBy(timegrid.sdti(F.col("ts")).alias("sdti"))
+    return (
+        op.season_daytype_labels(spark)
+        .join(covered.agg(F.count("*").alias("readings")), "sdti", "left")
+        .select("sdti", "season", "daytype", "label", F.coalesce("readings", F.lit(0)).alias("readings"))
+    )
+
+
 def season_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Grid functions on every reading: interval id both ways, hour, season, texts."""
     ts, dti = F.col("ts"), F.col("dti")
@@ -164,15 +183,14 @@ def _basereading(family: str) -> Query:
 
 def _star(spark: SparkSession, sf_dir: str, *families: str) -> DataFrame:
     rows = sample.readings(spark, sf_dir)
-    # Every seventh meter and every hundredth interval is unknown, so the joins must drop rows.
-    known = sample.meters(spark, sf_dir).filter("meterid % 7 <> 3").withColumnRenamed("meterid", "id")
+    known = sample.meters(spark, sf_dir).withColumnRenamed("meterid", "id")
     return op.star_readings(
-        _fact(spark, sf_dir, rows, *families),
+        sample.with_strangers(_fact(spark, sf_dir, rows, *families)),
         sample.meters(spark, sf_dir),
         op.meter_dims(known)["identifiedobject"],
         sample.reading_type_table(spark, sf_dir),
         sample.measurement_kinds(spark),
-        sample.intervals(rows).filter("datetimeintervalid % 100 <> 50"),
+        sample.intervals(rows),
         types=_types(spark, sf_dir),
     )
 
@@ -181,6 +199,11 @@ def star_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _star(spark, sf_dir, *FAMILY_VALUES)
 
 
+def star_readings_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reading summary by meter and interval, with the place of each reading."""
+    return op.with_position(star_readings(spark, sf_dir), ["meterid", "datetimeintervalid"])
+
+
 def _day_curve(code: str, family: str, first_bucket: int = 2) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         return op.day_curve_pivot(_star(spark, sf_dir, family), code, first_bucket=first_bucket)
@@ -250,6 +273,11 @@ def outage_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.outage_events(op.dead_points(_volts(spark, sf_dir)))
 
 
+def outage_events_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events by meter and beginning, with their place."""
+    return op.with_position(outage_events_any(spark, sf_dir), ["id", "rangestart"])
+
+
 def outage_events_any(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events of the intervals on which any reading is zero."""
     return op.outage_events(_long(spark, sf_dir, "volt").filter("volt = 0").select("id", "ts", "dti"))
@@ -261,6 +289,12 @@ def outage_events_daily_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.outage_events(points, chunk_slots=96)
 
 
+def outage_events_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Almost all readings in chunks of an hour and a narrow tree: long events over many borders."""
+    rows = sample.readings(spark, sf_dir, folded=False).filter("volt < 190 OR pf > 0.9")
+    return op.outage_events(rows.select("id", "ts", "dti"), chunk_slots=4, fan=3)
+
+
 def outage_events_span(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events over the whole span of the ship dates, of dead or almost idle readings."""
     rows = sample.readings(spark, sf_dir, folded=False).filter("volt = 0 OR pf > 0.93")
@@ -387,11 +421,36 @@ def hour_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.hour_groups(_profile(spark, sf_dir))
 
 
+def hour_groups_seeded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best of three runs from drawn hours."""
+    return op.hour_groups(_profile(spark, sf_dir), seed=7, runs=3)
+
+
+def seed_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six hour points of each group, drawn by hash."""
+    return op.draw_rows(op.hour_features(_profile(spark, sf_dir)), GROUP, "hourindex", 6, seed=11)
+
+
+def seed_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twenty intervals of each season, drawn among the readings of all meters."""
+    seen = _curve(spark, sf_dir).select("season", "dti").distinct()
+    return op.draw_rows(seen, ["season"], "dti", 20, seed=3)
+
+
 def label_hour_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = op.hour_groups(_profile(spark, sf_dir))
     return _doubles(op.label_hour_groups(_curve(spark, sf_dir), groups))
 
 
+def stored_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a curve that is stored by meter, season, day type and hour."""
+    path = scratch(spark, "stored-curve")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = path.rsplit("/", 1)[1].replace("-", "_")
+    stored = op.store_curve(_curve(spark, sf_dir), table, path, buckets=buckets)
+    return _doubles(op.label_hour_groups(stored, hour_groups(spark, sf_dir)).drop("hourindex"))
+
+
 def hour_group_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = op.hour_groups(_profile(spark, sf_dir))
     return _doubles(op.hour_group_curve(_curve(spark, sf_dir), groups))
@@ -435,10 +494,28 @@ def csv_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return series_from_lines(lines, "line")
 
 
+def series_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings written as ``id,value`` files and read back."""
+    path = scratch(spark, "series")
+    write_series_csv(sample.readings(spark, sf_dir), path, value="power")
+    return read_series_csv(spark, path)
+
+
+def published_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The analysis curve after the same run was published twice, with the rows each said it wrote."""
+    folder = scratch(spark, "published")
+    curve = _joined(spark, sf_dir, op.pv_curve)
+    sink = file_sink(folder, "first")
+    said = [publish({"pvcurve": curve}, 2, sink)["pvcurve"] for _ in range(2)]
+    back = read_table(spark, f"{folder}/pvcurve").drop("run")
+    return _doubles(back.select(*curve.columns, F.lit(said[0]).alias("said"), F.lit(said[1]).alias("said_again")))
+
+
 QUERIES: dict[str, Query] = {
     "hourly_profile": hourly_profile,
     "interval_calendar": interval_calendar,
     "calendar_labels": calendar_labels,
+    "season_labels": season_labels,
     "season_columns": season_columns,
     "edge_casts": edge_casts,
     "phase_pivot_volt": phase_pivot_volt,
@@ -449,6 +526,7 @@ QUERIES: dict[str, Query] = {
     "reading_types": reading_types,
     **{f"basereading_{f.lower()}": _basereading(f) for f in FAMILY_VALUES},
     "star_readings": star_readings,
+    "star_readings_sorted": star_readings_sorted,
     "day_curve_p": _day_curve("P", "P"),
     "day_curve_q": _day_curve("Q", "P"),
     "day_curve_v": _day_curve("V", "V"),
@@ -471,6 +549,8 @@ QUERIES: dict[str, Query] = {
     "outage_points": outage_points,
     "outage_events": outage_events,
     "outage_events_any": outage_events_any,
+    "outage_events_sorted": outage_events_sorted,
+    "outage_events_tree": outage_events_tree,
     "outage_events_daily_chunks": outage_events_daily_chunks,
     "outage_events_span": outage_events_span,
     "pv_curve": pv_curve,
@@ -492,7 +572,11 @@ QUERIES: dict[str, Query] = {
     "adaptive_totals": adaptive_totals,
     "smallest_histograms": smallest_histograms,
     "hour_groups": hour_groups,
+    "hour_groups_seeded": hour_groups_seeded,
+    "seed_points": seed_points,
+    "seed_readings": seed_readings,
     "label_hour_groups": label_hour_groups,
+    "stored_labels": stored_labels,
     "hour_group_curve": hour_group_curve,
     "elbow_cost": elbow_cost,
     "fit_curve_linear": _fit(1),
@@ -502,4 +586,6 @@ QUERIES: dict[str, Query] = {
     "fit_curve_cubic": _fit(3),
     "fit_curve_hour_group": _fit(1, "hourgroup"),
     "csv_series": csv_series,
+    "series_files": series_files,
+    "published_curve": published_curve,
 }

@@ -6,7 +6,9 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from wattloom.sources.tables import write_table
 
 # Parallel writers of ordinary and of large tables.
 WRITERS, WIDE_WRITERS = 70, 140
@@ -63,19 +65,39 @@ OUTPUTS: dict[str, Output] = {
 }
 
 
+RUN = "run"
+
+
+def file_sink(folder: str, run: str) -> Callable[[str, DataFrame, Output], int]:
+    """A sink that writes Parquet tables under ``folder`` and may be repeated.
+
+    What a rule appends is kept per ``run``, in a directory of that name: another run adds its
+    rows, the same run replaces them. A rule that overwrites replaces the table, and one that
+    must not find a table lets the same run replace it.
+    """
+
+    def sink(name: str, df: DataFrame, rule: Output) -> int:
+        path = f"{folder.rstrip('/')}/{name}"
+        if rule.mode == "overwrite":
+            return write_table(df, path, mode="overwrite", partition_by=rule.partition_by)
+        return write_table(
+            df.withColumn(RUN, F.lit(run)), path, partition_by=(RUN, *rule.partition_by), replace_partitions=True
+        )
+
+    return sink
+
+
 def publish(
     tables: Mapping[str, DataFrame],
     run_mode: int,
-    sink: Callable[[str, DataFrame, Output], None],
-) -> list[str]:
-    """Hands every table due in ``run_mode`` to ``sink`` and returns their names.
+    sink: Callable[[str, DataFrame, Output], int | None],
+) -> dict[str, int | None]:
+    """Hands every table due in ``run_mode`` to ``sink``; returns what it says of each, its rows.
 
-    The rule that comes with a table tells its write mode, layout and ``width``. The tables are lazy, so outputs that a mode does not write cost nothing.
+    The rule that comes with a table tells its write mode, layout and ``width``. The tables are
+    lazy, so outputs that a mode does not write cost nothing.
     """
     unknown = set(tables) - set(OUTPUTS)
     if unknown:
         raise KeyError(f"no such output: {', '.join(sorted(unknown))}")
-    written = [name for name in tables if run_mode in OUTPUTS[name].modes]
-    for name in written:
-        sink(name, tables[name], OUTPUTS[name])
-    return written
+    return {name: sink(name, df, OUTPUTS[name]) for name, df in tables.items() if run_mode in OUTPUTS[name].modes}

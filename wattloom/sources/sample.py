@@ -168,5 +168,12 @@ def phases(spark: SparkSession) -> DataFrame:
     return _inline(spark, PHASE_NAMES, "phasecode, code")
 
 
+def with_strangers(facts: DataFrame) -> DataFrame:
+    """The facts, and readings of meters and of intervals that no dimension knows."""
+    meter = facts.filter("timeperiod % 50 = 7").withColumn("meter", F.col("meter") + 1_000_000_000)
+    period = facts.filter("timeperiod % 50 = 8").withColumn("timeperiod", F.col("timeperiod") + 100_000_000)
+    return facts.unionByName(meter).unionByName(period)
+
+
 def intervals(rows: DataFrame) -> DataFrame:
     return interval_calendar_of(rows, EPOCH)

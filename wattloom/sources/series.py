@@ -22,12 +22,22 @@ def read_series_csv(
     with_id: bool = True,
     sentinel: float | None = SENTINEL,
 ) -> DataFrame:
-    """Series files with ``id,value`` lines, or values only, with ``null`` for a missing value."""
+    """Series files with ``id,value`` lines, or values only, with ``null`` for a missing value.
+
+    Large files are split by range, and a filter on ``id`` reaches the parser, which then leaves
+    other lines unread beyond their first field.
+    """
     schema = f"id long, {value} double" if with_id else f"{value} double"
     rows = spark.read.csv(path, schema=schema, nullValue=NULL_TEXT)
     return rows.withColumn(value, _without_sentinel(F.col(value), sentinel))
 
 
+def write_series_csv(rows: DataFrame, path: str, *, key: str = "id", value: str = "value") -> None:
+    """``id,value`` lines of two columns, a null value as ``null``."""
+    text = F.coalesce(F.col(value).cast("string"), F.lit(NULL_TEXT))
+    rows.select(F.concat_ws(",", F.col(key).cast("string"), text).alias("value")).write.text(path)
+
+
 def series_from_lines(
     lines: DataFrame, column: str, *, value: str = "value", sentinel: float | None = SENTINEL
 ) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 # Fixed value: rows per JDBC insert batch for the large outputs.
 BATCH_ROWS = 10_000_000
@@ -75,15 +76,21 @@ def write_table(
     partition_by: Sequence[str] = (),
     sort_by: Sequence[str] = (),
     batch_rows: int | None = None,
+    replace_partitions: bool = False,
     options: Mapping[str, str] | None = None,
-) -> None:
-    """Writes a DataFrame.
+) -> int:
+    """Writes a DataFrame and returns its number of rows, which the writing job itself counts.
+
+    ``replace_partitions`` overwrites only the directories that ``df`` has rows for, so a write
+    that is repeated leaves the same table; it needs ``partition_by``.
 
     ``width`` is the number of writers, which matters for a database with few connections; the
     stage before keeps its tasks, and files are best left to AQE. ``partition_by`` lays files out in directories and brings the
     rows of a directory together first, so that each task does not open every directory.
     ``sort_by`` gives a total order by range partitioning.
     """
+    if replace_partitions and (not partition_by or format == "jdbc"):
+        raise ValueError("partitions can only be replaced in a partitioned file table")
     if partition_by and format != "jdbc":
         # The rebalance splits a large directory over several tasks.
         df = df.hint("rebalance", *partition_by)
@@ -93,15 +100,20 @@ def write_table(
         df = df.sortWithinPartitions(*sort_by) if sort_by else df
     elif sort_by:
         df = df.sortWithinPartitions(*sort_by) if partition_by else df.orderBy(*sort_by)
-    writer = df.write.mode(mode).format(format).options(**(options or {}))
+    if format == "jdbc" and url is None:
+        raise ValueError("the jdbc format needs a url")
+    seen = Observation()
+    df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    writer = df.write.mode("overwrite" if replace_partitions else mode).format(format).options(**(options or {}))
     if format != "jdbc":
+        if replace_partitions:
+            writer = writer.option("partitionOverwriteMode", "dynamic")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.save(table)
-        return
-    if url is None:
-        raise ValueError("the jdbc format needs a url")
+        return seen.get["rows"]
     writer = writer.option("url", url).option("dbtable", table)
     if batch_rows is not None:
         writer = writer.option("batchsize", batch_rows)
     writer.save()
+    return seen.get["rows"]
