@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fixtures import corpus, frame, got
-from wattloom.llm import mixing, sharding, urls
+from wattloom.llm import mixing, sharding, toxicity, urls
 from wattloom.llm.decontaminate import contamination, cut_spans, drop_contaminated
 
 ITEM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -216,3 +216,48 @@ def test_mixed_documents_keep_columns(spark):
     assert mixed.columns == docs.columns
     assert {r.doc_id for r in mixed.collect()} == {r.doc_id for r in docs.collect()}
     assert mixing.mixed_documents(docs.limit(0), max_repeats=2.0).count() == 0
+
+
+def brute_reads(totals, max_repeats, budget):
+    """How often each source is read, by trying exponents in small steps."""
+    whole = sum(totals.values())
+    budget = min(budget, max_repeats * whole)
+    found = {s: 0.0 for s in totals}
+    for step in range(2001):
+        a = 1 - step / 2000
+        weights = {s: (n / whole) ** a for s, n in totals.items()}
+        norm = sum(weights.values())
+        reads = {s: weights[s] / norm * budget / n for s, n in totals.items()}
+        if max(reads.values()) > max_repeats * (1 + 1e-9) or max(reads.values()) > max_repeats * min(reads.values()) * (1 + 1e-9):
+            break
+        found = reads
+    return found
+
+
+@pytest.mark.parametrize("budget", [0, 1, 30, 900, 1500, 4000, 100000])
+def test_mix_under_a_budget_and_a_limit(spark, budget):
+    sizes = {"big": [7] * 100, "small": [5] * 12, "tiny": [4] * 3}
+    rows = [(f"{s}{i}", "w " * n, s) for s, ns in sizes.items() for i, n in enumerate(ns)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, source string")
+    mix = mixing.mix_sources(docs, max_repeats=3, budget=budget).collect()
+    want = brute_reads({s: sum(ns) for s, ns in sizes.items()}, 3, budget)
+    read, often = Counter(), Counter()
+    for r in mix:
+        assert r.epoch >= 0
+        read[r.source] += r.n_tokens
+        often[r.doc_id] += 1
+    assert sum(read.values()) <= budget and max(often.values(), default=0) <= 3
+    for s, ns in sizes.items():
+        # Short of the budget by less than a document and the step of the search.
+        assert want[s] * sum(ns) * 1.01 + 1 >= read[s] >= want[s] * sum(ns) * 0.99 - max(ns) - 1, s
+
+
+def test_mixed_documents_with_any_column_names(spark):
+    rows = [(i, "a b", f"s{i % 2}", i, i, i) for i in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, mix_copy int, `a.b` int, often int")
+    mixed = mixing.mixed_documents(docs, max_repeats=2.0)
+    assert mixed.columns == docs.columns
+    assert {(r.doc_id, r["a.b"], r.mix_copy) for r in mixed.collect()} == {(i, i, i) for i in range(9)}
+    labels = spark.createDataFrame([(0, 1), (1, 0)], "doc_id long, toxic int")
+    assert toxicity.drop_toxic(docs, labels.limit(0)).columns == docs.columns
+    assert toxicity.drop_toxic(docs, labels.limit(0)).count() == 9

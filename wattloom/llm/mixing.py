@@ -29,13 +29,20 @@ def _bisect(fits: Callable[[float], bool]) -> float:
     return low
 
 
-def exponent(sources: DataFrame, *, entropy: float | None = None, max_repeats: float | None = None) -> float:
+def exponent(
+    sources: DataFrame,
+    *,
+    entropy: float | None = None,
+    max_repeats: float | None = None,
+    reads: float | None = None,
+) -> float:
     """Exponent for the shares of ``sources(share)`` that meets the target.
 
     ``entropy`` (nats): the largest exponent whose weights reach it, 0 if none does.
     ``max_repeats``: the smallest exponent that reads no source more than so many times as
-    often as the source read least. Each step is one small aggregation; no list of sources
-    reaches the driver.
+    often as the source read least and, with ``reads``, the budget over the tokens of all
+    sources, none more than so many times at all. Each step is one small aggregation; no list
+    of sources reaches the driver.
     """
     shares = sources.where("share > 0")
     if (entropy is None) == (max_repeats is None):
@@ -48,11 +55,15 @@ def exponent(sources: DataFrame, *, entropy: float | None = None, max_repeats: f
 
     def repeats(a: float) -> float:
         each = F.pow("share", F.lit(a - 1))
-        return shares.agg(F.coalesce(F.max(each) / F.min(each), F.lit(1.0))).first()[0]
+        once = F.min(each)
+        if reads is not None:
+            once = F.least(once, F.sum(F.pow("share", F.lit(a))) / F.lit(reads))
+        return shares.agg(F.coalesce(F.max(each) / once, F.lit(1.0))).first()[0]
 
     if entropy is not None:
         return _bisect(lambda a: reached(a) >= entropy)
-    return 1.0 - _bisect(lambda b: repeats(1.0 - b) <= max_repeats)
+    # The bound itself is met at exponent 1, but for rounding.
+    return 1.0 - _bisect(lambda b: repeats(1.0 - b) <= max_repeats * (1 + 1e-12))
 
 
 def _sized(docs: DataFrame) -> DataFrame:
@@ -71,21 +82,26 @@ def source_budgets(
     """``source, tokens, share, weight, epochs, rest``: whole epochs and the tokens left over.
 
     Without ``budget`` it is the smallest that reads every source once, so nothing is dropped.
-    Sources without tokens are read once.
+    ``max_repeats`` bounds how often a source is read, in all and against the source read least;
+    a budget that no weights can spend within it is cut to ``max_repeats`` times all tokens. Sources without tokens are read once.
+    A null source is one of its own.
     """
     totals = keep(sized.groupBy("source").agg(F.sum("n_tokens").alias("tokens")), "mix-sources")
     total = totals.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
     shares = totals.withColumn("share", F.col("tokens") / F.lit(float(max(total, 1))))
-    a = exponent(shares, entropy=entropy, max_repeats=max_repeats)
+    if budget is not None:
+        budget = max(budget, 0) if max_repeats is None else min(max(budget, 0), max_repeats * total)
+    reads = None if budget is None else max(budget, 1e-9) / max(total, 1)
+    a = exponent(shares, entropy=entropy, max_repeats=max_repeats, reads=reads)
     raw = F.when(F.col("tokens") > 0, F.pow("share", F.lit(a))).otherwise(F.lit(0.0))
     norm = shares.agg(F.coalesce(F.sum(raw), F.lit(0.0))).first()[0] or 1.0
     weighted = shares.withColumn("weight", raw / F.lit(norm))
     if budget is None:
         once = weighted.where("tokens > 0").agg(F.coalesce(F.max(F.col("tokens") / F.col("weight")), F.lit(0.0)))
         budget = once.first()[0]
-    reads = F.col("weight") * F.lit(float(budget)) / F.col("tokens")
+    often = F.col("weight") * F.lit(float(budget)) / F.col("tokens")
     # Rounding must not turn one whole epoch into none.
-    epochs = F.when(F.col("tokens") > 0, F.floor(reads + 1e-9)).otherwise(1).cast("int")
+    epochs = F.when(F.col("tokens") > 0, F.floor(often + 1e-9)).otherwise(1).cast("int")
     rest = F.floor(F.col("weight") * F.lit(float(budget)) - F.col("epochs") * F.col("tokens"))
     rest = F.when(F.col("tokens") > 0, F.greatest(rest, F.lit(0))).otherwise(0).cast("long")
     return weighted.withColumn("epochs", epochs).withColumn("rest", rest)
@@ -120,8 +136,9 @@ def mix_sources(
 
     # The order of the blocks in each epoch; rows: blocks times epochs.
     blocks = blocked.groupBy("source", "block", "epochs", "rest").agg(F.sum("n_tokens").alias("block_tokens"))
-    runs = blocks.withColumn("epoch", F.explode(F.expr("sequence(0, CAST(epochs - (rest = 0)::int AS int))")))
-    runs = runs.where("epoch < epochs OR rest > 0")
+    # A source whose budget is below a token is not read; a sequence to -1 would count down.
+    runs = blocks.where("epochs > 0 OR rest > 0")
+    runs = runs.withColumn("epoch", F.explode(F.expr("sequence(0, epochs - IF(rest = 0, 1, 0))")))
     drawn = F.xxhash64("block", "source", "epoch")
     in_epoch = W.Window.partitionBy("source", "epoch").orderBy(drawn, "block")
     runs = runs.select(
@@ -154,12 +171,18 @@ def mix_sources(
 
 
 def mixed_documents(docs: DataFrame, **target) -> DataFrame:
-    """The documents as often as the mix reads them, with all their columns."""
+    """The documents as often as the mix reads them, with all their columns whatever their names.
+
+    Rows that share a source and a doc_id, nulls included, come equally often. An empty table
+    stays empty.
+    """
     reads = mix_sources(docs, **target).groupBy("source", "doc_id").count()
-    reads = reads.select(F.col("source").alias("mix_source"), F.col("doc_id").alias("mix_id"), F.col("count").alias("mix_reads"))
-    same = docs["source"].eqNullSafe(reads["mix_source"]) & docs["doc_id"].eqNullSafe(reads["mix_id"])
-    often = docs.join(reads, same).withColumn("mix_copy", F.explode(F.expr("sequence(1L, mix_reads)")))
-    return often.select(*[docs[c] for c in docs.columns])
+    reads = reads.select(F.col("source").alias("of"), F.col("doc_id").alias("id"), F.col("count").alias("often"))
+    row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]).alias("row")
+    rows = docs.select(F.col("source"), F.col("doc_id"), row)
+    same = rows["source"].eqNullSafe(reads["of"]) & rows["doc_id"].eqNullSafe(reads["id"])
+    often = rows.join(reads, same).withColumn("copy", F.explode(F.expr("sequence(1L, often)")))
+    return often.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def op8_mixing(spark, sf_dir: str) -> DataFrame:

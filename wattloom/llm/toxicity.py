@@ -223,11 +223,11 @@ def _score(model: Dictionaries) -> Callable[[Iterator[pa.RecordBatch]], Iterator
     return run
 
 
-def _pass(model: Dictionaries, threshold: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _pass(model: Dictionaries, threshold: float, text: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
         for batch in batches:
-            texts = [t.as_py() for t in batch.column("text").cast(pa.binary())]
+            texts = [t.as_py() for t in batch.column(text).cast(pa.binary())]
             yield batch.filter(pa.array(scorer.scores(texts) < threshold))
 
     return run
@@ -245,8 +245,15 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """The documents scored below the threshold, with all their columns."""
-    return docs.mapInArrow(_pass(fit(docs, labels), threshold), docs.schema)
+    """The documents scored below the threshold, with all their columns whatever their names.
+
+    Null and empty texts are scored as texts without windows, repeated rows stay or go together,
+    and a score equal to the threshold goes. Without labels of both kinds every document stays.
+    """
+    names = docs.columns
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    kept = plain.mapInArrow(_pass(fit(docs, labels), threshold, f"c{names.index('text')}"), plain.schema)
+    return kept.toDF(*names)
 
 
 def op9_toxicity(spark, sf_dir: str) -> DataFrame:
