@@ -1,6 +1,7 @@
 import hashlib
 import math
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -198,6 +199,58 @@ def test_lm_probabilities_sum_to_one(spark):
     assert all(score[i] < 0 for i, _ in tests) and start > min(score[i] for i, _ in tests[:-1])
 
 
+def test_lm_shares_sum_to_one(spark, monkeypatch):
+    """Classes after any class share 1; the known words of a class and its one unseen word share 1."""
+    rng = random.Random(6)
+    rows = [(i, f"{prose(rng, 30, 25)} once{i} {'twice' if i % 30 == 0 else ''}") for i in range(60)]
+    from pyspark.sql import functions as F
+
+    models, score = [], brown._score
+    monkeypatch.setattr(brown, "_score", lambda model: (models.append(model), score(model))[1])
+    brown.score_documents(frame(spark, rows), F.col("doc_id") % 5 == 2).collect()
+    model = models[0]
+    np.testing.assert_allclose((10.0 ** model.transition).sum(axis=1), 1.0)
+    counts = Counter(w for i, t in rows if i % 5 != 2 for w in t.split())
+    vocabulary = sorted(counts)
+    data = np.frombuffer("".join(vocabulary).encode(), np.uint8)
+    offsets = np.cumsum([0, *(len(w) for w in vocabulary)])
+    units = brown._unit_run(Hasher(lower=True), brown._lower(), model, data, offsets)[1]
+    share = 10.0 ** model.unseen
+    for w, unit in zip(vocabulary, units):
+        c = model.classes[unit]
+        share[c] += counts[w] * 10.0 ** model.known[c]
+    used = sorted({int(model.classes[u]) for u in units})
+    assert len(used) > 5 and 0 not in used
+    np.testing.assert_allclose(share[used], 1.0)
+
+
+def test_exchange_is_the_best_single_move(spark):
+    """The likelihood after every possible move of a unit, counted anew."""
+    rng = np.random.default_rng(3)
+    units, k = 14, 5
+    pairs = rng.integers(0, 9, (units, units))
+    now = np.append(0, rng.integers(1, k, units - 1))
+
+    def counted(classes):
+        n = np.zeros((k, k))
+        np.add.at(n, (classes[:, None], classes[None, :]), pairs)
+        return n
+
+    after, before = (np.array([np.bincount(now, weights=row, minlength=k) for row in m]) for m in (pairs, pairs.T))
+    to = brown.exchange(counted(now), now[1:], after[1:], before[1:], np.diagonal(pairs)[1:].astype(float))
+    for u in range(1, units):
+        reached = []
+        for c in range(1, k):
+            changed = now.copy()
+            changed[u] = c
+            reached.append(brown._likelihood(counted(changed)))
+        assert reached[to[u - 1] - 1] >= max(reached) - 1e-6
+        n, moved = counted(now), now.copy()
+        moved[u] = to[u - 1]
+        brown._moved(n, now[u : u + 1], to[u - 1 : u], after[u : u + 1], before[u : u + 1], np.diagonal(pairs)[u : u + 1].astype(float))
+        np.testing.assert_allclose(n, counted(moved))
+
+
 def test_exchange_separates_alternating_words(spark):
     units = [(a, b, 10) for a in range(1, 7) for b in range(1, 7) if (a + b) % 2] + [(0, 1, 3), (2, 0, 3)]
     now, matrix = brown.cluster(spark.createDataFrame(units, "a long, b long, n long"), classes=2, rounds=8)
@@ -302,33 +355,36 @@ def test_toxic_words_are_found_on_held_out_texts(spark):
 
 
 def dice_by_hand(text):
-    """Best notice over all lines, paragraphs and the whole, without any pruning by size."""
-    import re
-
-    data = (text or "").encode().lower()
-    lines = data.split(b"\n")
-    paragraphs = licenses.PARAGRAPH.split(data) if len(lines) > 1 else []
-    units = lines + [p for p in paragraphs if b"\n" in p] + ([data] if len(paragraphs) > 1 else [])
-    pairs = lambda t: {(a, b) for w in [re.findall(licenses.WORD, t)] for a, b in zip(w, w[1:])}
-    best, count = (0.0, None), 0
-    for unit in units:
-        a, hit = pairs(unit), False
-        for name, notice in sorted(licenses.TEMPLATES.items(), reverse=True):
-            b = pairs(notice.lower().encode())
-            dice = 2 * len(a & b) / (len(a) + len(b)) if a else 0.0
-            if dice >= 0.8:
-                hit = True
-                if dice > best[0] or (dice == best[0] and name < best[1]):
-                    best = dice, name
-        count += hit
-    return best[1], best[0], count
+    """Every window that begins and ends with a bigram of a template, without any pruning by count."""
+    words = re.findall(licenses.WORD, (text or "").encode().lower())
+    pairs = list(zip(words, words[1:]))
+    found = []
+    for name, texts in licenses.TEMPLATES.items():
+        for notice in texts:
+            known = re.findall(licenses.WORD, notice.encode().lower())
+            template = set(zip(known, known[1:]))
+            for s in range(len(pairs)):
+                if pairs[s] not in template:
+                    continue
+                seen = set()
+                for e in range(s, min(len(pairs), s + 120 * len(template) // 80)):
+                    seen.add(pairs[e])
+                    dice = 2 * len(seen & template) / (len(seen) + len(template)) if pairs[e] in template else 0.0
+                    if dice >= 0.8:
+                        found.append((-dice, name, s, e))
+    if not found:
+        return None, 0.0, 0
+    # A place begins where no other window reaches over; windows that only touch are apart.
+    places = sum(not any(a < s <= b for _, _, a, b in found) for s in {s for _, _, s, _ in found})
+    return min(found)[1], -min(found)[0], places
 
 
 def test_license_scan_matches_brute_force(spark):
-    notices = list(licenses.TEMPLATES.values())
+    notices = [t for texts in licenses.TEMPLATES.values() for t in texts]
     rows = corpus() + [(2000 + i, f"some text\n{n.upper()}\nmore text\n\nlast") for i, n in enumerate(notices)]
     rows += [(3000 + i, "\n".join(n.split(", ")) + "\n\nand then") for i, n in enumerate(notices)]
     rows += [(4000, "released under the terms of the mit license"), (4001, notices[3] + "\n" + notices[3]), (None, notices[0])]
+    rows += [(4002, f"{notices[0]} {notices[0]} and {notices[9]}"), (4003, notices[1][: len(notices[1]) // 2])]
     found = licenses.scan_licenses(frame(spark, rows))
     assert got(found, "doc_id", "license", "dice", "n_matches") == sorted(
         ((i, *dice_by_hand(t)) for i, t in rows), key=repr
@@ -336,6 +392,19 @@ def test_license_scan_matches_brute_force(spark):
     assert licenses.scan_licenses(frame(spark, [])).count() == 0
 
 
+def test_licences_in_running_text():
+    scanner = licenses.Scanner(licenses.TEMPLATES, 80)
+    named = lambda text: scanner.scan(text.encode())[0]
+    assert named("Copyright 2020 X. Released under the MIT License.") == "mit"
+    assert named("x " * 500 + "we say it is licensed under the\nApache License, version 2.0 " + "y " * 500) == "apache-2.0"
+    mit = licenses.TEMPLATES["mit"][-1]
+    assert named(mit[:200]) == "mit" and named(mit.replace("copy", "kopie")) == "mit"
+    assert named("Copyright (c) X. All rights reserved. " + mit + " Anything else.") == "mit"
+    for name, texts in licenses.TEMPLATES.items():
+        assert {named(t) for t in texts} == {name}
+    assert named("this is free of charge and under the general public") is None
+
+
 def test_digest_query_hashes_kept_words(spark, tmp_path):
     rows = corpus()
     frame(spark, rows).select("doc_id", "text").write.parquet(str(tmp_path / "documents.parquet"))
