@@ -112,6 +112,18 @@ def test_cascade_is_exact_over_the_universe(spark, monkeypatch, limit):
     assert {r.page_id for r in found.where("verdict = 'block'").collect()} == set(range(0, 3000, 11))
 
 
+def test_short_list_over_a_large_universe(spark, monkeypatch):
+    """The false positives decide about the slices, so no level grows beyond its bound."""
+    monkeypatch.setattr(urls, "SLICE_KEYS", 60)
+    sizes, level = [], urls.Level
+    monkeypatch.setattr(urls, "Level", lambda m, n, s: (sizes.append((s, m.groupBy("slice").count().agg(F.max("count")).first()[0])), level(m, n, s))[1])
+    pages = spark.range(20000).selectExpr("id AS page_id", "concat('http://host', id, '.net/') AS url")
+    listed = spark.createDataFrame([(f"host{i}.net/",) for i in (5, 700, 19000)], "key string")
+    found = urls.filter_urls(pages, listed)
+    assert {r.page_id for r in found.where("verdict = 'block'").collect()} == {5, 700, 19000}
+    assert sizes[0][0] >= 4 and max(most for _, most in sizes) < 120
+
+
 def test_sharding(spark):
     rows = corpus() + [(None, "null id"), (None, None)]
     found = sharding.shard_documents(frame(spark, rows), n_shards=4).collect()

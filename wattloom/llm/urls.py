@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -21,7 +22,7 @@ RULES = (
     ("block", "com/de/"),
 )
 BITS_PER_KEY, HASHES = 10, 4
-#: Listed keys in one slice of a cascade, some 125 KB of filter a level.
+#: Keys in one level of a slice of a cascade, some 125 KB of filter.
 SLICE_KEYS = 100_000
 
 
@@ -121,9 +122,10 @@ def filter_urls(pages: DataFrame, blocklist: DataFrame, rules: Sequence[tuple[st
 
     A fitting rule decides; otherwise the page is blocked if its ``host || path`` is among the
     keys of ``blocklist`` (column ``key``; null keys and repeats are ignored). The keys of the
-    pages are the universe over which a cascade of filters is exact. Up to ``SLICE_KEYS`` listed
-    keys the filters are constants of the plan and the pages are only mapped; longer lists are
-    cut into slices by a hash of the key, and every page meets the filters of its slice. Null
+    pages are the universe over which a cascade of filters is exact. As long as no level holds
+    more than ``SLICE_KEYS`` keys, listed ones or false positives among the others, the filters are
+    constants of the plan and the pages are only mapped; beyond that the keys are cut into slices
+    by a hash, and every page meets the filters of its slice. Null
     urls have an empty host and path. Every row is judged by itself.
     """
     host, path = host_and_path(F.col("url"))
@@ -135,7 +137,10 @@ def filter_urls(pages: DataFrame, blocklist: DataFrame, rules: Sequence[tuple[st
     marks = blocklist.select("key").where("key IS NOT NULL").distinct().withColumn("mark", F.lit(True))
     universe = keys.join(marks, "key", "left").select("key", F.expr("mark IS NOT NULL").alias("listed"))
     universe = keep(universe, "url-universe")
-    slices = max(1, -(-universe.where("listed").count() // SLICE_KEYS))
+    n = universe.agg(F.count_if("listed").alias("listed"), F.count_if(~F.col("listed")).alias("others")).first()
+    # The second level holds what the first lets through of all other keys, give or take a tenth.
+    passing = 1.1 * (1 - math.exp(-HASHES / BITS_PER_KEY)) ** HASHES
+    slices = max(1, math.ceil(max(n.listed, passing * n.others) / SLICE_KEYS))
     levels = cascade(universe.select("*", _slice(F.col("key"), slices)), slices)
     beside = parsed.select("*", _slice(F.col("key"), slices))
     for level in levels:
