@@ -28,9 +28,14 @@ LEAST = 10
 PART = 2048
 #: A word's count travels to all tasks if the word is clustered by itself or is one in so many tokens or more.
 HEAD = 65536
-CLASSES, ROUNDS, SMOOTH = 64, 6, 20.0
+CLASSES, ROUNDS, SMOOTH = 64, 8, 20.0
+#: One unit in so many may move in a round: where all do, each by the places that the others had,
+#: they overshoot together.
+TURNS = 2
 #: Words that a task combines at a time.
 GATHER = 1 << 20
+#: Pairs of words that a task combines at a time.
+PAIRS = 1 << 20
 
 
 @dataclass
@@ -80,13 +85,13 @@ def _lower() -> np.ndarray:
     return codes
 
 
-def _gathered(parts: Iterator[tuple[np.ndarray, ...]]) -> Iterator[tuple[np.ndarray, ...]]:
-    """Arrays of a few chunks put together, up to about ``GATHER`` numbers at a time."""
+def _gathered(parts: Iterator[tuple[np.ndarray, ...]], most: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Arrays of a few chunks put together, up to about ``most`` numbers at a time."""
     found, size = [], 0
     for part in parts:
         found.append(part)
         size += len(part[0])
-        if size >= GATHER:
+        if size >= most:
             yield tuple(np.concatenate(x) for x in zip(*found, strict=True))
             found, size = [], 0
     if found:
@@ -104,7 +109,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 words = hasher.words(data, offsets)
                 yield words.hashes, _endings(words, lower), np.repeat(held[at:upto], np.diff(words.first))
 
-    for hashes, endings, marks in _gathered(parts()):
+    for hashes, endings, marks in _gathered(parts(), GATHER):
         values, first, place = np.unique(hashes, return_index=True, return_inverse=True)
         every = np.bincount(place, minlength=len(values))
         later = np.bincount(place, weights=marks, minlength=len(values)).astype(np.int64)
@@ -131,192 +136,295 @@ def _unit_run(hasher: Hasher, lower: np.ndarray, model: Model, data: np.ndarray,
     return words, units, text, run
 
 
-def _bigrams(model: Model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _planes(numbers: np.ndarray) -> bytes:
+    """Numbers from 0 on in as many bytes as the largest needs; all lowest bytes come first."""
+    size = max(1, (int(numbers.max(initial=0)).bit_length() + 7) // 8)
+    spread = np.ascontiguousarray(numbers.astype("<u8")).view(np.uint8).reshape(-1, 8)
+    return bytes([size]) + np.ascontiguousarray(spread[:, :size].T).tobytes()
+
+
+def _numbers(planes: bytes) -> np.ndarray:
+    size = planes[0]
+    found = np.frombuffer(planes, np.uint8, offset=1).reshape(size, -1)
+    spread = np.zeros((found.shape[1], 8), np.uint8)
+    spread[:, :size] = found.T
+    return spread.view("<i8").ravel()
+
+
+def _shift(width: int) -> int:
+    """Bits of a unit's number in a key."""
+    return max(1, (width - 1).bit_length())
+
+
+def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, ascending, and the sums of their counts."""
+    if not len(keys):
+        return keys, n
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    return keys[first], np.add.reduceat(n[order], first)
+
+
+def _dealt(a: np.ndarray, b: np.ndarray, n: np.ndarray, width: int, parts: int) -> pa.RecordBatch:
+    """Pairs as neighbours of both their units: ``part, keys, counts``, one row a part.
+
+    Unit ``u`` is number ``u // parts`` of part ``u % parts``. A key is that number, the side (1
+    for units before) and the other unit.
+    """
+    unit, other = np.concatenate([a, b]), np.concatenate([b, a])
+    side = np.repeat(np.array([0, 1]), len(a))
+    part = unit % parts
+    key = (unit // parts * 2 + side << _shift(width)) + other
+    order = np.argsort((part * (-(-width // parts) * 2) << _shift(width)) + key)
+    part, key, n = part[order], key[order], np.concatenate([n, n])[order]
+    at = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.empty(0, np.int64)
+    rows = [
+        (int(part[i]), _planes(np.diff(key[i:j], prepend=0)), _planes(n[i:j]))
+        for i, j in zip(at, [*at[1:], len(part)], strict=True)
+    ]
+    columns = list(zip(*rows, strict=True)) or [(), (), ()]
+    types = (pa.int64(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["part", "keys", "counts"]
+    )
+
+
+_DEALT = "part long, keys binary, counts binary"
+
+
+def _bigrams(model: Model, parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, lower = Hasher(lower=True), _lower()
         width = model.width
 
-        def parts() -> Iterator[tuple[np.ndarray, ...]]:
+        def gathered() -> Iterator[tuple[np.ndarray, ...]]:
             for batch in batches:
                 for _, _, data, offsets in chunks(batch.column("data")):
                     units = _unit_run(hasher, lower, model, data, offsets)[3]
                     yield (np.append(0, units[:-1]) * width + units,)
 
-        for (codes,) in _gathered(parts()):
+        for (codes,) in _gathered(gathered(), PAIRS):
             pairs, counts = np.unique(codes, return_counts=True)
-            yield pa.RecordBatch.from_pydict({"pair": pa.array(pairs), "n": pa.array(counts)})
+            yield _dealt(pairs // width, pairs % width, counts, width, parts)
 
     return run
 
 
-def exchange(
-    matrix: np.ndarray, units: list[tuple[int, int, np.ndarray, np.ndarray, float]]
-) -> list[tuple[int, int]]:
-    """Each unit in turn moves to its best class, as the exchange algorithm has it.
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row a part from rows that come ordered by part, with the frequency of its units."""
 
-    ``matrix`` counts class pairs. A unit is its id, its class, its counts before each class,
-    after each class, and after itself. The goal is the likelihood of the class bigrams,
-    ``sum N(c,d) log N(c,d) - sum N(c) log N(c) - sum N(d) log N(d)``. Class 0, the end of a
-    text, takes no part.
-    """
+    def made(part: int, keys: list[np.ndarray], counts: list[np.ndarray]) -> pa.RecordBatch:
+        key, n = _summed(np.concatenate(keys), np.concatenate(counts))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([part]), pa.array([_planes(np.diff(key, prepend=0))]), pa.array([_planes(n)])], ["part", "keys", "counts"]
+        )
 
-    def f(x: np.ndarray) -> np.ndarray:
-        return x * np.log(np.maximum(x, 1.0))
-
-    k, n = len(matrix), matrix.astype(float)
-    every = np.arange(k)
-    moved = []
-    for unit, now, after, before, own in units:
-        # Counts without the unit; ``own`` pairs are in both vectors.
-        n[now, :] -= after
-        n[:, now] -= before
-        n[now, now] += own
-        rest_after, rest_before = after.copy(), before.copy()
-        rest_after[now] -= own
-        rest_before[now] -= own
-        to, by = np.flatnonzero(rest_after), np.flatnonzero(rest_before)
-        row, column = n[:, to], n[by, :].T
-        gain = (f(row + rest_after[to]) - f(row)).sum(axis=1) + (f(column + rest_before[by]) - f(column)).sum(axis=1)
-        corner = n[every, every]
-        both = corner + rest_after + rest_before + own
-        gain += f(both) + f(corner) - f(corner + rest_after) - f(corner + rest_before)
-        rows, columns = n.sum(axis=1), n.sum(axis=0)
-        gain -= f(rows + after.sum()) - f(rows) + f(columns + before.sum()) - f(columns)
-        gain[0] = -np.inf
-        best = int(gain.argmax())
-        if gain[best] <= gain[now] + 1e-9:
-            best = now
-        n[best, :] += rest_after
-        n[:, best] += rest_before
-        n[best, best] += own
-        moved.append((unit, best))
-    return moved
-
-
-def _flat(lists: pa.Array) -> tuple[np.ndarray, ...]:
-    """Row number, side, class and count of all entries of a column of ``sides``."""
-    owner = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
-    return owner, *(c.to_numpy(zero_copy_only=False) for c in lists.flatten().flatten())
-
-
-def _move(matrix: np.ndarray, now: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        k = len(matrix)
-        units = []
-        for batch in batches:
-            owner, side, at, n = _flat(batch.column("sides"))
-            ids = batch.column("unit").to_numpy()
-            sides = np.zeros((len(ids), 3, k))
-            np.add.at(sides, (owner, side, at), n)
-            units += [(int(u), int(now[u]), x[0], x[1], x[2, 0]) for u, x in zip(ids, sides, strict=True)]
-        units.sort(key=lambda u: (-u[2].sum(), u[0]))
-        if units:
-            ids, to = zip(*exchange(matrix, units), strict=True)
-            yield pa.RecordBatch.from_pydict({"unit": pa.array(ids, pa.int64()), "now": pa.array(to, pa.int64())})
+    now, keys, counts, held = None, [], [], 0
+    for batch in batches:
+        for part, k, n in zip(*(batch.column(c).to_pylist() for c in ("part", "keys", "counts")), strict=True):
+            if part != now:
+                if now is not None:
+                    yield made(now, keys, counts)
+                now, keys, counts, held = part, [], [], 0
+            keys.append(np.cumsum(_numbers(k)))
+            counts.append(_numbers(n))
+            held += len(keys[-1])
+            if held > 2 * GATHER:  # equal pairs of other tasks are added up as they come
+                key, total = _summed(np.concatenate(keys), np.concatenate(counts))
+                keys, counts, held = [key], [total], len(key) // 2
+    if now is not None:
+        yield made(now, keys, counts)
 
-    return run
 
+def _f(x: np.ndarray) -> np.ndarray:
+    return x * np.log(np.maximum(x, 1.0))
 
-def _by_class(now: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Counts of neighbours by their class; ``side`` 2 is the unit after itself."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        k = int(now.max()) + 1
+def _side_gain(n: np.ndarray, fn: np.ndarray, mine: np.ndarray, other: np.ndarray, now: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """What the counts ``mine`` after (or before) each unit add to every class, by row of ``n``.
 
-        def parts() -> Iterator[tuple[np.ndarray, ...]]:
-            for batch in batches:
-                unit, side, other, n = (c.to_numpy() for c in batch.columns)
-                own = (unit == other) & (side == 0)
-                code = (unit * 3 + side) * k + now[other]
-                yield np.append(code, (unit[own] * 3 + 2) * k), np.append(n, n[own])
-
-        for codes, counts in _gathered(parts()):
-            order = np.argsort(codes)
-            codes, counts = codes[order], counts[order]
-            first = np.flatnonzero(np.append(True, codes[1:] != codes[:-1])[: len(codes)])
-            sums, codes = np.add.reduceat(counts, first) if len(first) else counts, codes[first]
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "unit": pa.array(codes // (3 * k)),
-                    "side": pa.array((codes // k % 3).astype(np.int32)),
-                    "class": pa.array((codes % k).astype(np.int32)),
-                    "n": pa.array(sums),
-                }
-            )
+    ``n`` counts class pairs, the units' own among them, transposed for the side after; those of
+    a unit are taken out of its class first. Only classes that a unit has a neighbour in matter.
+    """
+    unit, at = np.nonzero(mine)
+    x = mine[unit, at]
+    a = now[unit]
+    base, f_base = n[at], fn[at]  # copies
+    entry = np.arange(len(unit))
+    base[entry, a] -= x
+    same = np.flatnonzero(at == a)
+    base[same] = n[a[same]] - other[unit[same]]
+    base[same, a[same]] += own[unit[same]] - x[same]
+    x[same] -= own[unit[same]]
+    f_base[entry, a] = _f(base[entry, a])
+    f_base[same] = _f(base[same])
+    base += x[:, None]
+    added = _f(base) - f_base
+    out = np.zeros((len(mine), n.shape[1]))
+    first = np.flatnonzero(np.append(True, unit[1:] != unit[:-1])) if len(unit) else unit
+    out[unit[first]] = np.add.reduceat(added, first, axis=0) if len(unit) else 0.0
+    return out
+
+
+def exchange(n: np.ndarray, now: np.ndarray, after: np.ndarray, before: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """The best class of each unit, all against the same counts.
+
+    ``n`` counts class pairs with all units in it. A unit has its class ``now``, its counts by
+    class of what comes after and before it, and its pairs with itself, which are in both. The
+    goal is the likelihood of the class bigrams, ``sum N(c,d) log N(c,d) - sum N(c) log N(c) -
+    sum N(d) log N(d)``. Class 0, the end of a text, takes no part.
+    """
+    row = np.arange(len(now))
+    fn = _f(n)
+    gain = _side_gain(n.T, fn.T, after, before, now, own) + _side_gain(n, fn, before, after, now, own)
+    rest_after, rest_before = after.copy(), before.copy()
+    rest_after[row, now] -= own
+    rest_before[row, now] -= own
+    corner = np.repeat(np.diagonal(n)[None], len(now), axis=0)
+    corner[row, now] += own - after[row, now] - before[row, now]
+    both = corner + rest_after + rest_before + own[:, None]
+    gain += _f(both) + _f(corner) - _f(corner + rest_after) - _f(corner + rest_before)
+    for total, mine in ((n.sum(axis=1), after.sum(axis=1)), (n.sum(axis=0), before.sum(axis=1))):
+        without = np.repeat(total[None], len(now), axis=0)
+        without[row, now] -= mine
+        gain -= _f(without + mine[:, None]) - _f(without)
+    gain[:, 0] = -np.inf
+    best = gain.argmax(axis=1)
+    return np.where(gain[row, best] > gain[row, now] + 1e-9, best, now)
+
+
+def _moved(n: np.ndarray, now: np.ndarray, to: np.ndarray, after: np.ndarray, before: np.ndarray, own: np.ndarray) -> None:
+    """Takes the counts of units that change their class along, in place."""
+    at = np.flatnonzero(now != to)
+    a, c, p, q, o = now[at], to[at], after[at].copy(), before[at].copy(), own[at]
+    np.add.at(n, a, -p)
+    np.add.at(n.T, a, -q)
+    np.add.at(n, (a, a), o)
+    p[np.arange(len(at)), a] -= o
+    q[np.arange(len(at)), a] -= o
+    np.add.at(n, c, p)
+    np.add.at(n.T, c, q)
+    np.add.at(n, (c, c), o)
+
+
+def _round(now: np.ndarray, guess: np.ndarray | None, width: int, parts: int, k: int, moving: int):
+    """The class pair counts, and with a guess of them the units that move.
+
+    Rows ``key, n, change``: a class pair ``c * k + d`` as ``-1 - key`` with its count now and
+    its change by moves, and a unit with its new class. The units of a part move the most
+    frequent first, one by one and then in growing groups that see each other's places before.
+    """
 
-    return run
+    shift = _shift(width)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count, change = np.zeros((k, k)), np.zeros((k, k))
+        for batch in batches:
+            for part, keys, counts in zip(*(batch.column(c).to_pylist() for c in ("part", "keys", "counts")), strict=True):
+                key, times = np.cumsum(_numbers(keys)), _numbers(counts)
+                place, other = key >> shift, key & (1 << shift) - 1
+                local = place[-1] // 2 + 1
+                sides = np.bincount(place * k + now[other], weights=times, minlength=local * 2 * k).reshape(local, 2, k)
+                after, before = sides[:, 0], sides[:, 1]
+                unit = np.arange(local) * parts + part
+                self_pair = (place % 2 == 0) & (other == unit[place // 2])
+                own = np.bincount(place[self_pair] // 2, weights=times[self_pair], minlength=local)
+                np.add.at(count, now[unit], after)
+                if guess is None:
+                    continue
+                n, done = guess.copy(), 0
+                size = after.sum(axis=1) + before.sum(axis=1)
+                order = np.lexsort((unit, -size))
+                order = order[(size[order] > 0) & (unit[order] > 0) & ((order + moving) % TURNS == 0)]
+                new = now[unit].copy()
+                while done < len(order):
+                    some = order[done : done + max(1, done // 8)]
+                    done += len(some)
+                    args = (new[some], after[some], before[some], own[some])
+                    to = exchange(n, *args)
+                    _moved(n, args[0], to, *args[1:])
+                    np.maximum(n, 0, out=n)
+                    new[some] = to
+                change += n - guess
+                at = np.flatnonzero(new != now[unit])
+                yield _changes(unit[at], new[at], np.zeros(len(at)))
+        pair = np.flatnonzero((count != 0) | (change != 0))
+        yield _changes(-1 - pair, count.ravel()[pair], change.ravel()[pair])
 
-def _neighbours(around: DataFrame, now: np.ndarray) -> tuple[DataFrame, np.ndarray]:
-    """``unit, sides`` with the class neighbours of each unit, and the class pair counts."""
-    counted = around.mapInArrow(_by_class(now.astype(np.int16)), "unit long, side int, class int, n long")
-    # At most 2 * classes + 1 numbers a unit, but for those a task counts in several pieces.
-    sides = counted.groupBy("unit").agg(F.collect_list(F.struct("side", "class", "n")).alias("sides"))
-    ready = keep(sides, "class-neighbours")
-    k = int(now.max()) + 1
+    return run
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matrix = np.zeros((k, k), np.int64)
-        for batch in batches:
-            owner, side, at, n = _flat(batch.column("sides"))
-            after = side == 0
-            np.add.at(matrix, (now[batch.column("unit").to_numpy()][owner[after]], at[after]), n[after])
-        ca, cb = np.nonzero(matrix)
-        yield pa.RecordBatch.from_pydict({"ca": pa.array(ca), "cb": pa.array(cb), "n": pa.array(matrix[ca, cb])})
 
-    matrix = np.zeros((k, k))
-    counted = ready.mapInArrow(rows, "ca long, cb long, n long").groupBy("ca", "cb").agg(F.sum("n").alias("n"))
-    for r in counted.collect():  # k * k rows at most
-        matrix[r.ca, r.cb] = r.n
-    return ready, matrix
+def _changes(key: np.ndarray, n: np.ndarray, change: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict(
+        {"key": pa.array(key.astype(np.int64)), "n": pa.array(n.astype(np.int64)), "change": pa.array(change.astype(float))}
+    )
 
 
 def _likelihood(matrix: np.ndarray) -> float:
-    def f(x: np.ndarray) -> float:
-        return float((x * np.log(np.maximum(x, 1.0))).sum())
+    return float(_f(matrix).sum() - _f(matrix.sum(axis=0)).sum() - _f(matrix.sum(axis=1)).sum())
 
-    return f(matrix) - f(matrix.sum(axis=0)) - f(matrix.sum(axis=1))
 
+def _clustered(
+    dealt: DataFrame, frequency: np.ndarray, parts: int, classes: int, rounds: int
+) -> tuple[np.ndarray, np.ndarray]:
+    k, width = classes + 1, len(frequency)
+    # A part's rows, one from each task that had some, are put together one after the other.
+    ordered = dealt.repartition(parts, "part").sortWithinPartitions("part")
+    table = keep(ordered.mapInArrow(_merge, _DEALT), "unit-neighbours")
+    now = np.zeros(max(width, k), np.int64)
+    now[1:] = 1 + np.arange(len(now) - 1) % classes
+    rest = np.arange(1, width)
+    now[rest[np.lexsort((rest, -frequency[1:]))]] = 1 + np.arange(width - 1) % classes
 
-def cluster(pairs: DataFrame, classes: int = CLASSES, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
-    """Class of each unit of ``pairs(a, b, n)`` by exchange clustering, and the class pair counts.
-
-    Each round counts class neighbours over all pairs in parallel. Tasks then move ``PART`` units
-    each, the most frequent first, and see the moves of their own units only; the classes of the
-    likeliest round are returned. The parts depend on the units alone. Units start dealt to the
-    classes by frequency. Unit 0 is the end of a text, alone in class 0. All tasks and the driver
-    hold a number per unit.
-    """
-    around = F.array(
-        F.struct(F.col("a").alias("unit"), F.lit(0).alias("side"), F.col("b").alias("other"), "n"),
-        F.struct(F.col("b").alias("unit"), F.lit(1).alias("side"), F.col("a").alias("other"), "n"),
-    )
-    # The neighbours of a unit, at most twice as many as there are units, lie together.
-    around = keep(pairs.select(F.inline(around)).repartition("unit"), "unit-neighbours")
-    total = around.where("side = 1 AND unit != 0").groupBy("unit").agg(F.sum("n").alias("n")).toArrow()
-    units, n = (total.column(c).to_numpy() for c in ("unit", "n"))
-    now = np.zeros(max(units.max(initial=0) + 1, classes + 1), np.int64)
-    now[1:] = 1 + np.arange(len(now) - 1) % classes  # a unit without pairs
-    now[units[np.lexsort((units, -n))]] = 1 + np.arange(len(units)) % classes
-    parts = -(-len(units) // PART) or 1
     best: tuple[float, np.ndarray, np.ndarray] | None = None
-    for left in range(rounds, -1, -1):
-        ready, matrix = _neighbours(around, now)
+    guess = None
+    for moving in range(rounds + 2):
+        # The first pass and the last only count, the others move by what the pass before expects.
+        expected = guess if moving <= rounds else None
+        result = table.mapInArrow(_round(now, expected, width, parts, k, moving), "key long, n long, change double")
+        rows = result.groupBy("key").agg(F.sum("n").alias("n"), F.sum("change").alias("change")).toArrow()
+        key, n, change = (rows.column(c).to_numpy() for c in ("key", "n", "change"))
+        pair = key < 0
+        matrix, delta = np.zeros(k * k), np.zeros(k * k)
+        matrix[-1 - key[pair]], delta[-1 - key[pair]] = n[pair], change[pair]
+        matrix, delta = matrix.reshape(k, k), delta.reshape(k, k)
         likelihood = _likelihood(matrix)
         if best is None or likelihood > best[0]:
             best = likelihood, now, matrix
-        if not left:
-            break
-        moving = ready.where("unit != 0").repartition(parts, "unit")
-        moved = moving.mapInArrow(_move(matrix, now), "unit long, now long").toArrow()
-        new = now.copy()
-        new[moved.column("unit").to_numpy()] = moved.column("now").to_numpy()
-        if (new == now).all():
-            break
-        now = new
+        if guess is not None and pair.all():
+            break  # nothing moves any more
+        guess = np.maximum(matrix + delta, 0)
+        now = now.copy()
+        now[key[~pair]] = n[~pair]
     return best[1], best[2]
 
 
+def cluster(pairs: DataFrame, classes: int = CLASSES, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+    """Class of each unit of ``pairs(a, b, n)`` by exchange clustering, and the class pair counts.
+
+    The neighbours of a unit are brought together once. Each round is one pass over them: a task
+    sums a unit's neighbours by class and moves the units of a part, ``PART`` of them, which see
+    each other's moves and those of the round before. One unit in ``TURNS`` may move in a round,
+    and the classes of the likeliest round are returned. Parts and turns depend on the units alone.
+    Units start dealt to the classes by frequency. Unit 0 is the end of a text, alone in class 0.
+    All tasks and the driver hold a number per unit. No pairs give classes without counts.
+    """
+    counted = pairs.groupBy("b").agg(F.sum("n").alias("n"), F.max("a").alias("a")).toArrow()
+    unit, n, before = (counted.column(c).to_numpy() for c in ("b", "n", "a"))
+    width = int(max(unit.max(initial=0), before.max(initial=0))) + 1
+    frequency = np.zeros(width, np.int64)
+    frequency[unit] = n
+    parts = -(-width // PART)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield _dealt(*(batch.column(c).to_numpy() for c in "abn"), width, parts)
+
+    dealt = pairs.select("a", "b", "n").mapInArrow(deal, _DEALT)
+    return _clustered(dealt, frequency, parts, classes, rounds)
+
+
 def _score(model: Model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Per text a row of sums, and a row for each of its words whose count is not in the model."""
 
@@ -402,13 +510,17 @@ def score_documents(docs: DataFrame, held_out: Column) -> DataFrame:
     order = np.argsort(hashes)
     model.head_hashes, model.head_counts = hashes[order], seen[order]
     model.unit_hashes = model.head_hashes[model.head_counts >= LEAST]
-    rarer = counts.where((F.col("train") > 0) & (F.col("train") < LEAST)).select("ending").distinct()
-    model.endings = np.sort(rarer.toArrow().column("ending").to_numpy().astype(np.int64))
+    rarer = counts.where((F.col("train") > 0) & (F.col("train") < LEAST)).groupBy("ending").agg(F.sum("train").alias("n"))
+    rarer = rarer.toArrow()
+    order = np.argsort(rarer.column("ending").to_numpy())
+    model.endings = rarer.column("ending").to_numpy()[order].astype(np.int64)
     width = model.width
+    often = model.head_counts[model.head_counts >= LEAST]
+    frequency = np.concatenate([[ends], rarer.column("n").to_numpy()[order], [0], often]).astype(np.int64)
 
-    pairs = rows.where("NOT held").mapInArrow(_bigrams(model), "pair long, n long")
-    pairs = pairs.groupBy("pair").agg(F.sum("n").alias("n"))
-    now, matrix = cluster(pairs.select(F.expr(f"pair div {width}").alias("a"), F.expr(f"pair % {width}").alias("b"), "n"))
+    parts = -(-width // PART)
+    dealt = rows.where("NOT held").mapInArrow(_bigrams(model, parts), _DEALT)
+    now, matrix = _clustered(dealt, frequency, parts, CLASSES, ROUNDS)
     k = len(matrix)
     model.classes = np.zeros(max(width, len(now)), np.int64)
     model.classes[: len(now)] = now
