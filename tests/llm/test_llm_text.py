@@ -87,7 +87,7 @@ def near_copies(seed=5, groups=6, size=25):
     return rows
 
 
-@pytest.mark.parametrize("piece", [triejoin.PIECE, 700])
+@pytest.mark.parametrize("piece", [triejoin.PIECE, 700, 30])
 def test_jaccard_components_match_brute_force(spark, monkeypatch, piece):
     monkeypatch.setattr(triejoin, "PIECE", piece)  # the small one joins blocks in several pieces
     monkeypatch.setattr(triejoin, "CELLS", 4000 if piece == 700 else triejoin.CELLS)
@@ -104,6 +104,18 @@ def test_one_of_each_component_stays(spark):
     assert triejoin.jaccard_components(docs.limit(0)).count() == 0
 
 
+def test_blocks_of_loose_ties_are_joined_tie_by_tie(spark, monkeypatch):
+    """Short texts of few words hang together by runs that mean little, and some are alike."""
+    monkeypatch.setattr(triejoin, "PIECE", 40)
+    rng = random.Random(8)
+    rows = [(i, prose(rng, rng.randrange(5, 14), 4)) for i in range(250)]
+    units, found = [], triejoin._units
+    monkeypatch.setattr(triejoin, "_units", lambda *a: (units.append(found(*a)), units[-1])[1])
+    assert got(triejoin.jaccard_components(frame(spark, rows)), *COLUMNS) == linked(rows)
+    ways = units[0].selectExpr("block", "inline(units)").groupBy("block").agg({"tie": "count"}).collect()
+    assert any(r["count(tie)"] > 100 for r in ways)  # a block with a unit for each tie
+
+
 def test_trie_join_finds_all_pairs():
     rng = np.random.default_rng(1)
     base = rng.choice(400, 60, replace=False)

@@ -126,7 +126,7 @@ def _members(gram: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
             for at, _, data, offsets in chunks(batch.column("data")):
                 for i, grams in enumerate(_sets(hasher, data, offsets, gram), at):
                     grams_of.append(grams.tobytes() if len(grams) and _set_id(grams) == wanted[i] else None)
-            columns = {n: batch.column(n) for n in ("block", "pieces", "set", "n", "copies")}
+            columns = {n: batch.column(n) for n in ("block", "units", "ties", "set", "n", "copies")}
             yield pa.RecordBatch.from_pydict(columns | {"grams": pa.array(grams_of, pa.binary())})
 
     return run
@@ -216,11 +216,24 @@ def trie_join(
             k += 1
 
 
-def _join_block(sets: list[np.ndarray], copies: np.ndarray, first: list[int], second: list[int], percent: int):
-    """Component labels and weighted link counts of one piece or pair of pieces."""
+def _join_block(
+    sets: list[np.ndarray],
+    copies: np.ndarray,
+    first: list[int],
+    second: list[int],
+    percent: int,
+    tie: int = 0,
+    ties: list[np.ndarray] | None = None,
+):
+    """Component labels and weighted link counts of one piece or pair of pieces.
+
+    With ``ties``, the sorted ties of each set, only pairs whose first common one is ``tie`` count.
+    """
     label, links = np.arange(len(sets)), np.zeros(len(sets), np.int64)
     for i, found in trie_join(sets, first, second, percent):
         found = found[found != i]
+        if ties is not None and len(found):
+            found = found[[np.intersect1d(ties[i], ties[j], assume_unique=True)[0] == tie for j in found]]
         if not len(found):
             continue
         links[i] += copies[found].sum()
@@ -232,17 +245,22 @@ def _join_block(sets: list[np.ndarray], copies: np.ndarray, first: list[int], se
     return label, links
 
 
+_JOINED = ("block", "tie", "one", "two", "piece", "set", "copies", "grams", "pieces", "ties")
+
+
 def _blocks(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Joins the blocks of a partition sorted by block and pair of pieces, one at a time."""
-
-    def joined(rows: list[tuple]) -> pa.RecordBatch | None:
-        one, two = rows[0][1], rows[0][2]
-        rows = list({r[4]: r for r in rows}.values())
-        sets = [np.frombuffer(r[6], np.uint64) for r in rows]
-        first = [i for i, r in enumerate(rows) if r[3] == one]
-        second = first if one == two else [i for i, r in enumerate(rows) if r[3] == two]
-        label, links = _join_block(sets, np.array([r[5] for r in rows]), first, second, percent)
-        ids, whole = [r[4] for r in rows], rows[0][7] == 1
+    """Joins the units of a partition sorted by block, tie and pair of pieces, one at a time."""
+
+    def joined(rows: list[dict]) -> pa.RecordBatch | None:
+        tie, one, two = (rows[0][c] for c in ("tie", "one", "two"))
+        rows = list({r["set"]: r for r in rows}.values())
+        sets = [np.frombuffer(r["grams"], np.uint64) for r in rows]
+        first = [i for i, r in enumerate(rows) if r["piece"] == one]
+        second = first if one == two else [i for i, r in enumerate(rows) if r["piece"] == two]
+        ties = [np.sort(np.array(r["ties"], np.int64)) for r in rows] if tie is not None else None
+        copies = np.array([r["copies"] for r in rows])
+        label, links = _join_block(sets, copies, first, second, percent, tie, ties)
+        ids, whole = [r["set"] for r in rows], tie is None and rows[0]["pieces"] == 1
         return pa.RecordBatch.from_pydict(
             {
                 "a": pa.array(ids, pa.int64()),
@@ -255,21 +273,23 @@ def _blocks(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, rows = None, []
         for batch in batches:
-            names = ("block", "one", "two", "piece", "set", "copies", "grams", "pieces")
-            for row in zip(*(batch.column(n).to_pylist() for n in names), strict=True):
-                if row[:3] != key:
+            for values in zip(*(batch.column(n).to_pylist() for n in _JOINED), strict=True):
+                if values[:4] != key:
                     if rows:
                         yield joined(rows)
-                    key, rows = row[:3], []
-                rows.append(row)
+                    key, rows = values[:4], []
+                rows.append(dict(zip(_JOINED, values, strict=True)))
         if rows:
             yield joined(rows)
 
     return run
 
 
-def _candidates(tokens: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
-    """``a, b``: sets tied by a token of both prefixes and by size, as stars around one of them."""
+def _ties(tokens: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
+    """``set, tie, head``: sets by the tokens of their prefixes and by size, where several share one.
+
+    Sets that can link have a tie in common; ``head`` is the smallest set of a tie.
+    """
     counts = tokens.groupBy("token").agg(F.count("*").alias("rows")).where("rows > 1")
     shared = tokens.join(counts, "token")
     # The tokens of one set; bounded by its text.
@@ -295,7 +315,40 @@ def _candidates(tokens: DataFrame, profiles: DataFrame, percent: int) -> DataFra
     tied = tied.select("set", "token", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("band"))
     tied = keep(tied, "prefix-tokens")
     heads = tied.groupBy("token", "band").agg(F.min("set").alias("b"), F.max("set").alias("last")).where("b != last")
-    return tied.join(heads, ["token", "band"]).where("set != b").select(F.col("set").alias("a"), "b").distinct()
+    return tied.join(heads, ["token", "band"]).select("set", F.xxhash64("token", "band").alias("tie"), F.col("b").alias("head"))
+
+
+def _units(placed: DataFrame, ties: DataFrame) -> DataFrame:
+    """``placed`` with the units in which each set is joined, ``tie, pieces``, and its ties if needed.
+
+    A block within ``PIECE`` n-grams is one unit. A larger one is cut into pieces that all meet
+    each other, or, if that sends fewer n-grams, into one unit for each tie.
+    """
+    sizes = keep(placed.groupBy(F.col("block").alias("of")).agg(F.sum("n").alias("grams")), "block-sizes")
+    nothing = F.lit(None).cast("array<long>")
+    one = F.array(F.struct(F.lit(None).cast("long").alias("tie"), F.lit(1).alias("pieces")))
+    large = sizes.where(F.col("grams") > PIECE)
+    if large.isEmpty():
+        return placed.select("*", one.alias("units"), nothing.alias("ties"))
+    pieces = lambda grams: F.ceil(F.col(grams) / PIECE).cast("int")
+    members = placed.join(large, F.col("block") == F.col("of")).select("set", "n", "block", "grams")
+    # The ties of a set are bounded by its text.
+    own = ties.join(members.withColumnRenamed("set", "member"), F.col("set") == F.col("member"))
+    own = keep(own.groupBy("set", "n", "block", "grams").agg(F.collect_set("tie").alias("ties")), "large-blocks")
+    by_tie = own.groupBy(F.col("block").alias("of")).agg(
+        (F.sum(F.col("n") * F.size("ties")) < F.max("grams") * F.max(pieces("grams"))).alias("by_tie")
+    )
+    own = own.join(by_tie, F.col("block") == F.col("of")).drop("of")
+    each = own.where("by_tie").select("set", "block", "n", F.explode("ties").alias("tie"))
+    of_tie = each.groupBy(F.col("block").alias("of"), F.col("tie").alias("by")).agg(F.sum("n").alias("tie_grams"))
+    each = each.join(of_tie, (F.col("block") == F.col("of")) & (F.col("tie") == F.col("by")))
+    each = each.groupBy("set").agg(F.collect_list(F.struct("tie", pieces("tie_grams").alias("pieces"))).alias("units"))
+    each = each.join(own.where("by_tie").select("set", "ties"), "set")
+    cut = F.array(F.struct(F.lit(None).cast("long").alias("tie"), pieces("grams").alias("pieces")))
+    plans = each.unionByName(own.where("NOT by_tie").select("set", cut.alias("units"), nothing.alias("ties")))
+    plans = keep(plans, "units").withColumnRenamed("set", "planned").withColumnRenamed("units", "several")
+    found = placed.join(plans, F.col("set") == F.col("planned"), "left").drop("planned")
+    return found.withColumn("units", F.coalesce("several", one)).drop("several")
 
 
 def jaccard_components(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT) -> DataFrame:
@@ -312,31 +365,33 @@ def jaccard_components(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT
     rows = docs.select("doc_id", F.col("text").cast("binary").alias("data"))
     profiles = keep(rows.mapInArrow(_profiles(gram, percent), f"doc_id {kind}, n int, set long, counted int"), "set-profiles")
     tokens = rows.mapInArrow(_tokens(gram, percent), "token long, set long")
-    blocks = components(_candidates(tokens, profiles, percent))
+    ties = _ties(tokens, profiles, percent)
+    blocks = components(ties.where("set != head").select(F.col("set").alias("a"), F.col("head").alias("b")).distinct())
     classes = profiles.where("n > 0").groupBy("set").agg(
         F.min("doc_id").alias("id"), F.min("n").alias("n"), F.count("*").alias("copies")
     )
     placed = classes.join(blocks, F.col("set") == F.col("node")).drop("node").withColumnRenamed("root", "block")
     placed = keep(placed, "blocks")
-    sizes = placed.groupBy(F.col("block").alias("of")).agg(F.ceil(F.sum("n") / PIECE).cast("int").alias("pieces"))
-    placed = placed.join(sizes, F.col("block") == F.col("of")).drop("of")
+    placed = _units(placed, ties)
 
     # The number of classes grows with the documents, so this is never a broadcast.
     texts = rows.join(placed.hint("merge"), F.col("doc_id").eqNullSafe(F.col("id")))
     members = texts.mapInArrow(
-        _members(gram), "block long, pieces int, set long, n int, copies long, grams binary"
+        _members(gram),
+        "block long, units array<struct<tie: long, pieces: int>>, ties array<long>, set long, n int, copies long, grams binary",
     )
-    members = members.where("grams IS NOT NULL")
+    members = members.where("grams IS NOT NULL").select("*", F.inline("units"))
     members = members.withColumn("piece", F.pmod(F.xxhash64("set"), F.col("pieces")).cast("int"))
-    # A block in g pieces is joined as all pairs of pieces, so each member is sent g times.
+    # A unit in g pieces is joined as all pairs of pieces, so each member is sent g times.
     paired = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
     paired = paired.select(
-        "block", F.least("piece", "other").alias("one"), F.greatest("piece", "other").alias("two"),
-        "piece", "set", "copies", "grams", "pieces",
+        "block", "tie", F.least("piece", "other").alias("one"), F.greatest("piece", "other").alias("two"),
+        "piece", "set", "copies", "grams", "pieces", "ties",
     )
-    paired = paired.repartition("block", "one", "two").sortWithinPartitions("block", "one", "two")
+    units = ("block", "tie", "one", "two")
+    paired = paired.repartition(*units).sortWithinPartitions(*units)
     joined = keep(paired.mapInArrow(_blocks(percent), "a long, b long, links long, whole boolean"), "set-links")
-    # A block joined as one has its components already; those in pieces are put together.
+    # A block joined as one has its components already; those of other units are put together.
     roots = joined.where("whole").select(F.col("a").alias("node"), F.col("b").alias("root"))
     roots = roots.unionByName(components(joined.where("NOT whole").select("a", "b")))
     links = joined.groupBy(F.col("a").alias("linked")).agg(F.sum("links").alias("others"))
