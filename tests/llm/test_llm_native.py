@@ -176,6 +176,19 @@ def test_equal_texts_share_a_shard(spark):
     assert near and spread(places(rows)) == {crc(hot)}
 
 
+def test_a_new_shard_takes_little_from_the_others(spark):
+    """With one shard more, texts move, but far fewer than a deal by remainder would move."""
+    rng = random.Random(3)
+    rows = [(i, "x" * rng.randrange(1, 400) + str(i)) for i in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    before, after = ({r.doc_id: (r.shard, r.size) for r in sharding.shard_documents(docs, n).collect()} for n in (8, 9))
+    total = sum(size for _, size in before.values())
+    moved = sum(size for i, (shard, size) in before.items() if after[i][0] != shard)
+    to_new = sum(size for i, (_, size) in before.items() if after[i][0] == 8)
+    assert abs(to_new / total - 1 / 9) < 0.01
+    assert moved < 0.35 * total  # 8 of 9 by remainder; 1 of 9 at least
+
+
 def sized(rows):
     tokens = Counter()
     for i, text, source in rows:

@@ -57,6 +57,10 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW)
     ``start`` counts words from 0. The set of windows is broadcast, keyed by one word of each;
     at every document word that is such a key the windows around it are compared word by word.
     A set over the bound is broadcast in blocks, with a scan of the documents for each.
+
+    Null and empty texts and items have no windows. Rows that share a doc_id are told apart by
+    ``part``, a hash of the text; equal rows give their hits once. Items that share a window are
+    all named. An empty table on either side gives no rows.
     """
     known = keep(benchmark_windows(benchmark, window), "benchmark-windows")
     blocks = max(1, -(-known.count() // BROADCAST_WINDOWS))
@@ -114,14 +118,22 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
 def drop_contaminated(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = 20
 ) -> DataFrame:
-    """The documents that are not contaminated, with all their columns."""
+    """The documents that are not contaminated, with all their columns.
+
+    Null and empty texts stay. Rows that share a doc_id, a null one too, stay or go together. An
+    empty benchmark takes nothing away.
+    """
     bad = contamination(docs, benchmark, window, share).where("contaminated")
     bad = bad.select(F.col("doc_id").alias("contaminated_doc_id"))
     return docs.join(bad, docs["doc_id"].eqNullSafe(bad["contaminated_doc_id"]), "left_anti")
 
 
 def cut_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``doc_id, text`` with hit words cut out; touched texts become their words joined by blanks."""
+    """``doc_id, text`` with hit words cut out; touched texts become their words joined by blanks.
+
+    Texts without a hit, null and empty ones among them, stay as they are. Repeated rows each give
+    a row, and overlapping spans are cut once.
+    """
     hits = benchmark_hits(docs, benchmark, window).groupBy("doc_id", "part")
     hits = hits.agg(F.collect_set(F.struct("start", "length")).alias("spans"))
     hits = hits.select(F.col("doc_id").alias("hit_id"), F.col("part").alias("hit_part"), _covered("spans").alias("hit"))
