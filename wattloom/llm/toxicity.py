@@ -24,6 +24,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Labelled documents that the dictionaries are trained on, at most, by a hash of doc_id.
 TOXIC_SAMPLE, ORDINARY_SAMPLE = 1000, 2000
+#: A longer text is scored like any other but left out of the sample, which so is bounded in bytes.
+SAMPLE_BYTES = 1 << 17
 #: Typical word beginnings per dictionary, and frequent words in both.
 TYPICAL, FREQUENT = 64, 600
 #: Saved bytes at which windows are counted.
@@ -197,7 +199,8 @@ def held_out(doc_id: Column) -> Column:
 def fit(docs: DataFrame, labels: DataFrame) -> Dictionaries:
     """Trains on rows with a label that are not held out, a bounded sample of each kind.
 
-    A doc_id with several labels counts as toxic if one says so; null labels do not count.
+    The sample is ``TOXIC_SAMPLE`` and ``ORDINARY_SAMPLE`` doc_ids by a hash, less texts of more
+    than ``SAMPLE_BYTES``. A doc_id with several labels counts as toxic if one says so; null labels do not count.
     """
     marks = labels.select("doc_id", "toxic").where("toxic IS NOT NULL AND doc_id IS NOT NULL")
     marks = marks.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -205,7 +208,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Dictionaries:
     for label, most in ((1, TOXIC_SAMPLE), (0, ORDINARY_SAMPLE)):
         picked = marks.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
         ids = [r.doc_id for r in picked.select("doc_id").collect()]
-        rows = docs.where(F.col("doc_id").isin(ids)).select("doc_id", F.col("text").cast("binary").alias("data"))
+        some = docs.where(F.col("doc_id").isin(ids) & (F.coalesce(F.octet_length("text"), F.lit(0)) <= SAMPLE_BYTES))
+        rows = some.select("doc_id", F.col("text").cast("binary").alias("data"))
         found = {r.doc_id: bytes(r.data or b"") for r in rows.orderBy("data").collect()} if ids else {}
         texts.append([found[i] for i in ids if i in found])
     return train(*texts)
