@@ -1,4 +1,6 @@
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from wattloom.operators import fit, fit_curve
@@ -93,3 +95,32 @@ def test_origin_and_no_group(spark):
     (r,) = fit_curve(df, [], degree=3, origin=220.0).collect()
     np.testing.assert_allclose([r.c0, r.c1, r.c2, r.c3], [2, 3, -5, 7], rtol=1e-8)
     assert fit_curve(df.limit(0), ["g"], degree=2).count() == 0
+
+
+def test_rows_of_small_groups_travel_as_they_are(spark, monkeypatch):
+    """Mixed rows of many groups: no part and no mostly empty tile for each; a large group is still parts."""
+    rng = np.random.default_rng(5)
+    tiles = []
+    qr = np.linalg.qr
+    monkeypatch.setattr(fit.np.linalg, "qr", lambda a, mode: tiles.append(a.size) or qr(a, mode=mode))
+    g = np.concatenate([np.arange(1000).repeat(8), np.full(2000, 1000)])
+    x = rng.uniform(200, 240, len(g))
+    y = 3 - 2 * x + rng.normal(0, 1, len(g))
+    mix = rng.permutation(len(g))
+    batch = pa.record_batch({"g": g[mix], "_u": x[mix], "_v": y[mix]})
+    records = pa.Table.from_batches(fit._parts(["g"], 3)(iter([batch])))
+    assert records.num_rows == 8001 and records.filter(pc.is_valid(records["_part"]))["g"].to_pylist() == [1000]
+    assert sum(tiles) < 4 * 5 * 2000
+    records = records.sort_by("g")
+    (whole,) = fit._whole(["g"], 3, 0.0)(iter(records.combine_chunks().to_batches()))
+    assert whole.column("points").to_pylist() == [8] * 1000 + [2000] and sum(tiles) < 4 * 5 * len(g)
+
+    df = spark.createDataFrame(zip(g.tolist(), x.tolist(), y.tolist()), "g long, volt_c double, power double").repartition(3)
+    for held in (100, 100_000):
+        monkeypatch.setattr(fit, "HELD", held)
+        got = {r.g: r for r in fit_curve(df, ["g"], degree=1).collect()}
+        assert len(got) == 1001
+        for k in (0, 500, 1000):
+            c1, c0 = np.polyfit(x[g == k], y[g == k], 1)
+            assert got[k].points == (g == k).sum()
+            np.testing.assert_allclose([got[k].c0, got[k].c1], [c0, c1], rtol=1e-9)
