@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import EPOCH, rows, ts_of
-from wattloom.operators import day_curve_pivot, phase_pivot, power_pivot, unpivot_curve
+from wattloom.operators import day_curve_pivot, phase_pivot, power_pivot, slot_columns, unpivot_curve
 from wattloom.settings import DAY_CURVES, FACTOR_PHASES, VOLT_PHASES
 
 
@@ -84,3 +84,16 @@ def test_phase_pivots(spark):
     assert rows(phase_pivot(long, "v", FACTOR_PHASES).filter("dti = 2"), "pfsum", "pf_c") == [(0.9, 0.5)]
     power = long.select("id", "ts", "dti", F.lit(6).alias("data_type"), F.col("v").alias("power"))
     assert rows(power_pivot(power), "dti", "psum", "qa") == [(1, None, 221.0), (2, None, 0.9)]
+
+
+def test_wide_rows_are_laid_out_after_the_shuffle(spark):
+    """Readings are narrow rows until the cells of a group are together: no wide partial row is shuffled."""
+    df = spark.createDataFrame(
+        [(1, 1, 5.0), (1, 1, 7.0), (1, 96, 2.0), (2, 3, None), (2, None, 4.0), (None, 2, 1.0)], "id long, idx int, v double"
+    )
+    wide = slot_columns(df, ["id"], "idx", "v", {n: f"U{n}" for n in range(1, 97)})
+    plan = wide._jdf.queryExecution().executedPlan().toString()
+    above, below = plan.split("Exchange", 1)
+    assert "partial_max(CASE" in above and "CASE" not in below
+    got = {tuple(r) for r in wide.select("id", "U1", "U2", "U3", "U96").collect()}
+    assert got == {(1, 7.0, None, None, 2.0), (2, None, None, None, None), (None, None, 1.0, None, None)}

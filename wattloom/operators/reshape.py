@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, GroupedData
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.functions.codes import date_text
@@ -64,15 +64,19 @@ def power_pivot(power: DataFrame) -> DataFrame:
     return phase_pivot(power, "power", POWER_TYPES, flag="data_type")
 
 
-def slot_columns(rows: GroupedData, slot: str, value: str, names: Mapping[int, str]) -> DataFrame:
-    """Largest value per slot number, one column per entry of ``names``.
+def slot_columns(
+    rows: DataFrame, by: Sequence[str], slot: str, value: str, names: Mapping[int, str]
+) -> DataFrame:
+    """Largest value per slot number for each ``by``, one column per entry of ``names``.
 
-    Conditional maxima need one shuffle of one wide row per group and task. ``pivot`` would
-    group by the slot too, scatter the 96 slots of a day over all reducers and then shuffle a
-    mostly empty wide row from each of them.
+    Each cell is reduced to its largest value first, as a narrow row, and the cells of a group are
+    brought together before they are laid out. Wide partial rows would fill the memory of a task
+    that meets many groups with few readings each, as when the readings of many meters come mixed.
+    ``pivot`` would scatter the slots over all reducers and shuffle mostly empty wide rows.
     """
-    cells = [f"max(CASE WHEN {slot} = {n} THEN {value} END) AS {c}" for n, c in names.items()]
-    return rows.agg(*[F.expr(cell) for cell in cells])
+    cells = rows.groupBy(*by, slot).agg(F.max(value).alias(value)).repartition(*by)
+    columns = [F.expr(f"max(CASE WHEN {slot} = {n} THEN {value} END) AS {c}") for n, c in names.items()]
+    return cells.groupBy(*by).agg(*columns)
 
 
 def day_curve_pivot(summary: DataFrame, code: str, *, first_bucket: int = 2) -> DataFrame:
@@ -89,7 +93,7 @@ def day_curve_pivot(summary: DataFrame, code: str, *, first_bucket: int = 2) ->
         bucket(F.col("datetimeintervalid") - first_bucket).cast("int").alias("_slot"),
         "value",
     )
-    cells = slot_columns(rows.groupBy("meterid", "mdate"), "_slot", "value", names)
+    cells = slot_columns(rows, ["meterid", "mdate"], "_slot", "value", names)
     return cells.select(
         "meterid",
         date_text(F.col("mdate")).alias("mdate"),
