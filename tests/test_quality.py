@@ -129,3 +129,14 @@ def test_slot_stats_match_numpy(spark):
             [r["mean"], r.variance, r.norm_l1, r.norm_l2],
             [column.mean(), column.var(ddof=1), np.abs(column).sum(), np.sqrt((column**2).sum())],
         )
+
+
+def test_runs_are_joined_in_their_sort(spark):
+    """Only repeated points are aggregated; events keep their least ``ts``, and null points stay apart."""
+    points = [(1, ts_of(d), d) for d in (3, 4, 5, 6, 7, 12, 13)] + [(1, ts_of(1), 6), (1, None, 12), (1, ts_of(9), None), (None, ts_of(2), 2)]
+    df = spark.createDataFrame(points, "id long, ts timestamp_ntz, dti long")
+    events = outage_events(df, chunk_slots=2, fan=2)
+    assert events._jdf.queryExecution().executedPlan().toString().count("HashAggregate(") == 2
+    assert {tuple(r) for r in events.collect()} == {
+        (1, ts_of(1), 3, 7, 5), (1, ts_of(12), 12, 13, 2), (1, ts_of(9), None, None, None), (None, ts_of(2), 2, 2, 1)
+    }

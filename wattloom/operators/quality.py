@@ -95,15 +95,19 @@ def _stitched(runs: DataFrame, slots: int | None) -> DataFrame:
     runs = runs.withColumn("_span", span).withColumn("_alone", F.when(~F.col("_open"), F.col("rangestart")))
     along = Window.partitionBy("id", "_span", "_alone").orderBy("rangestart")
     follows = F.col("rangestart") == F.lag("rangeend").over(along) + 1
+    goes_on = F.lead("rangestart").over(along) == F.col("rangeend") + 1
+    never = F.lit(False)
+    # An event is read off its last run: beginnings only grow along the window, so the least of
+    # (beginning downwards, ts) is the first ts of the event so far. Aggregating the runs instead
+    # would take several times the memory of their sort.
+    downwards = F.coalesce(-F.col("_event"), F.lit(2**63 - 1))
     joined = (
-        runs.withColumn("_starts", F.when(follows, 0).otherwise(1))
-        .withColumn("_event", F.sum("_starts").over(along))
-        .groupBy("id", "_span", "_alone", "_event")
-        .agg(
-            F.min("ts").alias("ts"),
-            F.min("rangestart").alias("rangestart"),
-            F.max("rangeend").alias("rangeend"),
-        )
+        runs.withColumn("_begins", ~F.coalesce(follows, never))
+        .withColumn("_ends", ~F.coalesce(goes_on, never))
+        .withColumn("_event", F.max(F.when(F.col("_begins"), F.col("rangestart"))).over(along))
+        .withColumn("_first", F.min(F.struct(downwards, F.col("ts").isNull(), F.col("ts").alias("ts"))).over(along))
+        .filter("_ends")
+        .select("id", F.col("_first.ts").alias("ts"), F.col("_event").alias("rangestart"), "rangeend", "_span")
     )
     if slots is None:
         return joined
@@ -121,24 +125,13 @@ def outage_events(points: DataFrame, *, chunk_slots: int = CHUNK_SLOTS, fan: int
     meter. A span holds at most two open runs of each part, so no window holds more than
     ``2 * fan`` rows, and at the top few are left. Repeated points count once.
     """
-    chunk = F.floor(F.col("dti") / chunk_slots)
-    in_chunk = Window.partitionBy("id", "_chunk").orderBy("dti")
-    first = F.col("_chunk") * chunk_slots
-    at_border = (F.col("rangestart") == first) | (F.col("rangeend") == first + chunk_slots - 1)
+    dti = F.col("dti")
     runs = (
         points.groupBy("id", "dti")
         .agg(F.min("ts").alias("ts"))
-        .withColumn("_chunk", chunk)
-        .withColumn("_run", F.col("dti") - F.row_number().over(in_chunk))
-        .groupBy("id", "_chunk", "_run")
-        .agg(
-            F.min("dti").alias("rangestart"),
-            F.max("dti").alias("rangeend"),
-            F.min("ts").alias("ts"),
-        )
-        .select("id", "ts", "rangestart", "rangeend", at_border.alias("_open"))
+        .select("id", "ts", dti.alias("rangestart"), dti.alias("rangeend"), F.lit(True).alias("_open"))
     )
-    for slots in (chunk_slots * fan, chunk_slots * fan * fan, None):
+    for slots in (chunk_slots, chunk_slots * fan, chunk_slots * fan * fan, None):
         runs = _stitched(runs, slots)
     duration = F.col("rangeend") - F.col("rangestart") + 1
     return runs.select("id", "ts", "rangestart", "rangeend", duration.alias("duration"))
